@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.columns import epoch_ms
 from tidemark.plans.classification import POWER, PRICE, WEATHER
+from tidemark.session import spread
 
 SEASON = "2017-2018"
 
@@ -90,7 +91,7 @@ def tagged_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_lines_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
 
 
 def _match_columns(key: Column) -> dict[str, Column]:
@@ -147,7 +148,7 @@ def football_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
             return F.when((key + i) % 4 != 0, made).alias(f"substitution{i}")
 
         def listed(first: int, last: int) -> Column:
-            return F.array(*[(base + n).cast("int") for n in range(first, last + 1)])
+            return F.sequence((base + first).cast("int"), (base + last).cast("int"))
 
         return F.struct(
             name.alias("team"),
@@ -244,7 +245,7 @@ def minute_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     time = F.unix_date(F.to_date("l_shipdate")).cast("long") * 86400 + second
     columns = [values[name].cast("double").alias(name) for name in (*WEATHER, *POWER, *PRICE)]
-    return items.select("l_orderkey", "l_linenumber", time.alias("time"), *columns)
+    return spread(items.select("l_orderkey", "l_linenumber", time.alias("time"), *columns), "l_orderkey", "l_linenumber")
 
 
 def customer_update(spark: SparkSession, sf_dir: str) -> DataFrame:

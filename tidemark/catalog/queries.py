@@ -19,6 +19,7 @@ from tidemark.sources.readers import read_csv, read_parquet, stream_csv, view_of
 from tidemark.sources.writers import write_csv, write_parquet
 from tidemark.streaming import sales as stream_sales
 
+LINE_KEY = ["l_orderkey", "l_linenumber"]
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
@@ -629,7 +630,7 @@ def linreg_by_groups(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def linreg_score(spark: SparkSession, sf: str) -> DataFrame:
     points = inputs.line_points(spark, sf)
-    _, _, tested = regression.fit_and_score(points, ["X"], "label", ["l_orderkey", "l_linenumber"])
+    _, _, tested = regression.fit_and_score(points, ["X"], "label", LINE_KEY, portable=True)
     error = regression.with_error(tested, "label")
     return error.select("l_orderkey", "l_linenumber", "X", *[F.round(c, 2).alias(c) for c in ("prediction", "error")])
 
@@ -637,7 +638,7 @@ def linreg_score(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def linreg_rmse(spark: SparkSession, sf: str) -> DataFrame:
     points = inputs.line_points(spark, sf)
-    _, trained, tested = regression.fit_and_score(points, ["X"], "label", ["l_orderkey", "l_linenumber"])
+    _, trained, tested = regression.fit_and_score(points, ["X"], "label", LINE_KEY, portable=True)
     parts = [ml.rmse(part, "label").select(F.lit(name).alias("part"), F.round("rmse", 2).alias("rmse"))
              for name, part in (("train", trained), ("test", tested))]
     return reshape.union_all(parts)
@@ -646,7 +647,7 @@ def linreg_rmse(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def hash_split(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders")
-    train, test = ml.key_split(orders, ["o_orderkey"], 0.83, seed=1)
+    train, test = ml.key_split(orders, ["o_orderkey"], 0.83, seed=1, portable=True)
     sizes = [part.agg(F.lit(name).alias("part"), F.count("*").alias("rows"), F.sum("o_orderkey").alias("key_sum"))
              for name, part in (("train", train), ("test", test))]
     return reshape.union_all(sizes)
@@ -670,5 +671,7 @@ def cyclic_eval(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def forest_study(spark: SparkSession, sf: str) -> DataFrame:
-    rows = classification.with_labels(inputs.minute_measurements(spark, sf))
-    return classification.run_study(rows, ["l_orderkey", "l_linenumber"])
+    # Six cases read the rows several times each, so the derived columns are computed and stored once.
+    path = shared_path(spark, "measurements")
+    write_parquet(classification.with_labels(inputs.minute_measurements(spark, sf)), path)
+    return classification.run_study(read_parquet(spark, path), LINE_KEY)

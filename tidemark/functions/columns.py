@@ -49,8 +49,7 @@ def epoch_ms(wall_clock: Column | str) -> Column:
 
 def utc_time(ms: Column | str) -> Column:
     """Zone-less UTC timestamp of epoch milliseconds."""
-    seconds = (as_column(ms) / 1000).cast("decimal(20,6)")
-    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.expr("INTERVAL '0.001' SECOND") * as_column(ms)
 
 
 def local_time(ms: Column | str, zone: str) -> Column:
@@ -61,7 +60,7 @@ def local_time(ms: Column | str, zone: str) -> Column:
 def hour_start(ts: Column | str) -> Column:
     """A zone-less timestamp cut down to its hour."""
     time = as_column(ts)
-    return F.to_date(time).cast("timestamp_ntz") + F.make_dt_interval(hours=F.hour(time))
+    return F.to_date(time).cast("timestamp_ntz") + F.expr("INTERVAL '1' HOUR") * F.hour(time)
 
 
 def local_hour(ms: Column | str, zone: str) -> Column:

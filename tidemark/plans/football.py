@@ -153,27 +153,27 @@ def player_intervals(matches: DataFrame, lengths: DataFrame, season: str) -> Dat
     timed = lookup(chosen, lengths, "matchId")
 
     def side(data: str) -> dict[str, Column]:
-        listed = F.concat(
-            F.transform(f"{data}.lineup", lambda p: F.struct(p.alias("playerId"), F.lit(True).alias("starts"))),
-            F.transform(f"{data}.bench", lambda p: F.struct(p.alias("playerId"), F.lit(False).alias("starts"))),
-        )
-        changes = {name: F.col(f"{data}.{name}") for name in SUBSTITUTIONS}
-        return {"playerTeam": F.col(f"{data}.team"), "players": listed, **changes}
+        return {
+            "playerTeam": F.col(f"{data}.team"),
+            "players": F.concat(f"{data}.lineup", f"{data}.bench"),
+            "starters": F.size(f"{data}.lineup"),
+            **{name: F.col(f"{data}.{name}") for name in SUBSTITUTIONS},
+        }
 
     keep = ["matchId", "competition", "season", "matchLength"]
     sides = both_sides(timed, keep, [side("homeTeamData"), side("awayTeamData")])
-    players = sides.withColumn("player", F.explode("players"))
+    players = sides.select("*", F.posexplode("players").alias("listed", "playerId")).drop("players")
     last_first = list(reversed(SUBSTITUTIONS))
 
     def minute(role: str, otherwise: Column) -> Column:
         def chain(so_far: Column, name: str) -> Column:
-            return so_far.when(F.col(f"{name}.{role}") == F.col("player.playerId"), F.col(f"{name}.minute"))
+            return so_far.when(F.col(f"{name}.{role}") == F.col("playerId"), F.col(f"{name}.minute"))
 
         return reduce(chain, last_first, F.when(F.lit(False), F.lit(None).cast("int"))).otherwise(otherwise)
 
     on_field = players.withColumns(
         {
-            "startMinute": minute("playerIn", F.when(F.col("player.starts"), F.lit(0))),
+            "startMinute": minute("playerIn", F.when(F.col("listed") < F.col("starters"), F.lit(0))),
             "wentOff": minute("playerOut", F.lit(None).cast("int")),
         }
     )
@@ -182,7 +182,7 @@ def player_intervals(matches: DataFrame, lengths: DataFrame, season: str) -> Dat
     played = F.when(F.col("startMinute").isNull(), 0).otherwise(F.col("endMinute") - F.col("startMinute"))
     return timed_players.select(
         "matchId",
-        F.col("player.playerId").alias("playerId"),
+        "playerId",
         "competition",
         "season",
         "playerTeam",

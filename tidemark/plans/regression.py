@@ -18,10 +18,16 @@ def line_figures(spark: SparkSession, model: LinearRegressionModel, inputs: Sequ
 
 
 def fit_and_score(
-    points: DataFrame, inputs: Sequence[str], label: str, split_keys: Sequence[str], train: float = 0.83, seed: int = 1
+    points: DataFrame,
+    inputs: Sequence[str],
+    label: str,
+    split_keys: Sequence[str],
+    train: float = 0.83,
+    seed: int = 1,
+    portable: bool = False,
 ) -> tuple[LinearRegressionModel, DataFrame, DataFrame]:
     """The model of the training part, with the scored training and test parts."""
-    fit_rows, test_rows = key_split(points, split_keys, train, seed)
+    fit_rows, test_rows = key_split(points, split_keys, train, seed, portable)
     model = fit_line(fit_rows, inputs, label)
     return model, score(model, fit_rows, inputs), score(model, test_rows, inputs)
 

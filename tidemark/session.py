@@ -46,6 +46,16 @@ def shared_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/tidemark/{purpose}-{uuid.uuid4().hex}"
 
 
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
+    """A scan of fewer partitions than cores, dealt out by key; any other scan as it is.
+
+    For work that costs far more per row than a shuffle does, such as cutting texts or training, on an
+    input too small to be split. A table large enough to occupy the cluster is never shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, *keys) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def settled(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder, so that later passes see the same rows.
 
