@@ -29,6 +29,23 @@ def canonical(names: list[str], rows: list) -> tuple[list[str], list[tuple]]:
     return [names[i] for i in order], sorted(tuple(cell(row[i]) for i in order) for row in rows)
 
 
+# How the two engines name the same type.
+TYPES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+}
+
+
+def type_differences(df, connection: duckdb.DuckDBPyConnection, sql: str) -> list[tuple]:
+    described = {row[0]: row[1] for row in connection.execute(f"DESCRIBE {sql}").fetchall()}
+    return [(name, kind, described.get(name)) for name, kind in df.dtypes if TYPES.get(kind, kind) != described.get(name)]
+
+
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     for path in glob.glob(f"{sf_dir}/*.parquet"):
@@ -58,7 +75,8 @@ def main() -> None:
             continue
         start = time.time()
         try:
-            columns, rows = spark_result(run(spark, sf_dir))
+            df = run(spark, sf_dir)
+            columns, rows = spark_result(df)
             seconds = time.time() - start
             if name not in oracles:
                 print(f"rows {name} {len(rows)} {seconds:.2f}s {rows[:6]}")
@@ -66,6 +84,10 @@ def main() -> None:
             expected_columns, expected = oracle_result(connection, oracles[name])
             same = columns == expected_columns and rows == expected
             print(f"{'ok  ' if same else 'BAD '} {name} {len(rows)}/{len(expected)} {seconds:.2f}s {rows[:1] if same else ''}")
+            other_types = type_differences(df, connection, oracles[name])
+            if other_types:
+                failed.append(name)
+                print("    types", other_types)
             if not same:
                 failed.append(name)
                 print("   ", columns, expected_columns)

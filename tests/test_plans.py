@@ -137,12 +137,12 @@ def test_best_publisher(spark):
         ("R", DAY(2006, 1, 1), None, 90.0),
     ]
     df = spark.createDataFrame(data, "Publisher string, release_date date, NA_Sales double, total_sales double")
-    years = sales.publisher_years(df, "publisher", "release_date", "na_sales", "total_sales", 2006, 2015)
-    assert rows(sales.best_publisher(years)) == [("P", 6.25)]
-    assert rows(sales.missing_titles(years)) == [(1,)]
-    assert [tuple(r) for r in sales.best_publisher_by_year(years).collect()] == [(2006, 5.0, 9.0), (2007, 1.25, 3.0)]
-    text = plan(sales.best_publisher_by_year(years))
-    assert "CartesianProduct" not in text and "NestedLoop" not in text
+    publishers = sales.publisher_sales(df, "publisher", "release_date", "na_sales", "total_sales", 2006, 2015)
+    best = sales.best_publisher(publishers)
+    assert rows(best.select("publisher", "regional_total", "missing_titles")) == [("P", 6.25, 1)]
+    by_year = sales.sales_by_year(best)
+    assert [tuple(r) for r in by_year.collect()] == [(2006, 5.0, 9.0), (2007, 1.25, 3.0)]
+    assert "Join" not in plan(by_year)
 
 
 def test_latest_rows_and_drift(spark):

@@ -6,7 +6,7 @@ import re
 import pytest
 
 import __spark_entry__ as registered
-from compare import connect, oracle_result, spark_result
+from compare import connect, oracle_result, spark_result, type_differences
 from helpers import plan
 
 QUERIES, ORACLES = registered.queries(), registered.oracle_sql()
@@ -26,10 +26,12 @@ def test_every_query_has_its_sql():
 
 @pytest.mark.parametrize("name", [name for name in QUERIES if name in ORACLES])
 def test_query_equals_sql(spark, duck, sf_dir, name):
-    columns, got = spark_result(QUERIES[name](spark, sf_dir))
+    df = QUERIES[name](spark, sf_dir)
+    columns, got = spark_result(df)
     expected_columns, expected = oracle_result(duck, ORACLES[name])
     assert columns == expected_columns
     assert got == expected
+    assert type_differences(df, duck, ORACLES[name]) == []
 
 
 @pytest.mark.parametrize("name", ["storage_inventory"])

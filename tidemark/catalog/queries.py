@@ -261,25 +261,26 @@ def best_days_stream(spark: SparkSession, sf: str) -> DataFrame:
     return result.select("orderDate", F.round("totalSales", 2).alias("totalSales"), "totalCount")
 
 
-def _publisher_years(spark: SparkSession, sf: str) -> DataFrame:
+def _best_publisher(spark: SparkSession, sf: str) -> DataFrame:
     games = inputs.game_sales(spark, sf)
-    return sales.publisher_years(games, "Publisher", "release_date", "NA_Sales", "total_sales", 1996, 1999)
+    publishers = sales.publisher_sales(games, "Publisher", "release_date", "NA_Sales", "total_sales", 1996, 1999)
+    return sales.best_publisher(publishers)
 
 
 @query
 def best_publisher(spark: SparkSession, sf: str) -> DataFrame:
-    best = sales.best_publisher(_publisher_years(spark, sf))
+    best = _best_publisher(spark, sf)
     return best.select("publisher", F.round("regional_total", 2).alias("regional_total"))
 
 
 @query
 def missing_titles(spark: SparkSession, sf: str) -> DataFrame:
-    return sales.missing_titles(_publisher_years(spark, sf))
+    return _best_publisher(spark, sf).select(F.col("missing_titles").alias("titles"))
 
 
 @query
 def top_group_then_filter(spark: SparkSession, sf: str) -> DataFrame:
-    return sales.best_publisher_by_year(_publisher_years(spark, sf))
+    return sales.sales_by_year(_best_publisher(spark, sf))
 
 
 # Text

@@ -50,7 +50,9 @@ def merge_upsert(
     # The filter always holds; it keeps the duplicate check in the plan whatever columns are read.
     kept = joined.where(F.col("_hit").isNotNull()).select(*columns)
 
-    hit_keys = target.select(*keys).join(source.select(*keys), list(keys), "left_semi").distinct()
+    # Target keys collapse on the map side; Spark moves the semi-join below the distinct where the source
+    # is small enough to broadcast, so a small source never shuffles the target's keys.
+    hit_keys = target.select(*keys).distinct().join(source.select(*keys), list(keys), "left_semi")
     new_rows = source.join(hit_keys, list(keys), "left_anti").select(
         *[
             F.col(field.name) if field.name in insert else F.lit(None).cast(field.dataType).alias(field.name)

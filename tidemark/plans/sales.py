@@ -18,7 +18,7 @@ def best_days(daily: DataFrame, date: str = "orderDate", k: int = 8) -> DataFram
     return top_k(daily, [F.desc("totalSales"), F.asc(date)], k)
 
 
-def publisher_years(
+def publisher_sales(
     games: DataFrame,
     publisher: str,
     released: str,
@@ -27,9 +27,13 @@ def publisher_years(
     first_year: int,
     last_year: int,
 ) -> DataFrame:
-    """Sales per publisher and year, and titles without regional sales: all the questions need."""
+    """One row per publisher for a range of years: regional sales, titles without them, and sales by year.
+
+    The list of years is at most as long as the range. All questions about the best publisher are
+    answered from its row, so the games are read once and no name returns to the driver.
+    """
     year = F.year(released)
-    return (
+    years = (
         games.where(year.between(first_year, last_year))
         .groupBy(F.col(publisher).alias("publisher"), year.alias("year"))
         .agg(
@@ -38,29 +42,29 @@ def publisher_years(
             F.count_if(F.col(regional).isNull()).alias("missing"),
         )
     )
+    return years.groupBy("publisher").agg(
+        F.sum("regional_sum").alias("regional_total"),
+        F.sum("missing").alias("missing_titles"),
+        F.collect_list(F.struct("year", "regional_sum", "total_sum")).alias("years"),
+    )
 
 
-def best_publisher(years: DataFrame) -> DataFrame:
-    """The publisher with the largest regional sales, one row."""
-    sums = years.groupBy("publisher").agg(F.sum("regional_sum").alias("regional_total"))
-    return top_k(sums, [F.desc_nulls_last("regional_total"), F.asc("publisher")], 1)
-
-
-def of_best_publisher(years: DataFrame) -> DataFrame:
-    """The rows of the best publisher. The single row to match stays in the plan, not on the driver."""
-    best = best_publisher(years).select(F.col("publisher").alias("_best"))
-    return years.join(best, F.col("publisher") == F.col("_best"), "left_semi")
-
-
-def missing_titles(years: DataFrame) -> DataFrame:
-    """Titles of the best publisher that have no regional sales."""
-    return of_best_publisher(years).agg(F.coalesce(F.sum("missing"), F.lit(0)).alias("titles"))
+def best_publisher(publishers: DataFrame) -> DataFrame:
+    """The publisher with the largest regional sales, one row; the first name among equals."""
+    return top_k(publishers, [F.desc_nulls_last("regional_total"), F.asc("publisher")], 1)
 
 
-def best_publisher_by_year(years: DataFrame) -> DataFrame:
-    """Regional and total sales of the best publisher per year."""
-    rounded = [F.round("regional_sum", 2).alias("na_total"), F.round("total_sum", 2).alias("global_total")]
-    return of_best_publisher(years).select("year", *rounded).orderBy("year")
+def sales_by_year(publishers: DataFrame) -> DataFrame:
+    """Regional and total sales per year, of the best publisher say."""
+    return (
+        publishers.select(F.explode("years").alias("y"))
+        .select(
+            F.col("y.year").alias("year"),
+            F.round("y.regional_sum", 2).alias("na_total"),
+            F.round("y.total_sum", 2).alias("global_total"),
+        )
+        .orderBy("year")
+    )
 
 
 def latest_rows(df: DataFrame, column: str, value: str, time: str, ident: str, k: int, suffix: str) -> DataFrame:
