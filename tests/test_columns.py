@@ -77,6 +77,12 @@ def test_words_and_digits(spark):
     assert values(pieces.where(C.is_word("w")), "w") == ["one", "three", "four"]
 
 
+def test_random_values_repeat_with_their_seed(spark):
+    df = spark.range(200).select(C.random_value(1).alias("a"), C.random_value(1).alias("b"), C.random_value(2).alias("c"))
+    got = df.collect()
+    assert all(r["a"] == r["b"] and 0 <= r["a"] <= 100 for r in got) and any(r["a"] != r["c"] for r in got)
+
+
 def test_file_code(spark):
     df = spark.createDataFrame([("dbfs:/x/1F1EB-1F1EE.png",), ("dbfs:/x/readme.txt",)], "p string")
     assert values(df.select(C.file_code("p").alias("c")), "c") == ["1F1EB-1F1EE", ""]

@@ -108,6 +108,14 @@ def test_corpus(spark):
     assert values(corpus.line_starts(lines, n=2, width=3), "start") == ["  c", "a b"]
 
 
+def test_typed_counts(spark):
+    counts = spark.createDataFrame([("a", 3), ("b", 2**40)], "word string, count long")
+    assert corpus.typed_word_counts(counts).dtypes == [("word", "string"), ("count", "int")]
+    assert rows(corpus.typed_word_counts(counts.where("word = 'a'"))) == [("a", 3)]
+    with pytest.raises(Exception, match="OVERFLOW"):
+        corpus.typed_word_counts(counts).collect()
+
+
 def test_word_count_of_a_line(spark):
     texts = spark.createDataFrame([("sheena is a punk rocker she is a punk punk",)], "value string")
     counts = dict(map(tuple, corpus.word_counts(corpus.words_of(texts)).collect()))

@@ -10,7 +10,8 @@ from compare import connect, oracle_result, spark_result, type_differences
 from helpers import plan
 
 QUERIES, ORACLES = registered.queries(), registered.oracle_sql()
-ROWS_ONLY = {"storage_inventory", "forest_study"}
+STUDIES = {"forest_study", "classifier_choices"}
+ROWS_ONLY = {"storage_inventory", *STUDIES}
 # Reads that end in files, streams or models: their plan is that of the last step only.
 PYTHON_STEP = {name for name in QUERIES if name.startswith("image_") and name != "image_pixels_by_columns"}
 
@@ -39,7 +40,7 @@ def test_query_without_sql(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"forest_study", "linreg_fit"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - STUDIES - {"linreg_fit"}))
 def test_plan_compares_no_pairs_and_runs_no_row_python(spark, sf_dir, name):
     text = plan(QUERIES[name](spark, sf_dir))
     assert not re.search("CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython|ArrowEvalPython", text)

@@ -194,7 +194,7 @@ def page_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     Plain letters are below the alpha limit and would all be transparent, so the bits of each half
     byte are reversed. The pixels are the bytes of the whole page.
     """
-    pages = table(spark, sf_dir, "pages")
+    pages = spread(table(spark, sf_dir, "pages").select("page_id", "html"), "page_id")
     hexadecimal = F.translate(F.hex(F.encode("html", "UTF-8")), "0123456789ABCDEF", "084C2A6E195D3B7F")
     code = F.upper(F.hex(F.col("page_id")))
     return pages.select(

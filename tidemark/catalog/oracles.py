@@ -287,6 +287,7 @@ ORACLES: dict[str, str] = {
     "word_total": f"WITH {LINES} SELECT count(*) AS words FROM words",
     "word_distinct": f"WITH {LINES} SELECT count(DISTINCT word) AS distinct_words FROM words",
     "word_counts": f"WITH {LINES} SELECT word, count(*) AS count FROM words GROUP BY 1",
+    "word_counts_typed": f"WITH {LINES} SELECT word, CAST(count(*) AS INTEGER) AS count FROM words GROUP BY 1",
     "top_word_len7_s": f"""WITH {LINES} SELECT word, count(*) AS count FROM words
         WHERE length(word) = 7 AND word LIKE 's%' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1""",
     "text_line_scan": f"""WITH {LINES} SELECT count(*) AS lines, CAST(sum(length(line)) AS BIGINT) AS characters

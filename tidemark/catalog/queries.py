@@ -315,6 +315,11 @@ def word_counts(spark: SparkSession, sf: str) -> DataFrame:
     return corpus.rarest_first(corpus.word_counts(_words(spark, sf)))
 
 
+@query
+def word_counts_typed(spark: SparkSession, sf: str) -> DataFrame:
+    return corpus.typed_word_counts(corpus.word_counts(_words(spark, sf)))
+
+
 @query
 def top_word_len7_s(spark: SparkSession, sf: str) -> DataFrame:
     return corpus.most_common_word(_words(spark, sf), 7, "s")
@@ -676,3 +681,9 @@ def forest_study(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_path(spark, "measurements")
     write_parquet(classification.with_labels(inputs.minute_measurements(spark, sf)), path)
     return classification.run_study(read_parquet(spark, path), LINE_KEY)
+
+
+@query
+def classifier_choices(spark: SparkSession, sf: str) -> DataFrame:
+    rows = classification.with_labels(inputs.minute_measurements(spark, sf))
+    return classification.run_study(rows, LINE_KEY, classification.further_cases())

@@ -7,9 +7,10 @@ from operator import add
 
 from pyspark.sql import Column, functions as F
 
+# White space between words, and the hexadecimal name of an image file.
 WORD_BREAK = r"[ \t\n\x0B\f\r]+"
+IMAGE_NAME = r"([0-9A-F\-]+)\.png$"
 MS_PER_DAY = 86_400_000
-MS_PER_HOUR = 3_600_000
 
 
 def as_column(value: Column | str) -> Column:
@@ -36,6 +37,11 @@ def kilo(value: Column | str) -> Column:
     return as_column(value) / 1000
 
 
+def random_value(seed: int, top: float = 100, digits: int = 1) -> Column:
+    """Seeded uniform number below ``top``; which row gets which depends on the partitioning."""
+    return F.round(F.rand(seed) * top, digits)
+
+
 def epoch_ms(wall_clock: Column | str) -> Column:
     """Milliseconds since 1970 of a zone-less timestamp read as UTC, whatever the session's zone."""
     ts = as_column(wall_clock)
@@ -89,7 +95,7 @@ def newton_root(value: Column | str, degree: int = 5, steps: int = 90) -> Column
     return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.lit(1.0).cast("double"), step)
 
 
-def file_code(path: Column | str, pattern: str = r"([0-9A-F\-]+)\.png$") -> Column:
+def file_code(path: Column | str, pattern: str = IMAGE_NAME) -> Column:
     """Code at the end of a file path, by default the hexadecimal name of a PNG."""
     return F.regexp_extract(as_column(path), pattern, 1)
 

@@ -8,7 +8,9 @@ from tidemark.functions.columns import is_word, words
 from tidemark.operators.aggregates import distinct_count, group_counts, row_count
 from tidemark.operators.ranking import top_k
 from tidemark.operators.reshape import explode_words
+from tidemark.sources.readers import typed
 
+WORD_COUNT = "word string, count int"
 LINE_BREAK = r"\r\n|\r|\n"
 
 
@@ -44,6 +46,11 @@ def word_counts(word_rows: DataFrame) -> DataFrame:
     return group_counts(word_rows, ["word"])
 
 
+def typed_word_counts(counts: DataFrame) -> DataFrame:
+    """Word counts under the declared record ``word string, count int``."""
+    return typed(counts, WORD_COUNT)
+
+
 def rarest_first(counts: DataFrame) -> DataFrame:
     """Word counts in ascending order of count and word."""
     return counts.orderBy("count", "word")

@@ -19,6 +19,8 @@ def local_session(app: str, cores: int | str = "*", shuffle_partitions: int = 8)
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        # A small shuffle may feed a step that multiplies its rows: leave it on all cores.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -58,6 +58,12 @@ def frame_of(spark: SparkSession, rows: Iterable[Sequence], schema: Schema | lis
     return spark.createDataFrame(list(rows), schema)
 
 
+def typed(df: DataFrame, schema: str) -> DataFrame:
+    """The columns of a declared schema in its types; a value that does not fit raises."""
+    fields = df.sparkSession.createDataFrame([], schema).schema
+    return df.select(*[F.col(field.name).cast(field.dataType).alias(field.name) for field in fields])
+
+
 def stream_csv(
     spark: SparkSession,
     folder: str,
