@@ -71,6 +71,9 @@ def test_top_k_per_group_with_and_without_ties(spark):
 def test_lowest_per_group_ignores_nulls(spark):
     df = spark.createDataFrame([("a", None), ("a", 2), ("a", 2), ("b", 5), ("b", 9)], "g string, v int")
     assert rows(R.lowest_per_group(df, ["g"], "v")) == [("a", 2), ("a", 2), ("b", 5)]
+    nameless = spark.createDataFrame([(None, 4), (None, 3), ("c", None)], "g string, v int")
+    assert rows(R.lowest_per_group(nameless, ["g"], "v")) == [(None, 3)]
+    assert "Window" not in plan(R.lowest_per_group(df, ["g"], "v"))
 
 
 def test_latest_per_key(spark):

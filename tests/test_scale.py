@@ -1,0 +1,122 @@
+"""What reaches the scan, how many shuffles a plan has, and groups that hold a third of all rows."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import plan, rows
+from tidemark.catalog.queries import REGISTRY
+from tidemark.operators import aggregates, ranking, tables
+from tidemark.plans import sales
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def shuffles(df) -> int:
+    return len(re.findall(r"\(\d+\) Exchange\n", plan(df)))
+
+
+@pytest.mark.parametrize(
+    "name, columns",
+    [
+        ("year_minmax", {"o_orderdate", "o_totalprice"}),
+        ("row_count", set()),
+        ("count_distinct", {"o_custkey"}),
+        ("best_days", {"l_shipdate", "l_extendedprice", "l_quantity"}),
+        ("match_results", {"l_orderkey", "l_linenumber", "l_discount", "l_returnflag"}),
+        ("word_total", {"doc_id", "text"}),
+        ("global_minmax", {"l_extendedprice"}),
+    ],
+)
+def test_only_needed_columns_are_read(spark, sf_dir, name, columns):
+    schemas = re.findall(r"ReadSchema: struct<(.*)>", plan(REGISTRY[name](spark, sf_dir)))
+    read = {field.split(":")[0] for schema in schemas for field in schema.split(",") if field}
+    assert read == columns
+
+
+def test_a_range_of_years_reaches_the_scan(spark, sf_dir):
+    text = plan(REGISTRY["top_group_then_filter"](spark, sf_dir))
+    assert "GreaterThanOrEqual(o_orderdate,1996-01-01" in text and "LessThan(o_orderdate,2000-01-01" in text
+
+
+@pytest.mark.parametrize(
+    "name, most",
+    [
+        ("year_minmax", 2),  # the groups, and the order of the result
+        ("match_results", 1),
+        ("season_standings", 2),
+        ("league_table", 4),
+        ("team_passes", 1),
+        ("top_three_colors", 1),
+        ("hourly_rollup", 2),
+        ("latest_per_key", 1),
+        ("top_per_group", 1),
+        ("best_days", 1),
+        ("update_where", 0),
+        ("evolve_append", 0),
+    ],
+)
+def test_number_of_shuffles(spark, sf_dir, no_broadcast, name, most):
+    assert shuffles(REGISTRY[name](spark, sf_dir)) <= most
+
+
+def test_player_rows_are_not_shuffled_to_meet_the_goals(spark, sf_dir, no_broadcast):
+    """Matches, lengths, goals (by minute, then by match) and the totals: no shuffle of player rows by match."""
+    assert shuffles(REGISTRY["plus_minus"](spark, sf_dir)) <= 5
+
+
+def skewed(spark, n=30000):
+    key = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 1000 + 1)
+    return spark.range(n, numPartitions=6).select(key.alias("k"), "id")
+
+
+def test_upsert_with_a_hot_key(spark, no_broadcast):
+    target = skewed(spark).withColumn("v", F.lit("old"))
+    source = spark.createDataFrame([(0, "new"), (-1, "new")], "k long, v string")
+    merged = tables.merge_upsert(target, source, ["k"])
+    assert merged.count() == 30001
+    assert rows(merged.groupBy("k", "v").count().where("v = 'new'")) == [(-1, "new", 1), (0, "new", 10000)]
+
+
+def test_upsert_inserts_a_hot_new_key_whole(spark, no_broadcast):
+    target = spark.createDataFrame([(7, "old")], "k long, v string")
+    source = skewed(spark).where("k = 0 OR k > 999").select("k", F.lit("new").alias("v"))
+    merged = tables.merge_upsert(target, source, ["k"])
+    assert merged.count() == source.count() + 1
+
+
+def test_upsert_joins_can_be_split(spark, no_broadcast):
+    """Left outer, anti and semi joins are split where skewed; a full outer join is not."""
+    target, source = skewed(spark), skewed(spark).withColumnRenamed("id", "other")
+    text = plan(tables.merge_upsert(target, source, ["k"], update=[], insert=[]))
+    kinds = set(re.findall(r"Join type: (\w+)", text))
+    assert kinds == {"LeftOuter", "LeftAnti", "LeftSemi"}
+
+
+def test_lowest_and_shares_of_a_hot_group(spark, no_broadcast):
+    df = skewed(spark).withColumn("v", F.col("id") % 10)
+    lowest = ranking.lowest_per_group(df, ["k"], "v")
+    assert lowest.where("k = 0").count() == df.where("k = 0 AND v = 0").count() == 1000
+    counts = aggregates.group_counts(df, ["k", "v"])
+    shares = aggregates.share_of_total(counts, ["k"], "count")
+    assert shares.where("k = 0").agg(F.round(F.sum("share"), 2)).first()[0] == 100.0
+
+
+def test_top_rows_of_a_hot_group_are_limited_before_the_shuffle(spark):
+    top = ranking.top_k_per_group(skewed(spark), ["k"], [F.desc("id")], 2, ties=False)
+    text = plan(top)
+    assert text.index("WindowGroupLimit") < text.index("Window (") or text.count("WindowGroupLimit") >= 2
+    assert rows(top.where("k = 0")) == [(0, 29994), (0, 29997)]
+
+
+def test_best_publisher_reads_its_games_once(spark, sf_dir):
+    games = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    publishers = sales.publisher_sales(games, "o_orderstatus", "o_orderdate", "o_totalprice", "o_totalprice", 1996, 1999)
+    text = plan(sales.sales_by_year(sales.best_publisher(publishers)))
+    assert len(re.findall(r"\(\d+\) Scan parquet", text)) == 1

@@ -64,7 +64,7 @@ def game_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = keyed.join(customers.select("c_custkey", "c_nationkey"), ["c_custkey"])
     return joined.select(
         F.concat(F.lit("Publisher"), F.col("c_nationkey")).alias("Publisher"),
-        F.to_date("o_orderdate").alias("release_date"),
+        F.col("o_orderdate").alias("release_date"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")).alias("NA_Sales"),
         F.col("o_totalprice").alias("total_sales"),
     )

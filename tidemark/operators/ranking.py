@@ -33,7 +33,8 @@ def top_k_per_group(
 ) -> DataFrame:
     """The first ``k`` rows per group.
 
-    With ``ties`` rows equal to the last one stay too (rank), otherwise exactly ``k`` (row number).
+    With ``ties`` rows equal to the last one stay too (rank), otherwise exactly ``k`` (row number). Ties
+    of a group meet in one task, so they suit ranks over few rows, such as the totals of teams.
     ``position`` names a column for the place reached.
     """
     window = Window.partitionBy(*group).orderBy(*order)
@@ -44,8 +45,17 @@ def top_k_per_group(
 
 
 def lowest_per_group(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
-    """Rows that hold their group's lowest value, ties included."""
-    return top_k_per_group(df.where(F.col(value).isNotNull()), group, [F.asc(value)], 1)
+    """Rows that hold their group's lowest value, ties included, for groups and ties of any number.
+
+    The lowest values are aggregated and joined back, so no group is gathered in one task. Both reads
+    must see the same values: stored ones, or sums of whole numbers. Averages of fractions may differ
+    in the last digit from one run to the next; rank those with ``top_k_per_group``.
+    """
+    renamed = {key: f"_low_{key}" for key in group}
+    keys = [F.col(key).alias(renamed[key]) for key in group]
+    lows = df.groupBy(*keys).agg(F.min(value).alias("_low"))
+    same = [F.col(key).eqNullSafe(F.col(renamed[key])) for key in group]
+    return df.join(lows, [*same, F.col(value) == F.col("_low")], "left_semi")
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], newest_first: Order) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions.columns import signed_text
 from tidemark.operators.aggregates import conditional_counts, mean_ratio_percent
 from tidemark.operators.joins import keyed_join, lookup
-from tidemark.operators.ranking import lowest_per_group, position_in_group, top_k_per_group
+from tidemark.operators.ranking import position_in_group, top_k_per_group
 from tidemark.operators.reshape import both_sides
 
 HALF = 45
@@ -109,9 +109,8 @@ def pass_ratios(passes: DataFrame, season: str, name: str = "passSuccessRatio")
 
 def worst_passers(passes: DataFrame, season: str) -> DataFrame:
     """The team with the lowest mean ratio of each league, the lowest of all first."""
-    return lowest_per_group(pass_ratios(passes, season), ["competition"], "passSuccessRatio").orderBy(
-        "passSuccessRatio", "team"
-    )
+    worst = top_k_per_group(pass_ratios(passes, season), ["competition"], [F.asc_nulls_last("passSuccessRatio")], 1)
+    return worst.orderBy("passSuccessRatio", "team")
 
 
 def best_teams(standings: DataFrame, passes: DataFrame, season: str, k: int = 2, ties: bool = True) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.columns import celsius
@@ -9,13 +11,15 @@ from tidemark.operators.aggregates import sums_of_products
 from tidemark.operators.ranking import top_k
 
 
-def daily_sales(sales: DataFrame, date: str = "orderDate", price: str = "productPrice", count: str = "productCount") -> DataFrame:
+def daily_sales(
+    sales: DataFrame, day: str = "orderDate", price: str = "productPrice", count: str = "productCount"
+) -> DataFrame:
     """Sales value and items per day, for tables and streams alike."""
-    return sums_of_products(sales, [date], {"totalSales": [price, count]}, {"totalCount": count})
+    return sums_of_products(sales, [day], {"totalSales": [price, count]}, {"totalCount": count})
 
 
-def best_days(daily: DataFrame, date: str = "orderDate", k: int = 8) -> DataFrame:
-    return top_k(daily, [F.desc("totalSales"), F.asc(date)], k)
+def best_days(daily: DataFrame, day: str = "orderDate", k: int = 8) -> DataFrame:
+    return top_k(daily, [F.desc("totalSales"), F.asc(day)], k)
 
 
 def publisher_sales(
@@ -33,8 +37,10 @@ def publisher_sales(
     answered from its row, so the games are read once and no name returns to the driver.
     """
     year = F.year(released)
+    # As a range of dates the filter reaches the scan, which a condition on the year does not.
+    in_range = (F.col(released) >= F.lit(date(first_year, 1, 1))) & (F.col(released) < F.lit(date(last_year + 1, 1, 1)))
     years = (
-        games.where(year.between(first_year, last_year))
+        games.where(in_range)
         .groupBy(F.col(publisher).alias("publisher"), year.alias("year"))
         .agg(
             F.sum(regional).alias("regional_sum"),
