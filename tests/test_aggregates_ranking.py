@@ -1,4 +1,7 @@
+from collections import Counter
+
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from helpers import plan, rows, values
@@ -129,6 +132,36 @@ def test_both_sides_reads_the_input_once(spark, sf_dir):
     assert plan(got).count("Scan parquet") == 2  # once in the tree and once in its details
 
 
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("ABC"), st.sampled_from("XYZ"), st.integers(0, 3), st.integers(0, 3)), max_size=9))
+def test_both_sides_equals_a_union(spark, games):
+    df = spark.createDataFrame(games, "home string, away string, hg int, ag int")
+    sides = [
+        {"team": F.col("home"), "f": F.col("hg"), "a": F.col("ag")},
+        {"team": F.col("away"), "f": F.col("ag"), "a": F.col("hg")},
+    ]
+    got = Counter(tuple(r) for r in reshape.both_sides(df, [], sides).collect())
+    assert got == Counter([(h, x, y) for h, _, x, y in games] + [(a, y, x) for _, a, x, y in games])
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 4)), max_size=12), st.integers(1, 4))
+def test_top_k_per_group_equals_a_model(spark, data, k):
+    df = spark.createDataFrame(data, "g string, v int")
+    tied, cut = Counter(), Counter()
+    for group in "ab":
+        ordered = sorted((v for g, v in data if g == group), reverse=True)
+        tied.update((group, v) for v in ordered if sum(o > v for o in ordered) < k)
+        cut.update((group, v) for v in ordered[:k])
+    for ties, expected in ((True, tied), (False, cut)):
+        got = ranking_rows(R.top_k_per_group(df, ["g"], [F.desc("v")], k, ties))
+        assert got == expected
+
+
+def ranking_rows(df) -> Counter:
+    return Counter(tuple(row) for row in df.collect())
+
+
 def test_keyed_join_keeps_the_left_keys(spark):
     a = spark.createDataFrame([(1, "x"), (2, "y"), (None, "z")], "id int, v string")
     b = spark.createDataFrame([(1, "p"), (1, "q"), (None, "r")], "ref int, w string")

@@ -11,7 +11,7 @@ from helpers import plan
 
 QUERIES, ORACLES = registered.queries(), registered.oracle_sql()
 STUDIES = {"forest_study", "classifier_choices"}
-ROWS_ONLY = {"storage_inventory", *STUDIES}
+ROWS_ONLY = {"storage_inventory", "format_sizes", *STUDIES}
 # Reads that end in files, streams or models: their plan is that of the last step only.
 PYTHON_STEP = {name for name in QUERIES if name.startswith("image_") and name != "image_pixels_by_columns"}
 
@@ -35,7 +35,7 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
     assert type_differences(df, duck, ORACLES[name]) == []
 
 
-@pytest.mark.parametrize("name", ["storage_inventory"])
+@pytest.mark.parametrize("name", ["storage_inventory", "format_sizes"])
 def test_query_without_sql(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
 

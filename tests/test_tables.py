@@ -62,6 +62,23 @@ def test_upsert_inserts_all_unmatched_duplicates_and_null_keys(spark, target):
     ]
 
 
+def test_upsert_keeps_the_target_types_and_rejects_unknown_columns(spark, target):
+    source = spark.createDataFrame([("Z0", 7), ("N", 8)], "id string, f int")
+    merged = M.merge_upsert(target, source, ["id"])
+    assert merged.dtypes == target.dtypes
+    assert ("N", None, 8.0, None) in rows(merged) and ("Z0", "LA", 7.0, None) in rows(merged)
+    for wrong in ({"keys": ["x"]}, {"keys": ["id"], "update": ["city"]}, {"keys": ["id"], "insert": ["x"]}):
+        with pytest.raises(ValueError, match="not columns"):
+            M.merge_upsert(target, source, **wrong)
+
+
+def test_update_keeps_the_column_type_and_rejects_unknown_columns(spark):
+    df = spark.createDataFrame([(1, 2)], "a int, b int")
+    assert M.update_where(df, {"a": F.lit(9.0)}, F.col("b") == 2).dtypes == df.dtypes
+    with pytest.raises(ValueError, match="no such columns"):
+        M.update_where(df, {"z": F.lit(1)})
+
+
 def test_upsert_has_no_full_outer_join(spark, target):
     text = plan(M.merge_upsert(target, target, ["id"]))
     assert "FullOuter" not in text and "CartesianProduct" not in text and "NestedLoop" not in text

@@ -2,19 +2,10 @@
 
 from __future__ import annotations
 
+from tidemark.functions.colors import COLOR_NAMES
+
 SEASON = "2017-2018"
-# The 27 rounded (red, green, blue) colours and their names, as rows.
-COLOR_ROWS = """
-(0,0,0,'Black'),(0,0,128,'Blue'),(0,0,255,'Blue'),
-(0,128,0,'Green'),(0,128,128,'Green'),(0,128,255,'Blue'),
-(0,255,0,'Green'),(0,255,128,'Green'),(0,255,255,'Blue'),
-(128,0,0,'Red'),(128,0,128,'Purple'),(128,0,255,'Purple'),
-(128,128,0,'Green'),(128,128,128,'Gray'),(128,128,255,'Purple'),
-(128,255,0,'Green'),(128,255,128,'Green'),(128,255,255,'Blue'),
-(255,0,0,'Red'),(255,0,128,'Pink'),(255,0,255,'Purple'),
-(255,128,0,'Orange'),(255,128,128,'Orange'),(255,128,255,'Pink'),
-(255,255,0,'Yellow'),(255,255,128,'Yellow'),(255,255,255,'White')
-"""
+COLOR_ROWS = ", ".join(f"({r}, {g}, {b}, '{name}')" for (r, g, b), name in COLOR_NAMES.items())
 
 WEATHER = """days AS (
   SELECT l_returnflag AS country, CAST(l_shipdate AS DATE) AS date, l_quantity - 20 AS temperature_avg,

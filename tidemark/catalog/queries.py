@@ -13,10 +13,10 @@ from tidemark.functions.columns import epoch_ms, local_hour, newton_root, signed
 from tidemark.operators import aggregates, ml, ranking, reshape, tables
 from tidemark.operators.joins import keyed_join
 from tidemark.plans import classification, corpus, energy, football, images, regression, sales, storage, weather
-from tidemark.session import shared_path
+from tidemark.session import shared_path, stored
 from tidemark.sources.inventory import file_inventory, storage_size
 from tidemark.sources.readers import read_csv, read_parquet, stream_csv, view_of
-from tidemark.sources.writers import write_csv, write_parquet
+from tidemark.sources.writers import write_csv, write_format, write_parquet
 from tidemark.streaming import sales as stream_sales
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
@@ -236,7 +236,7 @@ def best_days(spark: SparkSession, sf: str) -> DataFrame:
     return sales.best_days(daily).select("orderDate", F.round("totalSales", 2).alias("totalSales"), "totalCount")
 
 
-def _sales_stream(spark: SparkSession, sf: str, batches: int = 4) -> tuple[DataFrame, str]:
+def _sales_stream(spark: SparkSession, sf: str, batches: int = 2) -> tuple[DataFrame, str]:
     """The sales as header-less CSV files in the shared folder, read as a stream of a few batches."""
     source = inputs.retail_sales(spark, sf)
     folder = shared_path(spark, "sales-stream")
@@ -577,6 +577,17 @@ def storage_inventory(spark: SparkSession, sf: str) -> DataFrame:
     return storage_size(file_inventory(spark, sf))
 
 
+@query
+def format_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """The same incidents as CSV and as Parquet, and what they take up."""
+    rows, sizes = inputs.incidents(spark, sf), []
+    for fmt, options in (("csv", {"header": True, "sep": "|"}), ("parquet", {})):
+        path = shared_path(spark, f"sizes-{fmt}")
+        write_format(rows, path, fmt, **options)
+        sizes.append(storage_size(file_inventory(spark, path)).withColumn("format", F.lit(fmt)))
+    return reshape.union_all(sizes)
+
+
 @query
 def bag_union(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
@@ -678,9 +689,8 @@ def cyclic_eval(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def forest_study(spark: SparkSession, sf: str) -> DataFrame:
     # Six cases read the rows several times each, so the derived columns are computed and stored once.
-    path = shared_path(spark, "measurements")
-    write_parquet(classification.with_labels(inputs.minute_measurements(spark, sf)), path)
-    return classification.run_study(read_parquet(spark, path), LINE_KEY)
+    rows = stored(classification.with_labels(inputs.minute_measurements(spark, sf)), "measurements")
+    return classification.run_study(rows, LINE_KEY)
 
 
 @query

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.session import settled
+from tidemark.session import stored
 
 Order = Sequence[Column | str]
 
@@ -74,15 +74,15 @@ def position_in_group(df: DataFrame, group: Sequence[str], order: Order, name: s
 def ordered_index(df: DataFrame, order: Order, group: Sequence[str] = (), name: str = "Pos") -> DataFrame:
     """1, 2, 3 ... over the whole order, or in each group, without gathering any group in one task.
 
-    The rows are range-partitioned and sorted once and settled in the shared folder. A row's number
-    is its place in its partition plus the sizes of the partitions before it; only these sizes, one
-    row per partition, pass through a single task. ``order`` has to end in a unique column.
+    The rows are range-partitioned and sorted once, and stored in the shared folder with the number of
+    their partition and their place in it. A row's number is its place plus the sizes of the partitions
+    before; only these sizes, one row per partition, pass through a single task. ``order`` has to end in
+    a unique column.
     """
-    ranked = settled(df.orderBy(*group, *order))
     part = F.spark_partition_id()
     # The id holds the partition number above bit 33 and the place in the partition below it.
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    tagged = ranked.select("*", part.alias("_part"), place.alias("_place"))
+    tagged = stored(df.orderBy(*group, *order).select("*", part.alias("_part"), place.alias("_place")), "ordered")
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = tagged.groupBy("_part").agg(F.count("*").alias("_size"))
     starts = sizes.select(F.col("_part"), F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))

@@ -58,13 +58,13 @@ def spread(scan: DataFrame, *keys: str) -> DataFrame:
     return scan.repartition(cores, *keys) if scan.rdd.getNumPartitions() < cores else scan
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared folder, so that later passes see the same rows.
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written once to the shared folder and read from there.
 
-    Needed where two passes must agree on something that a recomputation may change, such as the
-    bounds of a range partitioning.
+    For a result that several passes read: they see the same rows, including what a recomputation may
+    change (partition numbers, the last digits of a sum), need only the columns they use, and survive
+    the loss of the executors that computed it.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_root(df.sparkSession))
-    return df.checkpoint()
+    path = shared_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
