@@ -12,7 +12,6 @@ from helpers import plan
 QUERIES, ORACLES = registered.queries(), registered.oracle_sql()
 STUDIES = {"forest_study", "classifier_choices"}
 ROWS_ONLY = {"storage_inventory", "format_sizes", *STUDIES}
-# Reads that end in files, streams or models: their plan is that of the last step only.
 PYTHON_STEP = {name for name in QUERIES if name.startswith("image_") and name != "image_pixels_by_columns"}
 
 
@@ -33,6 +32,10 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
     assert columns == expected_columns
     assert got == expected
     assert type_differences(df, duck, ORACLES[name]) == []
+    # No comparison of all pairs, no Python per row; only image decoding hands batches to Python.
+    text = plan(df)
+    assert not re.search("CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython|ArrowEvalPython", text)
+    assert ("MapInArrow" in text) == (name in PYTHON_STEP)
 
 
 @pytest.mark.parametrize("name", ["storage_inventory", "format_sizes"])
@@ -40,13 +43,6 @@ def test_query_without_sql(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - STUDIES - {"linreg_fit"}))
-def test_plan_compares_no_pairs_and_runs_no_row_python(spark, sf_dir, name):
-    text = plan(QUERIES[name](spark, sf_dir))
-    assert not re.search("CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython|ArrowEvalPython", text)
-    assert ("MapInArrow" in text) == (name in PYTHON_STEP)
-
-
 def test_entry_returns_the_league_table(spark):
     got = registered.entry(spark)
     assert got.columns[:2] == ["Pos", "Team"] and got.count() == 10

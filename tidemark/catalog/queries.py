@@ -686,14 +686,16 @@ def cyclic_eval(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _measurements(spark: SparkSession, sf: str) -> DataFrame:
+    """Each case reads the rows several times, so the derived columns are computed and stored once."""
+    return stored(classification.with_labels(inputs.minute_measurements(spark, sf)), "measurements")
+
+
 @query
 def forest_study(spark: SparkSession, sf: str) -> DataFrame:
-    # Six cases read the rows several times each, so the derived columns are computed and stored once.
-    rows = stored(classification.with_labels(inputs.minute_measurements(spark, sf)), "measurements")
-    return classification.run_study(rows, LINE_KEY)
+    return classification.run_study(_measurements(spark, sf), LINE_KEY)
 
 
 @query
 def classifier_choices(spark: SparkSession, sf: str) -> DataFrame:
-    rows = classification.with_labels(inputs.minute_measurements(spark, sf))
-    return classification.run_study(rows, LINE_KEY, classification.further_cases())
+    return classification.run_study(_measurements(spark, sf), LINE_KEY, classification.further_cases())
