@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from helpers import plan, rows, values
 from tidemark.plans import corpus, energy, sales, storage, weather
