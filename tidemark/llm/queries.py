@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, huffman, quality, sharding
+from tidemark.llm import bpe, huffman, jaccard, quality, secrets, sharding, toxicity
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -19,6 +19,14 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(documents(spark, sf_dir))
 
 
+def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_spans(documents(spark, sf_dir))
+
+
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(documents(spark, sf_dir))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.encode("text", "utf-8"), F.lit(b""))
     rows = documents(spark, sf_dir).select(
@@ -38,5 +46,20 @@ def op9_binary_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.pack_ids(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op5_sharding, op6_bpe, op9_binary_ids)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+    op1_quality_rules,
+    op2_secret_scans,
+    op3_ngram_jaccard_join,
+    op5_sharding,
+    op6_bpe,
+    op9_binary_ids,
+    op10_toxicity,
+    )
+}
 ORACLES: dict[str, str] = {}
