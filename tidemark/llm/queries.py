@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, huffman, jaccard, quality, secrets, sharding, toxicity
+from tidemark.llm import bpe, chunks, decontam, huffman, jaccard, quality, secrets, sharding, toxicity
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -27,6 +27,10 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(documents(spark, sf_dir))
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.encode("text", "utf-8"), F.lit(b""))
     rows = documents(spark, sf_dir).select(
@@ -42,6 +46,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_and_decode(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.substring_dedup(documents(spark, sf_dir))
+
+
 def op9_binary_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.pack_ids(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
 
@@ -56,8 +64,10 @@ QUERIES = {
     op1_quality_rules,
     op2_secret_scans,
     op3_ngram_jaccard_join,
+    op4_benchmark_decontamination,
     op5_sharding,
     op6_bpe,
+    op7_substring_dedup,
     op9_binary_ids,
     op10_toxicity,
     )
