@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chunks, decontam, huffman, jaccard, quality, secrets, sharding, toxicity
+from tidemark.llm import bpe, chunks, decontam, huffman, jaccard, quality, secrets, sharding, suffix_tree, toxicity
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -50,6 +50,10 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.substring_dedup(documents(spark, sf_dir))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.lm_scores(documents(spark, sf_dir))
+
+
 def op9_binary_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.pack_ids(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
 
@@ -68,6 +72,7 @@ QUERIES = {
     op5_sharding,
     op6_bpe,
     op7_substring_dedup,
+    op8_lm_scoring,
     op9_binary_ids,
     op10_toxicity,
     )
