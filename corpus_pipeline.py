@@ -6,30 +6,50 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, quality
-from tidemark.session import stored
+from tidemark.llm import bpe, decontam, jaccard, quality, secrets
+from tidemark.llm.tables import stored
 
 TOKENIZER = "word_bpe_49k.json"
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules keep."""
+    """The documents that the rules keep."""
     return quality.keep_good(docs)
 
 
-def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The digests of the token ids of every document."""
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of least ``doc_id`` of each group that links of similarity 0.8 connect."""
+    return jaccard.one_per_component(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that contain no benchmark item."""
+    return decontam.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def secret_masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their secrets masked and ``n_chars`` counted anew where a text changed."""
+    masked = secrets.mask_secrets(docs)
+    return masked.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The digests of the token ids of every document and of the text decoded from them."""
     return bpe.encode_and_decode(docs, public_tokenizers.path(TOKENIZER))
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
-    ("bpe", encode),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("secret_masking", secret_masking),
+    ("encoding", encoding),
 ]
 
-#: Regular windows, prefix filters and byte-pair merges are no SQL; tests compare with brute force.
+#: Learnt formats, components of links and byte-pair merges are no SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
