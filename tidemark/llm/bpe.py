@@ -22,10 +22,12 @@ import regex
 from pyspark.sql import DataFrame
 
 from tidemark.llm.chunkcache import ChunkCache, Encoded
-from tidemark.llm.texts import groups, pieces, utf8
+from tidemark.llm.texts import folded, groups, pieces, utf8
 
 END = "</w>"
-NEVER = np.int64(1) << 62
+NEVER = 1 << 62
+#: Words that a worker remembers.
+WORD_MEMORY = 400_000
 SCHEMA = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -73,6 +75,7 @@ class WordBpe:
         for _ in range(self.longest):  # a token is as sound as its parts
             sound[parts] &= sound[self.first[parts]] & sound[self.second[parts]]
         self.sound = sound
+        self.words: dict[str, list[int]] = {}
 
     def joined(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The token that each pair merges to; ``NEVER`` without a rule."""
@@ -158,6 +161,15 @@ class WordBpe:
             out[k] = self.merge(words[k])
         return out
 
+    def known_words(self, words: list[str]) -> dict[str, list[int]]:
+        """A table that has all of ``words``. Chunks differ more than words do, by case and punctuation, so
+        words have a memory of their own; it starts anew when it is full."""
+        if len(self.words) > WORD_MEMORY:
+            self.words = {}
+        new = [w for w in words if w not in self.words]
+        self.words.update(zip(new, self.encode_words(new), strict=True))
+        return self.words
+
     def words_of(self, chunk: bytes) -> list[str | int]:
         """The words of a chunk in byte characters; special tokens as ids."""
         text, out = chunk.decode("utf-8", "replace"), []
@@ -179,7 +191,7 @@ class WordBpe:
         """For each chunk its ids as little-endian 32-bit integers and its decoded text."""
         cut = [self.words_of(c) for c in chunks]
         words = sorted({w for c in cut for w in c if isinstance(w, str)})
-        ids = dict(zip(words, self.encode_words(words), strict=True))
+        ids = self.known_words(words)
         for c in cut:
             tokens = [i for w in c for i in ([w] if isinstance(w, int) else ids[w])]
             yield pack(f"<{len(tokens)}I", *tokens), self.decode(tokens)
@@ -192,7 +204,7 @@ class WordBpe:
 @functools.lru_cache(maxsize=2)
 def cache_for(path: str) -> ChunkCache:
     """One memory per Python worker."""
-    return ChunkCache(WordBpe(path).encode_chunks)
+    return ChunkCache(WordBpe(path).encode_chunks, 300_000)
 
 
 def encode_and_decode(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
@@ -224,9 +236,9 @@ def encoded_texts(texts: list[bytes], cache: ChunkCache, with_ids: bool = False)
     out = []
     for group in groups(texts):
         if len(group) == 1:
-            out.append(encoded(pieces(group[0]), cache, with_ids))
+            out.append(encoded(pieces(folded(group[0])), cache, with_ids))
             continue
-        cut = [t.split() for t in group]
+        cut = [folded(t).split() for t in group]
         table = cache.of([c for chunks in cut for c in chunks])
         for chunks in cut:
             found = [table[c] for c in chunks]

@@ -9,16 +9,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
+Chunk = bytes | str
 Encoded = tuple[bytes, bytes]
 
 
 class ChunkCache:
-    def __init__(self, encode: Callable[[list[bytes]], Iterable[Encoded]], capacity: int = 150_000):
+    def __init__(self, encode: Callable[[list[Chunk]], Iterable[Encoded]], capacity: int = 150_000):
         self.encode, self.capacity = encode, capacity
-        self.young: dict[bytes, Encoded] = {}
-        self.old: dict[bytes, Encoded] = {}
+        self.young: dict[Chunk, Encoded] = {}
+        self.old: dict[Chunk, Encoded] = {}
 
-    def of(self, chunks: list[bytes]) -> dict[bytes, Encoded]:
+    def of(self, chunks: list[Chunk]) -> dict[Chunk, Encoded]:
         """A table that has all of ``chunks``."""
         absent = set(chunks) - self.young.keys()
         if absent:

@@ -33,6 +33,12 @@ def utf8(batch: pa.RecordBatch, column: str | int) -> list[bytes]:
     return [t or b"" for t in batch.column(column).cast(pa.large_binary()).to_pylist()]
 
 
+def folded(text: bytes) -> bytes:
+    """A-Z as a-z, for tokenizers of lower case, so that fewer chunks differ. A text that may hold special
+    tokens, which are told by case, stays as it is."""
+    return text if b"<|" in text else text.lower()
+
+
 def pieces(text: bytes, size: int = PIECE) -> Iterator[bytes]:
     """``text`` in pieces of about ``size`` bytes, cut behind a blank, so that no word is cut."""
     start = 0
