@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, chunks, decontam, huffman, jaccard, quality, secrets, sharding, suffix_tree, toxicity
+from tidemark.llm.oracles import ORACLES  # noqa: F401  the SQL of these queries, for the entry points
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -77,4 +78,3 @@ QUERIES = {
     op10_toxicity,
     )
 }
-ORACLES: dict[str, str] = {}
