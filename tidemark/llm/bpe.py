@@ -20,14 +20,15 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from tokenizers import Tokenizer
 
-from tidemark.llm.chunkcache import ChunkCache, Encoded
+from tidemark.llm.chunkcache import ChunkCache
 from tidemark.llm.texts import folded, groups, pieces, utf8
 
 END = "</w>"
 NEVER = 1 << 62
 #: Words that a worker remembers.
-WORD_MEMORY = 400_000
+WORD_MEMORY = 120_000
 SCHEMA = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -38,12 +39,19 @@ def byte_characters() -> list[str]:
     return [chr(other.get(b, b)) for b in range(256)]
 
 
+def well_known(text: str) -> bool:
+    """Whether all characters are of old scripts (Latin, Greek, Cyrillic ...), whose classes and cases are the
+    same in every version of Unicode. For others libraries differ, and the tokenizer's own tables decide."""
+    return text.isascii() or max(text) < "\u0530"
+
+
 class WordBpe:
     """The vocabulary and merges of a word-end BPE file, as tables."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
+        self.library = Tokenizer.from_file(path)  # for its tables of characters only
         self.vocab: dict[str, int] = spec["model"]["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
@@ -177,6 +185,10 @@ class WordBpe:
             if part in self.special:
                 out.append(self.special[part])
                 continue
+            if not well_known(part):
+                normal = self.library.normalizer.normalize_str(part)
+                out += [word for word, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
+                continue
             if not part.isascii():
                 part = unicodedata.normalize("NFC", part)
                 # Character by character where lower case would depend on the place in the word.
@@ -187,7 +199,7 @@ class WordBpe:
                 out.append(word)
         return out
 
-    def encode_chunks(self, chunks: list[bytes]) -> Iterator[Encoded]:
+    def encode_chunks(self, chunks: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
         """For each chunk its ids as little-endian 32-bit integers and its decoded text."""
         cut = [self.words_of(c) for c in chunks]
         words = sorted({w for c in cut for w in c if isinstance(w, str)})
@@ -204,7 +216,7 @@ class WordBpe:
 @functools.lru_cache(maxsize=2)
 def cache_for(path: str) -> ChunkCache:
     """One memory per Python worker."""
-    return ChunkCache(WordBpe(path).encode_chunks, 300_000)
+    return ChunkCache(WordBpe(path).encode_chunks, 120_000)
 
 
 def encode_and_decode(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
@@ -238,10 +250,7 @@ def encoded_texts(texts: list[bytes], cache: ChunkCache, with_ids: bool = False)
         if len(group) == 1:
             out.append(encoded(pieces(folded(group[0])), cache, with_ids))
             continue
-        cut = [folded(t).split() for t in group]
-        table = cache.of([c for chunks in cut for c in chunks])
-        for chunks in cut:
-            found = [table[c] for c in chunks]
+        for found in cache.of([folded(t).split() for t in group]):
             ids, text = b"".join([f[0] for f in found]), b"".join([f[1] for f in found])[:-1]
             out.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text).hexdigest(), ids if with_ids else None))
     return out
@@ -251,9 +260,7 @@ def encoded(parts: Iterable[bytes], cache: ChunkCache, with_ids: bool = False) -
     """The same for one long text that comes in parts."""
     ids, decoded, size, held, raw = hashlib.sha256(), hashlib.sha256(), 0, b"", []
     for piece in parts:
-        chunks = piece.split()
-        table = cache.of(chunks)
-        found = [table[c] for c in chunks]
+        found = cache.of([piece.split()])[0]
         part, out = b"".join([f[0] for f in found]), held + b"".join([f[1] for f in found])
         ids.update(part)
         decoded.update(out[:-1])

@@ -17,8 +17,10 @@ from __future__ import annotations
 
 import functools
 import os
+import unicodedata
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +28,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.bpe import byte_characters, well_known
 from tidemark.llm.chunkcache import ChunkCache
-from tidemark.llm.texts import groups, pieces, utf8
-from tidemark.session import shared_path, stored
+from tidemark.llm.texts import PIECE, folded, groups, pieces, utf8
+from tidemark.llm.tables import stored
+from tidemark.session import shared_path
 
 #: Longest code. The decoding table has 2 to this power entries.
 LIMIT = 16
@@ -37,6 +41,7 @@ STRIDE = 64
 #: A block is closed when it has this many ids; a longer document is one block.
 BLOCK_IDS = 1 << 16
 END_ID = 1
+MARKS = ".,;:!?"
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -130,12 +135,41 @@ def cache_for(path: str) -> ChunkCache:
     tokenizer.no_truncation()
     tokenizer.no_padding()
 
-    def encode(chunks: list[bytes]) -> Iterable[tuple[bytes, bytes]]:
-        texts = [c.decode("utf-8", "replace") for c in chunks]
-        for found in tokenizer.encode_batch_fast(texts, add_special_tokens=False):
-            yield np.array(found.ids, dtype="<u2").tobytes(), b""
-
-    return ChunkCache(encode)
+    characters, tokenize = byte_characters(), tokenizer.model.tokenize
+    marks = {m: pack("<H", *tokenizer.encode(m, add_special_tokens=False).ids) for m in MARKS}
+
+    def letters(word: str) -> bytes:
+        """A word of letters is one piece for the tokenizer's pattern, so its model can take it at once."""
+        if not word.isascii():
+            word = "".join([characters[b] for b in word.encode()])
+        ids = [token.id for token in tokenize(word)]
+        return pack(f"<{len(ids)}H", *ids)
+
+    def encode(chunks: list[bytes]) -> list[bytes]:
+        """Words of letters, with or without one mark behind them, which is a piece of its own; everything else
+        passes through the whole tokenizer."""
+        out, others = [], []
+        for k, chunk in enumerate(chunks):
+            word = chunk.decode("utf-8", "replace")
+            if word.isascii():
+                word = word.lower()
+            elif well_known(word) and "Σ" not in word:
+                word = unicodedata.normalize("NFC", word).lower()
+            else:
+                word = ""
+            if word.isalpha():
+                out.append(letters(word))
+            elif word and word[-1] in marks and word[:-1].isalpha():
+                out.append(letters(word[:-1]) + marks[word[-1]])
+            else:
+                out.append(b"")
+                others.append(k)
+        whole = [chunks[k].decode("utf-8", "replace") for k in others]
+        for k, found in zip(others, tokenizer.encode_batch_fast(whole, add_special_tokens=False)):
+            out[k] = pack(f"<{len(found.ids)}H", *found.ids)
+        return out
+
+    return ChunkCache(encode, 150_000)
 
 
 def encode_ids(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -150,21 +184,15 @@ def encode_ids(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = cache_for(tokenizer)
         for batch in batches:
-            out = []
-            for group in groups(utf8(batch, 1)):
+            done = 0
+            for group in groups(utf8(batch, 1), 8 * PIECE):
                 if len(group) > 1:
-                    cut = [t.split() for t in group]
-                    table = cache.of([c for chunks in cut for c in chunks])
-                    out += [b"".join([table[c][0] for c in chunks]) + end for chunks in cut]
+                    out = [ids.tobytes() + end for ids in cache.ids_of([folded(t) for t in group])]
                 else:
-                    parts = []
-                    for piece in pieces(group[0]):
-                        chunks = piece.split()
-                        table = cache.of(chunks)
-                        parts += [table[c][0] for c in chunks]
-                    out.append(b"".join(parts) + end)
-            counts = pa.array([len(ids) // 2 for ids in out], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), counts, pa.array(out, pa.binary())], ["doc_id", "n_tokens", "ids"])
+                    out = [b"".join([cache.ids_of([piece])[0].tobytes() for piece in pieces(folded(group[0]))]) + end]
+                keys, done = batch.column(0).slice(done, len(group)), done + len(group)
+                counts = pa.array([len(ids) // 2 for ids in out], pa.int64())
+                yield pa.RecordBatch.from_arrays([keys, counts, pa.array(out, pa.binary())], ["doc_id", "n_tokens", "ids"])
 
     return docs.select(doc_id, text).mapInArrow(run, f"doc_id {kind}, n_tokens long, ids binary")
 
@@ -175,8 +203,8 @@ def id_counts(encoded: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << 16, dtype=np.int64)
         for batch in batches:
-            for ids in batch.column(0).to_pylist():
-                total += np.bincount(np.frombuffer(ids, dtype="<u2"), minlength=1 << 16)
+            ids = b"".join(batch.column(0).to_pylist())
+            total += np.bincount(np.frombuffer(ids, dtype="<u2"), minlength=1 << 16)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used])], ["id", "n"])
 

@@ -87,15 +87,25 @@ _DOWN = np.ones(1, dtype=np.uint64)
 
 def word_hashes(text: bytes, lower: bool = True) -> np.ndarray:
     """A 64-bit hash of every word of ``text``, in order; ``lower`` takes A-Z as a-z."""
-    return np.concatenate([_piece_hashes(p, lower) for p in pieces(text)])
+    return word_spans(text, lower)[0]
 
 
-def _piece_hashes(text: bytes, lower: bool) -> np.ndarray:
+def word_spans(text: bytes, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, start and end of every word of ``text``. Works piece by piece, so memory follows the words."""
+    parts, offset = [], 0
+    for piece in pieces(text):
+        hashes, start, end = _piece_spans(piece, lower)
+        parts.append((hashes, start + offset, end + offset))
+        offset += len(piece)
+    return tuple(np.concatenate(p) for p in zip(*parts))
+
+
+def _piece_spans(text: bytes, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     global _UP, _DOWN
     data = np.frombuffer(text, dtype=np.uint8)
     n = len(data)
     if not n:
-        return np.zeros(0, dtype=np.uint64)
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     if len(_UP) <= n:
         _UP, _DOWN = _powers(MULTIPLIER, 2 * n + 1), _powers(INVERSE, 2 * n + 1)
     solid = np.ones(n + 2, dtype=np.int8)
@@ -105,7 +115,7 @@ def _piece_hashes(text: bytes, lower: bool) -> np.ndarray:
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     total = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum((_LOWER if lower else _BYTES)[data] * _UP[:n], out=total[1:])
-    return mixed((total[end] - total[start]) * _DOWN[start] + (end - start).astype(np.uint64))
+    return mixed((total[end] - total[start]) * _DOWN[start] + (end - start).astype(np.uint64)), start, end
 
 
 def run_hashes(words: np.ndarray, length: int) -> np.ndarray:
