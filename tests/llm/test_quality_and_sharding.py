@@ -1,0 +1,116 @@
+"""Quality rules against plain Python, and the laws of the uniform sharding."""
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from odd_rows import ODD
+from tidemark.llm import quality, sharding
+
+
+def plain_repeats(words):
+    windows = list(zip(words, words[1:], words[2:]))
+    marked = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(3)}
+    return len(marked)
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_repeated_words(seed, monkeypatch):
+    rng = random.Random(seed)
+    words = [rng.choice([b"a", b"b", b"c", b"d"]) for _ in range(rng.randrange(0, 60))]
+    assert quality.repeated_words(words) == plain_repeats(words)
+    monkeypatch.setattr(quality, "LONG", 0)
+    assert quality.repeated_words(words) == plain_repeats(words)
+
+
+def test_counts_of_one_text():
+    text = "Ü b\n\x0bc\nÜ b\n \n#*$%&|<> !!\nc\x1c \x85"
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    got = quality.measure(text.encode())
+    assert got[:4] == (len(words), sum(map(len, words)), 8, 2)
+    assert got[4:6] == (5, 1)
+
+
+def docs(spark):
+    good = " ".join(f"word{i}" for i in range(80))
+    junk = good.replace(" ", " # ")
+    rows = [(i, good, "clean" if i % 2 else None) for i in range(200)]
+    rows += [(1000 + i, junk, "junky") for i in range(60)] + [(2000 + i, "a b " * 60, "spam") for i in range(300)]
+    rows += [(4000 + i, good, "junky") for i in range(40)]
+    rows += [(3000, good, "junky"), (3001, good, "spam"), (3002, junk, "clean")]
+    return spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+
+def test_hosts_decide_about_soft_failures(spark):
+    got = {r["doc_id"]: r for r in quality.quality_rules(docs(spark)).collect()}
+    assert all(got[i]["kept"] for i in range(200)) and got[3000]["kept"]
+    assert not any(got[1000 + i]["kept"] or got[1000 + i]["base_failed"] for i in range(60))
+    assert all(got[2000 + i]["base_failed"] for i in range(300))
+    # A host that fails nearly always loses its good document too, others keep theirs.
+    assert not got[3001]["kept"] and got[3001]["host_rejected"] and not got[3001]["base_failed"]
+    kept = {r["doc_id"] for r in quality.keep_good(docs(spark)).collect()}
+    assert kept == {i for i, r in got.items() if r["kept"]}
+
+
+def test_a_small_host_is_judged_by_what_is_usual(spark):
+    good, bad = " ".join(f"w{i}" for i in range(60)), "few words"
+    rows = [(i, good if i % 10 else bad, f"h{i // 10 % 40}") for i in range(4000)] + [(9000, bad, "tiny"), (9001, bad, "tiny")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = quality.quality_rules(table).filter("doc_id >= 9000").collect()
+    assert [r["host_rejected"] for r in got] == [False, False]
+
+
+def test_odd_rows(odd, nothing):
+    got = quality.quality_rules(odd).collect()
+    assert len(got) == len(ODD)
+    assert sum(r["n_words"] == 0 for r in got) == 3 and all(r["base_failed"] and not r["kept"] for r in got)
+    assert quality.quality_rules(nothing).count() == 0
+    assert quality.keep_good(odd).columns == odd.columns and quality.keep_good(nothing).count() == 0
+
+
+@pytest.mark.parametrize("sizes", [[0, 0, 5, 1000, 3, 0, 77, 12], [1], [10] * 33])
+def test_matrix_has_the_given_sums(spark, sizes):
+    counts = spark.createDataFrame([(p, n) for p, n in enumerate(sizes)], "part int, n long")
+    total = sum(sizes)
+    shards = [total // 7 + (s < total % 7) for s in range(7)]
+    rows = {r["part"]: r["moves"] for r in sharding.communication_matrix(counts, shards, seed=3).collect()}
+    assert {p: sum(m) for p, m in rows.items()} == dict(enumerate(sizes))
+    assert [sum(m[s] for m in rows.values()) for s in range(7)] == shards
+    assert all(x >= 0 for m in rows.values() for x in m)
+
+
+def test_draws_follow_the_hypergeometric_law(spark):
+    from math import comb
+
+    n = 20_000
+    draws = spark.range(n).select(
+        sharding.hypergeometric(F.lit(50), F.lit(20), F.lit(10), sharding.uniform(F.lit(5), F.col("id"))).alias("x")
+    )
+    seen = {r["x"]: r["count"] for r in draws.groupBy("x").count().collect()}
+    for x in range(11):
+        share = comb(20, x) * comb(30, 10 - x) / comb(50, 10)
+        assert abs(seen.get(x, 0) / n - share) < 4 * (share / n) ** 0.5 + 1e-3
+    large = spark.range(200).select(
+        sharding.hypergeometric(F.lit(10**9), F.lit(10**9 // 16), F.lit(10**6), sharding.uniform(F.lit(5), F.col("id"))).alias("x")
+    ).agg(F.avg("x"), F.stddev("x")).first()
+    assert abs(large[0] - 62_500) < 80 and 180 < large[1] < 310
+
+
+def test_shards_are_exact_gapless_and_repeatable(spark):
+    rows = spark.range(10_007).repartition(9).withColumn("text", F.lit("same")).withColumn("part", F.lit(1))
+    got = sharding.shard_uniformly(rows, 16, seed=1, bucket_rows=100)
+    assert set(got.columns) == {"id", "text", "part", "shard", "slot"}
+    places = sorted((r["shard"], r["slot"]) for r in got.collect())
+    assert places == [(s, k) for s in range(16) for k in range(10_007 // 16 + (s < 10_007 % 16))]
+    assert got.select("id").distinct().count() == 10_007
+    # Neighbours in the input are spread over the shards.
+    by = {r["shard"]: r["n"] for r in got.filter("id < 1600").groupBy("shard").agg(F.count("*").alias("n")).collect()}
+    assert len(by) == 16 and all(55 < n < 150 for n in by.values())
+
+
+def test_sharding_of_odd_rows(odd, nothing):
+    got = sharding.shard_uniformly(odd, 4).collect()
+    assert len(got) == len(ODD) and sorted(r["slot"] for r in got if r["shard"] == 0) == [0, 1, 2]
+    assert sharding.shard_uniformly(nothing, 4).count() == 0
