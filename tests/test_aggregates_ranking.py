@@ -132,7 +132,7 @@ def test_both_sides_reads_the_input_once(spark, sf_dir):
     assert plan(got).count("Scan parquet") == 2  # once in the tree and once in its details
 
 
-@settings(max_examples=5, deadline=None)
+@settings(max_examples=25, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from("ABC"), st.sampled_from("XYZ"), st.integers(0, 3), st.integers(0, 3)), max_size=9))
 def test_both_sides_equals_a_union(spark, games):
     df = spark.createDataFrame(games, "home string, away string, hg int, ag int")
@@ -144,7 +144,7 @@ def test_both_sides_equals_a_union(spark, games):
     assert got == Counter([(h, x, y) for h, _, x, y in games] + [(a, y, x) for _, a, x, y in games])
 
 
-@settings(max_examples=5, deadline=None)
+@settings(max_examples=25, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 4)), max_size=12), st.integers(1, 4))
 def test_top_k_per_group_equals_a_model(spark, data, k):
     df = spark.createDataFrame(data, "g string, v int")
@@ -169,3 +169,28 @@ def test_keyed_join_keeps_the_left_keys(spark):
     c = spark.createDataFrame([(1, "x", 5), (1, "y", 6)], "id int, v string, n int")
     assert rows(joins.keyed_join(c, c, {"id": "id", "v": "v"}).select("id", "v")) == [(1, "x"), (1, "y")]
     assert rows(joins.lookup(a, b.withColumnRenamed("ref", "id"), "id")) == [(1, "x", "p"), (1, "x", "q")]
+
+
+def test_numbering_in_groups_shuffles_no_rows_by_group(spark):
+    df = spark.range(0, 2_000, numPartitions=4).select("id", (F.col("id") % 3).alias("g"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        text = plan(R.ordered_index(df, [F.asc("id")], ["g"]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "hashpartitioning(g#" not in text and "hashpartitioning(_part#" in text
+
+
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_numbering_in_groups_across_parts(spark, parts):
+    # One group over several parts, groups within a part, and groups that end at a border.
+    sizes = {0: 500, 1: 3, 2: 900, None: 40, 4: 1, 5: 250}
+    data = [(g, k) for g, n in sizes.items() for k in range(n)]
+    df = spark.createDataFrame(data, "g int, v int").repartition(parts)
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        got = R.ordered_index(df, [F.desc("v")], ["g"]).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+    assert sorted((str(r["g"]), r["v"], r["Pos"]) for r in got) == sorted((str(g), v, sizes[g] - v) for g, v in data)

@@ -30,7 +30,7 @@ def shuffles(df) -> int:
         ("count_distinct", {"o_custkey"}),
         ("best_days", {"l_shipdate", "l_extendedprice", "l_quantity"}),
         ("match_results", {"l_orderkey", "l_linenumber", "l_discount", "l_returnflag"}),
-        ("word_total", {"doc_id", "text"}),
+        ("word_total", {"text"}),
         ("global_minmax", {"l_extendedprice"}),
     ],
 )

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows, values
-from tidemark.session import shared_path, spread
+from tidemark.session import PARTITIONS_KEY, shared_path, spread
 from tidemark.sources import inventory, readers, writers
 
 FIELDS = "id int, name string, day date, x double"
@@ -121,8 +121,37 @@ def test_shared_paths_are_fresh(spark):
     assert a != b and a.startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
-def test_spread_leaves_large_scans_alone(spark):
-    cores = spark.sparkContext.defaultParallelism
-    wide, narrow = spark.range(100, numPartitions=cores), spark.range(100, numPartitions=1)
-    assert spread(wide, "id") is wide
-    assert spread(narrow, "id").rdd.getNumPartitions() == cores
+def test_spread_deals_out_only_when_asked(spark):
+    narrow = spark.range(100, numPartitions=1)
+    assert spread(narrow, "id") is narrow
+    assert spread(narrow, "id", partitions=5).rdd.getNumPartitions() == 5
+    spark.conf.set(PARTITIONS_KEY, 3)
+    try:
+        assert spread(narrow, "id").rdd.getNumPartitions() == 3
+    finally:
+        spark.conf.unset(PARTITIONS_KEY)
+
+
+TEXTS = ["a\nb", "c\r\nd", "  lead ", "", None, 'q "x" \\', "%0A %N |,", "end\\"]
+
+
+def test_faithful_csv_keeps_every_text_and_time(spark, folder):
+    rows_in = [(k, t, dt.datetime(2024, 1, 1, 0, 0, 0, 123456)) for k, t in enumerate(TEXTS)]
+    frame = spark.createDataFrame(rows_in, "id int, text string, moment timestamp_ntz")
+    writers.write_csv(frame, folder + "/t", faithful=True)
+    assert sorted(map(tuple, readers.read_csv(spark, folder + "/t", frame.schema, "|", faithful=True).collect())) == rows_in
+
+
+def test_plain_csv_keeps_edges_quotes_and_microseconds(spark, folder):
+    rows_in = [(1, "  lead ", dt.datetime(2024, 1, 1, 0, 0, 0, 123456)), (2, 'q "x" \\', None), (3, "end\\", None)]
+    frame = spark.createDataFrame(rows_in, "id int, text string, moment timestamp_ntz")
+    writers.write_csv(frame, folder + "/t")
+    assert sorted(map(tuple, readers.read_csv(spark, folder + "/t", frame.schema, "|").collect())) == rows_in
+
+
+def test_append_looks_at_the_header_of_the_folder(spark, folder):
+    frame = spark.createDataFrame([(1, "x")], "id int, name string")
+    writers.write_csv(frame, folder + "/t")
+    other = frame.select("name", "id")
+    with pytest.raises(writers.SchemaMismatch, match="folder"):
+        writers.append_csv(other, folder + "/t", other.schema)

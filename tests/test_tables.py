@@ -87,7 +87,7 @@ def test_upsert_has_no_full_outer_join(spark, target):
 keyed = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 5)), st.integers(0, 9)), max_size=8)
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=25, deadline=None)
 @given(old=keyed, new=st.lists(st.tuples(st.integers(0, 7), st.integers(10, 19)), max_size=6, unique_by=lambda r: r[0]))
 def test_upsert_matches_a_model(spark, old, new):
     fields = "k int, v int"
@@ -98,7 +98,7 @@ def test_upsert_matches_a_model(spark, old, new):
     assert sorted(rows(merged), key=str) == sorted(expected, key=str)
 
 
-@settings(max_examples=6, deadline=None)
+@settings(max_examples=25, deadline=None)
 @given(data=st.lists(st.tuples(st.one_of(st.none(), st.integers(-3, 3)), st.integers(0, 3)), max_size=8))
 def test_update_and_delete_match_a_model(spark, data):
     df = spark.createDataFrame(data, "a int, b int")

@@ -48,6 +48,12 @@ def sensor_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def autumn_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings with their times folded into the two days around the change of the clock in 2024."""
+    start, span = 1_729_900_800_000, 2 * 86_400_000  # 2024-10-26 00:00 UTC
+    return sensor_readings(spark, sf_dir).withColumn("Time", F.lit(start) + F.pmod(F.col("Time"), F.lit(span)))
+
+
 def retail_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "lineitem")
     return items.select(
@@ -208,10 +214,10 @@ def page_images(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def image_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metadata of the page images; pages whose number divides by nine have none."""
+    """Metadata of the page images."""
     pages = table(spark, sf_dir, "pages")
     group = F.when(F.col("page_id") % 3 == 0, "activities-sport").otherwise("symbols")
-    return pages.where(F.col("page_id") % 9 != 0).select(
+    return pages.select(
         F.upper(F.hex(F.col("page_id"))).alias("hexcode"),
         F.concat(F.lit("page "), F.col("page_id")).alias("annotation"),
         group.alias("group"),
@@ -245,7 +251,7 @@ def minute_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     time = F.unix_date(F.to_date("l_shipdate")).cast("long") * 86400 + second
     columns = [values[name].cast("double").alias(name) for name in (*WEATHER, *POWER, *PRICE)]
-    return spread(items.select("l_orderkey", "l_linenumber", time.alias("time"), *columns), "l_orderkey", "l_linenumber")
+    return items.select("l_orderkey", "l_linenumber", time.alias("time"), *columns)
 
 
 def customer_update(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -189,7 +189,37 @@ hist AS (
 meta AS (
   SELECT page_id, 'page ' || page_id AS annotation,
          CASE WHEN page_id % 3 = 0 THEN 'activities-sport' ELSE 'symbols' END AS grp
-  FROM pages WHERE page_id % 9 <> 0)"""
+  FROM pages)"""
+
+MEASUREMENTS = """measurements AS (
+  SELECT month(l_shipdate) - 1 AS month, (l_orderkey * 61 + l_linenumber * 997) % 86400 // 3600 AS hour,
+         l_linenumber = 7 AND l_returnflag = 'R' AS no_weather, l_linenumber = 7 AND l_returnflag = 'A' AS no_power,
+         l_linenumber = 7 AND l_returnflag = 'N' AS no_price,
+         CAST('0x' || substr(md5(l_orderkey || '|' || l_linenumber || '|0'), 1, 8) AS BIGINT) % 10000 >= 8000 AS tested
+  FROM lineitem)"""
+# Each case: what is told, what must be there, and whether the inputs say anything about it.
+STUDY = {
+    "month_weather": ("month", "NOT no_weather", True),
+    "month_power": ("month", "NOT no_power", True),
+    "month_all": ("month", "NOT no_weather AND NOT no_power AND NOT no_price", True),
+    "hour_weather": ("hour", "NOT no_weather", False),
+    "hour_power": ("hour", "NOT no_power", True),
+    "hour_all": ("hour", "NOT no_weather AND NOT no_power AND NOT no_price", True),
+}
+CHOICES = {
+    "hour_power_price_tree": ("hour", "NOT no_power AND NOT no_price", True),
+    "month_weather_solar_bayes": ("month", "NOT no_weather", True),
+}
+
+
+def study(cases: dict[str, tuple[str, str, bool]]) -> str:
+    parts = [
+        f"""SELECT '{name}' AS "case", CAST(sum(n) AS BIGINT) AS tested, round(100 * max(n) / sum(n), 6) AS commonest, {better} AS better
+        FROM (SELECT {label}, count(*) AS n FROM measurements WHERE tested AND {present} GROUP BY 1)"""
+        for name, (label, present, better) in cases.items()
+    ]
+    return f"WITH {MEASUREMENTS} " + " UNION ALL ".join(parts)
+
 
 POINTS = """points AS (
   SELECT l_orderkey, l_linenumber, l_quantity AS x, l_extendedprice AS y,
@@ -258,6 +288,26 @@ ORACLES: dict[str, str] = {
     "int_add": "SELECT p_partkey, p_size + p_partkey AS two, p_size + p_partkey + 7 AS three FROM part",
     "composite_key_join": """SELECT o_custkey, o_orderstatus, count(*) AS orders,
         count(*) FILTER (o_orderpriority LIKE '1%') AS urgent FROM orders GROUP BY 1, 2 HAVING urgent > 0""",
+    "forest_study": study(STUDY),
+    "classifier_choices": study(CHOICES),
+    "parquet_first_schema": f"""WITH {INCIDENTS} SELECT "ID", "Start_Time", "Description", "Temperature_F" FROM incidents
+        UNION ALL SELECT "ID", "Start_Time", NULL, NULL FROM drifted""",
+    "storage_inventory": " UNION ALL ".join(
+        f"SELECT '{name}' AS \"table\", count(*) AS rows, CAST(1 AS BIGINT) AS files, TRUE AS sized FROM {name}"
+        for name in ("customer", "events", "lineitem", "nation", "orders", "part", "region", "supplier")
+    ),
+    "format_sizes": """SELECT 'csv' AS format, count(*) AS rows, FALSE AS smaller FROM orders
+        UNION ALL SELECT 'parquet', count(*), TRUE FROM orders""",
+    "csv_text_round_trip": r"""WITH t AS (
+        SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 7 = 1 THEN '' ELSE concat('  "q" \ %0A|', text, chr(13), chr(10), ' ') END AS text
+        FROM documents)
+        SELECT doc_id, md5(text) AS digest, CAST(length(text) AS BIGINT) AS characters,
+          TIMESTAMP '2024-03-01' + to_microseconds(doc_id * 1000003) AS moment FROM t""",
+    "repeated_hour": f"""WITH {SENSORS.split("hourly AS")[0]}
+        folded AS (SELECT TIMESTAMP '2024-10-26' + to_milliseconds(epoch_ms(ts) % 172800000) AS utc, solar, temperature FROM readings),
+        hours AS (SELECT date_trunc('hour', utc) AS hour, avg(solar) / 1000 AS produced, avg(temperature) AS temperature FROM folded GROUP BY 1)
+        SELECT hour + CASE WHEN hour < TIMESTAMP '2024-10-27 01:00:00' THEN INTERVAL 3 HOUR ELSE INTERVAL 2 HOUR END AS "Time",
+          round(produced, 6) AS "ProducedEnergy", round(temperature, 6) AS "AvgTemperature" FROM hours""",
     "hourly_rollup": f"""WITH {SENSORS.format(shift=2)} SELECT hour AS "Time", round(temperature, 6) AS "AvgTemperature",
         round(produced, 6) AS "ProducedEnergy", round(consumed, 6) AS "ConsumedEnergy", round(price, 6) AS "Price" FROM hourly""",
     "daily_rollup": f"WITH {SENSORS.format(shift=2)} SELECT * FROM daily",
@@ -278,7 +328,7 @@ ORACLES: dict[str, str] = {
     "word_total": f"WITH {LINES} SELECT count(*) AS words FROM words",
     "word_distinct": f"WITH {LINES} SELECT count(DISTINCT word) AS distinct_words FROM words",
     "word_counts": f"WITH {LINES} SELECT word, count(*) AS count FROM words GROUP BY 1",
-    "word_counts_typed": f"WITH {LINES} SELECT word, CAST(count(*) AS INTEGER) AS count FROM words GROUP BY 1",
+    "word_counts_typed": f"WITH {LINES} SELECT word, count(*) AS count FROM words GROUP BY 1",
     "top_word_len7_s": f"""WITH {LINES} SELECT word, count(*) AS count FROM words
         WHERE length(word) = 7 AND word LIKE 's%' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1""",
     "text_line_scan": f"""WITH {LINES} SELECT count(*) AS lines, CAST(sum(length(line)) AS BIGINT) AS characters

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.catalog import inputs
 from tidemark.catalog.inputs import SEASON, table
@@ -14,12 +14,13 @@ from tidemark.operators import aggregates, ml, ranking, reshape, tables
 from tidemark.operators.joins import keyed_join
 from tidemark.plans import classification, corpus, energy, football, images, regression, sales, storage, weather
 from tidemark.session import shared_path, stored
-from tidemark.sources.inventory import file_inventory, storage_size
+from tidemark.sources.inventory import file_inventory, file_name, rows_per_file
 from tidemark.sources.readers import read_csv, read_parquet, stream_csv, view_of
 from tidemark.sources.writers import write_csv, write_format, write_parquet
 from tidemark.streaming import sales as stream_sales
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
+STORED_TABLES = ("customer", "events", "lineitem", "nation", "orders", "part", "region", "supplier")
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
@@ -212,6 +213,14 @@ def weekly_cost(spark: SparkSession, sf: str) -> DataFrame:
     return energy.total_cost(daily)
 
 
+@query
+def repeated_hour(spark: SparkSession, sf: str) -> DataFrame:
+    """Hourly rows around the last Sunday of October, when the local hour from three to four comes twice."""
+    readings = inputs.autumn_readings(spark, sf)
+    hourly = energy.hourly_averages(readings)
+    return hourly.select("Time", F.round("ProducedEnergy", 6).alias("ProducedEnergy"), F.round("AvgTemperature", 6).alias("AvgTemperature"))
+
+
 @query
 def local_hours(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select("event_id", local_hour(epoch_ms("ts"), "Europe/Helsinki").alias("hour"))
@@ -236,15 +245,16 @@ def best_days(spark: SparkSession, sf: str) -> DataFrame:
     return sales.best_days(daily).select("orderDate", F.round("totalSales", 2).alias("totalSales"), "totalCount")
 
 
-def _sales_stream(spark: SparkSession, sf: str, batches: int = 2) -> tuple[DataFrame, str]:
-    """The sales as header-less CSV files in the shared folder, read as a stream of a few batches."""
+def _sales_stream(spark: SparkSession, sf: str, files: int = 12, files_per_batch: int = 4) -> tuple[DataFrame, str]:
+    """The sales as header-less CSV files in the shared folder, read as a stream of three batches.
+
+    The number of files is given, not derived: batches and merges of state are the same at every size.
+    """
     source = inputs.retail_sales(spark, sf)
     folder = shared_path(spark, "sales-stream")
-    # A small table is one write task; its file is cut into at most 64. The count reads only footers.
-    rows = max(source.count() // 64, 10_000)
-    write_csv(source, f"{folder}/in", sep=";", header=False, max_records_per_file=rows)
-    files = len(read_csv(spark, f"{folder}/in", source.schema, sep=";", header=False).inputFiles())
-    return stream_csv(spark, f"{folder}/in", source.schema, files_per_batch=-(-files // batches)), folder
+    dealt = source.repartition(files, *source.columns)
+    write_csv(dealt, f"{folder}/in", sep=";", header=False)
+    return stream_csv(spark, f"{folder}/in", source.schema, files_per_batch=files_per_batch), folder
 
 
 @query
@@ -544,6 +554,17 @@ def csv_safe_append(spark: SparkSession, sf: str) -> DataFrame:
     return storage.csv_append(spark, shared_path(spark, "csv-append"), open_orders, others)
 
 
+@query
+def csv_text_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts with breaks, quotes, backslashes, edge spaces and codes, empty texts, NULLs and microseconds."""
+    number = F.col("doc_id")
+    text = F.when(number % 7 == 0, None).when(number % 7 == 1, "").otherwise(F.concat(F.lit('  "q" \\ %0A|'), "text", F.lit("\r\n ")))
+    moment = F.lit("2024-03-01").cast("timestamp_ntz") + F.expr("INTERVAL '0.000001' SECOND") * (number * 1_000_003)
+    rows = table(spark, sf, "documents").select("doc_id", text.alias("text"), moment.alias("moment"))
+    again = storage.csv_round_trip(spark, shared_path(spark, "csv-texts"), rows)
+    return again.select("doc_id", F.md5(F.encode("text", "utf-8")).alias("digest"), F.length("text").cast("long").alias("characters"), "moment")
+
+
 @query
 def csv_inferred_scan(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_path(spark, "csv-inferred")
@@ -574,18 +595,41 @@ def sql_view_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def storage_inventory(spark: SparkSession, sf: str) -> DataFrame:
-    return storage_size(file_inventory(spark, sf))
+    """Rows of each table file, read, and whether the inventory has the file with bytes in it."""
+    files = file_inventory(spark, sf).select(file_name("path").alias("file"), "bytes")
+    counts = [
+        rows_per_file(table(spark, sf, name)).select(F.lit(name).alias("table"), "file", "rows") for name in STORED_TABLES
+    ]
+    found = keyed_join(reshape.union_all(counts), files, {"file": "file"})
+    return found.groupBy("table").agg(
+        F.sum("rows").alias("rows"), F.count("*").alias("files"), (F.min("bytes") > 0).alias("sized")
+    )
 
 
 @query
 def format_sizes(spark: SparkSession, sf: str) -> DataFrame:
-    """The same incidents as CSV and as Parquet, and what they take up."""
+    """The same incidents as CSV and as Parquet: rows read back per file, and whether Parquet is smaller."""
     rows, sizes = inputs.incidents(spark, sf), []
     for fmt, options in (("csv", {"header": True, "sep": "|"}), ("parquet", {})):
         path = shared_path(spark, f"sizes-{fmt}")
         write_format(rows, path, fmt, **options)
-        sizes.append(storage_size(file_inventory(spark, path)).withColumn("format", F.lit(fmt)))
-    return reshape.union_all(sizes)
+        again = read_csv(spark, path, rows.schema, "|") if fmt == "csv" else read_parquet(spark, path)
+        files = file_inventory(spark, path).select(file_name("path").alias("file"), "bytes")
+        counted = keyed_join(rows_per_file(again), files, {"file": "file"})
+        sizes.append(counted.agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes")).withColumn("format", F.lit(fmt)))
+    both = reshape.union_all(sizes)
+    least = F.min("bytes").over(Window.partitionBy(F.lit(0)))
+    return both.select("format", "rows", (F.col("bytes") == least).alias("smaller"))
+
+
+@query
+def parquet_first_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """A folder with two schemas read under the one that is asked for: columns of the other are left out."""
+    path = shared_path(spark, "parquet-plain")
+    rows = inputs.incidents(spark, sf)
+    write_parquet(rows, path)
+    write_parquet(_drifted(spark, sf), path, mode="append")
+    return spark.read.schema(rows.schema).parquet(path).select("ID", "Start_Time", "Description", "Temperature_F")
 
 
 @query
@@ -691,11 +735,21 @@ def _measurements(spark: SparkSession, sf: str) -> DataFrame:
     return stored(classification.with_labels(inputs.minute_measurements(spark, sf)), "measurements")
 
 
+def _study(spark: SparkSession, sf: str, cases: dict[str, classification.Case]) -> DataFrame:
+    """Tested rows, share of the commonest class and whether the model does at least as well, per case."""
+    rows = _measurements(spark, sf)
+    measured = classification.run_study(rows, LINE_KEY, cases, portable=True)
+    joined = keyed_join(classification.commonest(rows, LINE_KEY, cases), measured, {"case": "case"})
+    better = (F.col("within_0") > F.col("commonest")) & (F.col("within_0") <= F.col("within_1")) & (F.col("within_1") <= F.col("within_2"))
+    probable = F.col("mean_probability").between(0, 1)
+    return joined.select("case", "tested", F.round("commonest", 6).alias("commonest"), (better & probable).alias("better"))
+
+
 @query
 def forest_study(spark: SparkSession, sf: str) -> DataFrame:
-    return classification.run_study(_measurements(spark, sf), LINE_KEY)
+    return _study(spark, sf, classification.study_cases())
 
 
 @query
 def classifier_choices(spark: SparkSession, sf: str) -> DataFrame:
-    return classification.run_study(_measurements(spark, sf), LINE_KEY, classification.further_cases())
+    return _study(spark, sf, classification.further_cases())

@@ -83,19 +83,49 @@ def ordered_index(df: DataFrame, order: Order, group: Sequence[str] = (), name:
     # The id holds the partition number above bit 33 and the place in the partition below it.
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     tagged = stored(df.orderBy(*group, *order).select("*", part.alias("_part"), place.alias("_place")), "ordered")
+    if group:
+        return _index_in_groups(tagged, list(group), name).select(*df.columns, name)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = tagged.groupBy("_part").agg(F.count("*").alias("_size"))
     starts = sizes.select(F.col("_part"), F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
     # One row per partition of the sort, so the broadcast side is bounded by the partition count.
     indexed = tagged.join(F.broadcast(starts), "_part").withColumn(name, F.col("_start") + F.col("_place") + 1)
-    if group:
-        renamed = {key: f"_first_{key}" for key in group}
-        firsts = indexed.groupBy(*[F.col(key).alias(renamed[key]) for key in group]).agg(F.min(name).alias("_first"))
-        same = [F.col(key).eqNullSafe(F.col(renamed[key])) for key in group]
-        indexed = indexed.join(firsts, same).withColumn(name, F.col(name) - F.col("_first") + 1)
     return indexed.select(*df.columns, name)
 
 
+def _index_in_groups(tagged: DataFrame, group: list[str], name: str) -> DataFrame:
+    """Places within groups of rows that are sorted by group and tagged with ``_part`` and ``_place``.
+
+    A row's place in its group is its place in the part less that of the group's first row there. Only
+    a part's first group can have begun in earlier parts: what it has there is the sum over the parts
+    that end with it without a break, one row per part in a single window. Rows meet their group's first
+    place by (part, group), so a group of any size is spread over as many keys as it has parts.
+    """
+    pieces = tagged.groupBy("_part", *group).agg(F.min("_place").alias("_first"), F.count("*").alias("_size"))
+    key = F.struct(*group)
+    parts = pieces.groupBy("_part").agg(
+        F.min_by(key, "_first").alias("_head"),
+        F.max_by(key, "_first").alias("_tail"),
+        F.max_by("_size", "_first").alias("_last"),
+        F.count("*").alias("_groups"),
+    )
+    by_part = Window.orderBy("_part")
+    linked = parts.withColumn("_linked", F.coalesce(F.col("_head") == F.lag("_tail").over(by_part), F.lit(False)))
+    # A chain of parts with one group each goes on as long as the group does.
+    chain = F.sum(F.when(F.col("_linked") & (F.col("_groups") == 1), 0).otherwise(1)).over(by_part)
+    chained = linked.withColumn("_chain", chain)
+    sums = chained.withColumn("_upto", F.sum("_last").over(Window.partitionBy("_chain").orderBy("_part")))
+    carried = sums.select("_part", F.when(F.col("_linked"), F.lag("_upto").over(by_part)).otherwise(0).alias("_before"))
+    starts = pieces.join(carried, "_part").select(
+        F.col("_part").alias("_p"),
+        *[F.col(g).alias(f"_g{k}") for k, g in enumerate(group)],
+        (F.when(F.col("_first") == 0, F.col("_before")).otherwise(0) - F.col("_first")).alias("_shift"),
+    )
+    same = [F.col(g).eqNullSafe(F.col(f"_g{k}")) for k, g in enumerate(group)]
+    met = tagged.join(starts, [F.col("_part") == F.col("_p"), *same])
+    return met.withColumn(name, F.col("_place") + F.col("_shift") + 1)
+
+
 def sample_by_suffix(
     df: DataFrame, id_column: str, suffixes: Sequence[str], n: int, order: Order | None = None, mark: str = "_"
 ) -> DataFrame:

@@ -10,7 +10,7 @@ from tidemark.operators.ranking import top_k
 from tidemark.operators.reshape import explode_words
 from tidemark.sources.readers import typed
 
-WORD_COUNT = "word string, count int"
+WORD_COUNT = "word string, count bigint"
 LINE_BREAK = r"\r\n|\r|\n"
 
 
@@ -47,7 +47,7 @@ def word_counts(word_rows: DataFrame) -> DataFrame:
 
 
 def typed_word_counts(counts: DataFrame) -> DataFrame:
-    """Word counts under the declared record ``word string, count int``."""
+    """Word counts under the declared record ``word string, count bigint``."""
     return typed(counts, WORD_COUNT)
 
 

@@ -8,7 +8,7 @@ from operator import add
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.functions.columns import kilo, local_hour
+from tidemark.functions.columns import kilo, local_hour, local_time, utc_time
 
 CONSUMERS = ("WaterCooling01Power", "WaterCooling02Power", "VentilationPower")
 
@@ -22,21 +22,23 @@ def hourly_averages(
     consumers: Sequence[str] = CONSUMERS,
     price: str = "ElectricityPrice",
 ) -> DataFrame:
-    """Averages per local hour; the mean watts of an hour, divided by 1000, are its kWh.
+    """Averages per hour under its local label; the mean watts of an hour, divided by 1000, are its kWh.
 
+    The two hours of one label, when the clock is set back, stay two rows: they differ in their offset.
     Each row holds one sensor and NULL for the rest, which averages skip. An hour in which one of the
     consumers has no reading has no consumption.
     """
     consumed = reduce(add, [F.avg(name) for name in consumers])
+    offset = F.timestamp_diff("MINUTE", utc_time(time), local_time(time, zone))
     return (
-        readings.groupBy(local_hour(time, zone).alias("Time"))
+        readings.groupBy(local_hour(time, zone).alias("Time"), offset.alias("_offset"))
         .agg(
             F.avg(temperature).alias("AvgTemperature"),
             kilo(F.avg(producer)).alias("ProducedEnergy"),
             kilo(consumed).alias("ConsumedEnergy"),
             F.avg(price).alias("Price"),
         )
-        .orderBy("Time")
+        .drop("_offset")
     )
 
 
@@ -51,7 +53,6 @@ def daily_totals(hourly: DataFrame) -> DataFrame:
             F.round(F.sum("ConsumedEnergy"), 2).alias("ConsumedEnergy"),
             F.round(F.sum(bought * F.col("Price") / 1000), 2).alias("DailyCost"),
         )
-        .orderBy("Date")
     )
 
 

@@ -22,15 +22,21 @@ def parquet_with_drift(spark: SparkSession, path: str, frames: Sequence[DataFram
 def csv_with_drift(spark: SparkSession, path: str, base: DataFrame, drifted: DataFrame, sep: str = "|") -> DataFrame:
     """CSV cannot hold two schemas: rows of another one are stored under the union of the columns."""
     both = evolve_append(base, drifted)
-    write_csv(both, path, sep=sep)
-    return read_csv(spark, path, schema=both.schema, sep=sep)
+    write_csv(both, path, sep=sep, faithful=True)
+    return read_csv(spark, path, schema=both.schema, sep=sep, faithful=True)
+
+
+def csv_round_trip(spark: SparkSession, path: str, rows: DataFrame, sep: str = "|") -> DataFrame:
+    """Write and read again, with texts of any content, NULLs and microseconds intact."""
+    write_csv(rows, path, sep=sep, faithful=True)
+    return read_csv(spark, path, schema=rows.schema, sep=sep, faithful=True)
 
 
 def csv_append(spark: SparkSession, path: str, base: DataFrame, more: DataFrame, sep: str = "|") -> DataFrame:
     """Write, append rows of the same columns in any order, and read both again."""
-    write_csv(base, path, sep=sep)
-    append_csv(more, path, base.schema, sep=sep)
-    return read_csv(spark, path, schema=base.schema, sep=sep)
+    write_csv(base, path, sep=sep, faithful=True)
+    append_csv(more, path, base.schema, sep=sep, faithful=True)
+    return read_csv(spark, path, schema=base.schema, sep=sep, faithful=True)
 
 
 def json_lines_round_trip(spark: SparkSession, path: str, objects: DataFrame, column: str) -> DataFrame:

@@ -17,8 +17,8 @@ def with_year(df: DataFrame, date: str) -> DataFrame:
 def yearly_extremes(
     df: DataFrame, date: str, low: str, high: str, names: Sequence[str] = ("temperature_min", "temperature_max")
 ) -> DataFrame:
-    """Lowest and highest value of each year, newest year first."""
-    return extremes(with_year(df, date), ["year"], low, high, names).orderBy(F.desc("year"))
+    """Lowest and highest value of each year."""
+    return extremes(with_year(df, date), ["year"], low, high, names)
 
 
 def yearly_statistics(
@@ -40,7 +40,6 @@ def yearly_statistics(
             F.round(F.max(high), 1).alias(names[1]),
             F.round(F.avg(depth)).cast("int").alias(names[2]),
         )
-        .orderBy(F.desc("year"), F.asc(place))
     )
 
 
@@ -70,13 +69,13 @@ def statistics_look_ups(
 def cold_days(df: DataFrame, date: str, place: str, where: str, mean: str, below: float) -> DataFrame:
     """Days of each year on which the mean was below a limit in one place; years without any show 0."""
     rows = with_year(df.where(F.col(place) == where), date)
-    return conditional_counts(rows, ["year"], {"count": F.col(mean) < below}).orderBy("year")
+    return conditional_counts(rows, ["year"], {"count": F.col(mean) < below})
 
 
 def warm_snow_days(df: DataFrame, place: str, mean: str, depth: str, above: float, deeper: float) -> DataFrame:
     """Days per place with a mean above a limit although the snow was deeper than another."""
     test = (F.col(mean) > above) & (F.col(depth) > deeper)
-    return conditional_counts(df, [place], {"count": test}).orderBy(place)
+    return conditional_counts(df, [place], {"count": test})
 
 
 def widest_days(df: DataFrame, date: str, low: str, high: str, k: int = 10, name: str = "temperature_diff") -> DataFrame:

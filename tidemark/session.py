@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+#: Partitions to which ``spread`` deals out small files; unset: none.
+PARTITIONS_KEY = "tidemark.partitions"
 
 
 def local_session(app: str, cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -48,14 +50,16 @@ def shared_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/tidemark/{purpose}-{uuid.uuid4().hex}"
 
 
-def spread(scan: DataFrame, *keys: str) -> DataFrame:
-    """A scan of fewer partitions than cores, dealt out by key; any other scan as it is.
+def spread(scan: DataFrame, *keys: str, partitions: int | None = None) -> DataFrame:
+    """``scan`` dealt out by key to so many partitions; by default to those that ``tidemark.partitions`` of
+    the session names, and left as it is without either.
 
-    For work that costs far more per row than a shuffle does, such as cutting texts or training, on an
-    input too small to be split. A table large enough to occupy the cluster is never shuffled.
+    For work that costs far more per row than a shuffle does, such as cutting texts, on files too small
+    to be split. Neither the size of the table nor that of the cluster is looked at, so a large table is
+    shuffled only if asked for.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, *keys) if scan.rdd.getNumPartitions() < cores else scan
+    number = partitions or int(scan.sparkSession.conf.get(PARTITIONS_KEY, None) or 0)
+    return scan.repartition(number, *keys) if number else scan
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:

@@ -1,17 +1,19 @@
 """Best selling days over a growing folder of CSV files.
 
 The aggregation is the batch one; its state is one row per day. Complete mode hands the whole result
-to the sink at every trigger, which replaces a Parquet table, so a repeated batch changes nothing.
+to the sink at every trigger, which writes it to a folder of that batch. A repeated batch writes the same
+folder again, and readers take the last complete one, so they never meet a half-written table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.plans.sales import best_days, daily_sales
+from tidemark.sources.readers import read_parquet
 from tidemark.sources.writers import write_parquet
 
 
@@ -27,15 +29,26 @@ def console_query(result: DataFrame, rows: int = 8) -> StreamingQuery:
     return writer.option("truncate", False).option("numRows", rows).start()
 
 
-def replace_table(path: str, shape: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """A batch handler that shapes the result and writes it in place of the last one."""
+def versioned_table(path: str, shape: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """A batch handler that shapes the result and writes it beside those of earlier batches.
 
-    def write(batch: DataFrame, _: int) -> None:
-        write_parquet(shape(batch), path)
+    A line in the log comes last: it tells that the batch is complete.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        write_parquet(shape(batch), f"{path}/batch={number}")
+        write_parquet(spark.createDataFrame([(number,)], "batch long").coalesce(1), f"{path}-log", mode="append")
 
     return write
 
 
+def latest_version(spark: SparkSession, path: str) -> DataFrame:
+    """The table as the last complete batch wrote it."""
+    number = read_parquet(spark, f"{path}-log").agg(F.max("batch")).first()[0]
+    return read_parquet(spark, f"{path}/batch={number}")
+
+
 def start_table_query(
     result: DataFrame,
     path: str,
@@ -43,16 +56,16 @@ def start_table_query(
     shape: Callable[[DataFrame], DataFrame] = lambda batch: batch,
     once: bool = False,
 ) -> StreamingQuery:
-    """Keep a Parquet table equal to ``shape`` of the result; ``once`` ends after the files now there."""
+    """Write ``shape`` of the result at every batch; ``once`` ends after the files now there."""
     writer = result.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
-    writer = writer.foreachBatch(replace_table(path, shape))
+    writer = writer.foreachBatch(versioned_table(path, shape))
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
 def daily_sales_table(stream: DataFrame, path: str, checkpoint: str, date: str = "orderDate") -> DataFrame:
     """Daily sales after all files now in the folder."""
     start_table_query(daily_sales(stream, date), path, checkpoint, once=True).awaitTermination()
-    return stream.sparkSession.read.parquet(path)
+    return latest_version(stream.sparkSession, path)
 
 
 def best_days_table(stream: DataFrame, path: str, checkpoint: str, date: str = "orderDate", k: int = 8) -> DataFrame:
@@ -61,7 +74,7 @@ def best_days_table(stream: DataFrame, path: str, checkpoint: str, date: str = "
         daily_sales(stream, date), path, checkpoint, lambda batch: best_days(batch, date, k), once=True
     )
     query.awaitTermination()
-    return stream.sparkSession.read.parquet(path)
+    return latest_version(stream.sparkSession, path)
 
 
 def run_for(query: StreamingQuery, seconds: float) -> bool:
