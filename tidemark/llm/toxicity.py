@@ -16,11 +16,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.texts import fresh, mixed, utf8, word_hashes
-from tidemark.session import stored
+from tidemark.llm.tables import stored
 
 #: Labelled documents of each class that are learnt from: those of least hash among the permitted ones.
 TOXIC_SAMPLE, ORDINARY_SAMPLE = 1_500, 4_500
@@ -170,10 +170,9 @@ def fitted(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: st
     known = labels.select(F.col(doc_id).alias("key"), F.col(label).cast("int").alias("toxic")).filter("toxic in (0, 1)")
     known = known.filter(~held_out("key")).dropDuplicates(["key"])
     counts = known.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).first()
-    order = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("key"), "key"))
-    chosen = known.withColumn("k", order).filter(
-        ((F.col("toxic") == 1) & (F.col("k") <= TOXIC_SAMPLE)) | ((F.col("toxic") == 0) & (F.col("k") <= ORDINARY_SAMPLE))
-    )
+    order = [F.xxhash64("key"), F.col("key")]
+    toxic = known.filter("toxic = 1").orderBy(*order).limit(TOXIC_SAMPLE)
+    chosen = toxic.unionByName(known.filter("toxic = 0").orderBy(*order).limit(ORDINARY_SAMPLE))
     chosen = stored(chosen.select("key", "toxic"), "labelled")
     start = F.substring(F.encode(F.col(text), "utf-8"), 1, SAMPLE_BYTES)
     rows = docs.select(F.col(doc_id).alias("key"), start.alias("text")).join(chosen, "key").collect()
