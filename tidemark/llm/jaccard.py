@@ -4,7 +4,7 @@ Exact, in three narrowing steps:
 
 1. Of each set the first shingles in the order of their hashes are looked at. Two similar sets have a
    known number of common shingles among these, so documents with fewer that occur elsewhere have no
-   partner at all. Most documents leave here, having sent less than a third of their shingles.
+   partner at all. Most documents leave here, having sent two fifths of their shingles.
 2. The others become classes of equal sets. Shingles are ordered rare first, and each class posts those
    of its prefix. Members of a posting list are candidates if their sizes (length filter), their places
    in the order (positional filter) and the parities of parts of their sets (suffix filter) allow it.
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.texts import mixed, shingle_set, utf8
-from tidemark.session import stored
+from tidemark.llm.tables import stored
 
 WORDS = 5
 PERCENT = 80
@@ -39,8 +39,8 @@ def least_common(n: int) -> int:
     return (PERCENT * n + 99) // 100
 
 
-def tenth(n: int) -> int:
-    return (n + 9) // 10
+def fifth(n: int) -> int:
+    return (n + 4) // 5
 
 
 def _sampled(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -56,7 +56,7 @@ def _sampled(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         for batch in batches:
             sets = [shingle_set(t, WORDS) for t in utf8(batch, 1)]
             n = np.array([len(s) for s in sets], dtype=np.int64)
-            heads = [s[: len(s) - least_common(len(s)) + tenth(len(s))].copy() for s in sets]
+            heads = [s[: len(s) - least_common(len(s)) + fifth(len(s))].copy() for s in sets]
             first = np.array([s[0] if len(s) else 0 for s in sets], dtype=np.uint64)
             del sets
             owner = np.repeat(np.arange(len(heads)), [len(h) for h in heads])
@@ -64,7 +64,7 @@ def _sampled(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
             hashes, back, count = np.unique(every, return_inverse=True, return_counts=True)
             common = count[back] > 1
             added = np.bincount(owner[common], minlength=len(n))
-            need = np.array([tenth(least_common(int(k))) if k else 1 for k in n], dtype=np.int64)
+            need = np.array([fifth(least_common(int(k))) if k else 1 for k in n], dtype=np.int64)
             spread = mixed(first + np.arange(len(n), dtype=np.uint64))
             alone, shared = ~common, hashes[count > 1]
             h = np.concatenate([every[alone], shared, spread]).view(np.int64)
@@ -154,36 +154,48 @@ def verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return sized.filter(100 * F.col("c") >= PERCENT * (F.col("n_a") + F.col("n_b") - F.col("c"))).select("a", "b")
 
 
-def _pairs(joined: DataFrame) -> DataFrame:
-    return joined.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
+def _hubs(lists: DataFrame, numbers: range) -> DataFrame:
+    """Of each list with several members the least under each of several hashes, so that lists that are alike
+    get the same hubs."""
+    row = F.struct("rep", "n", "place", "parity", "component")
+    least = lists.groupBy("h").agg(
+        F.count(F.lit(1)).alias("members"),
+        *[F.min(F.struct(F.xxhash64("rep", F.lit(k)).alias("o"), row.alias("row"))).alias(f"hub{k}") for k in numbers],
+    ).filter("members > 1")
+    rows = F.array_distinct(F.array(*[F.col(f"hub{k}.row") for k in numbers]))
+    return least.select("h", F.explode(rows).alias("row")).select("h", "row.*")
 
 
 def class_links(classes: DataFrame) -> DataFrame:
-    """``node, component`` of the classes (``rep``) that have links."""
+    """``node, component`` of the classes (``rep``) that have links.
+
+    First every member of a list meets one hub, then several more where components still differ, then
+    whatever is left in a list with more than one component. A pair is verified once at most.
+    """
     lists = stored(postings(classes), "postings")
-    row = F.struct("rep", "n", "place", "parity")
-    # Hubs: the least member under each of several hashes. Lists that are alike get the same ones.
-    hubs = lists.groupBy("h").agg(
-        F.count(F.lit(1)).alias("members"),
-        *[F.min(F.struct(F.xxhash64("rep", F.lit(k)).alias("o"), row.alias("row"))).alias(f"hub{k}") for k in range(HUBS)],
-    ).filter("members > 1")
-    hubs = hubs.select("h", F.explode(F.array_distinct(F.array(*[F.col(f"hub{k}.row") for k in range(HUBS)]))).alias("row")).select("h", "row.*")
-    met = F.col("x.h") == F.col("y.h")
-    tried = stored(_pairs(lists.alias("x").join(hubs.alias("y"), met & (F.col("x.rep") != F.col("y.rep")) & possible())), "tried")
-    links = stored(verified(tried, classes), "hublinks")
-    found = stored(components(links), "components")
-
-    # What remains: pairs of a list that the hubs have not brought into one component.
-    member = found.withColumnsRenamed({"node": "rep"})
-    labelled = stored(lists.join(member, "rep", "left").withColumn("component", F.coalesce("component", "rep")), "labelled")
-    open_ = labelled.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("h")
-    still = labelled.join(open_, "h", "left_semi")
-    apart = (F.col("x.rep") < F.col("y.rep")) & (F.col("x.component") != F.col("y.component"))
-    rest = _pairs(still.alias("x").join(still.alias("y"), met & apart & possible())).join(tried, ["a", "b"], "left_anti")
-    more = stored(verified(rest, classes), "restlinks")
-    if more.isEmpty():
-        return found
-    return components(links.unionByName(more))
+    links = tried = found = None
+    met, apart = F.col("x.h") == F.col("y.h"), F.col("x.component") != F.col("y.component")
+    rounds = [range(1), *([range(1, HUBS)] if HUBS > 1 else []), None]
+    for numbers in rounds:
+        if found is None:
+            labelled = lists.withColumn("component", F.col("rep"))
+        else:
+            member = found.withColumnsRenamed({"node": "rep"})
+            labelled = lists.join(member, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+            open_ = labelled.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("h")
+            labelled = stored(labelled.join(open_, "h", "left_semi"), "open")
+        if numbers is None:
+            pairs = labelled.alias("x").join(labelled.alias("y"), met & apart & (F.col("x.rep") < F.col("y.rep")) & possible())
+        else:
+            pairs = labelled.alias("x").join(_hubs(labelled, numbers).alias("y"), met & apart & possible())
+        new = pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
+        new = stored(new if tried is None else new.join(tried, ["a", "b"], "left_anti"), "pairs")
+        tried = new if tried is None else tried.unionByName(new)
+        more = stored(verified(new, classes), "links")
+        if found is None or not more.isEmpty():
+            links = more if links is None else links.unionByName(more)
+            found = stored(components(links), "components")
+    return found
 
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
