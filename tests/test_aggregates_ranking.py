@@ -50,7 +50,7 @@ def test_share_of_total(spark):
 
 def test_polynomials(spark):
     df = spark.createDataFrame([(n,) for n in (2, 3, 5, 7, 11, 13, 17, 19)], "x long")
-    assert rows(A.polynomial_reduce(df, [], "x")) == [(15803, 21)]
+    assert rows(A.polynomial_reduce(df, [], "x", {"cubes": (0, 0, 0, 1)}, {"top": (1, 9, -1)})) == [(15803, 21)]
 
 
 def test_top_k_and_ends(spark):

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import plan, rows, values
+from tidemark.functions.columns import celsius
 from tidemark.plans import corpus, energy, sales, storage, weather
 from tidemark.session import shared_path
 
@@ -157,7 +158,13 @@ def test_latest_rows_and_drift(spark):
     df = spark.createDataFrame(data, "ID string, t int, City string, Description string, Temperature_F double")
     latest = sales.latest_rows(df, "City", "LA", "t", "ID", 2, "_Z1")
     assert values(latest, "ID") == ["A-2_Z1", "A-3_Z1"]
-    drifted = sales.drifted_rows(latest, "ID", "_Z1", "_Z2", "City", "Temperature_F", "Temperature_C", ["Description"])
+    drifted = sales.drifted_rows(
+        latest,
+        {"ID": F.concat(F.regexp_replace("ID", "_Z1$", ""), F.lit("_Z2")), "Temperature_F": celsius("Temperature_F")},
+        {"AddedColumn1": F.concat(F.lit("prefix-"), "City"), "AddedColumn2": F.lit("New column")},
+        {"Temperature_F": "Temperature_C"},
+        ["Description"],
+    )
     assert drifted.columns == ["ID", "t", "City", "Temperature_C", "AddedColumn1", "AddedColumn2"]
     assert drifted.first()["Temperature_C"] == pytest.approx(14.4444, abs=1e-4)
     merged = storage.parquet_with_drift(spark, shared_path(spark, "drift"), [df, latest, drifted])

@@ -234,7 +234,7 @@ UPSERT = """changes AS (
 CYCLIC = """scored AS (
   SELECT 'month' AS "case", 12 AS n, month(o_orderdate) - 1 AS y, (month(o_orderdate) - 1 + o_orderkey % 5) % 12 AS p FROM orders
   UNION ALL SELECT 'hour', 24, hour(ts), (hour(ts) + event_id % 7) % 24 FROM events),
-away AS (SELECT "case", least(abs(y - p), n - abs(y - p)) AS d FROM scored)"""
+away AS (SELECT "case", n, least(abs(y - p), n - abs(y - p)) AS d FROM scored)"""
 
 ORACLES: dict[str, str] = {
     "year_minmax": """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, min(o_totalprice) AS price_min,
@@ -403,6 +403,14 @@ ORACLES: dict[str, str] = {
     "update_where": """SELECT c_custkey, c_name, c_nationkey,
         CASE WHEN c_acctbal > 0 THEN round((c_acctbal - 32) * 5 / 9, 3) ELSE c_acctbal END AS c_acctbal,
         CASE WHEN c_acctbal > 0 THEN c_mktsegment || '*' ELSE c_mktsegment END AS c_mktsegment FROM customer""",
+    "update_everywhere": """SELECT c_custkey, c_name, c_nationkey, round(c_acctbal / 2, 3) AS c_acctbal, c_mktsegment
+        FROM customer""",
+    "sorted_days_stream": f"""WITH {DAILY_SALES} SELECT "orderDate", "totalSales",
+        CAST(row_number() OVER (ORDER BY "totalSales" DESC, "orderDate") AS INTEGER) AS place FROM daily""",
+    "hex_numbers": "SELECT p_partkey, upper(to_hex(p_partkey)) AS digits, CAST(p_partkey AS INTEGER) AS number FROM part",
+    "named_priorities": """SELECT o_orderpriority, name, count(*) AS orders FROM orders
+        JOIN (VALUES ('1-URGENT', 'now'), ('2-HIGH', 'soon'), ('3-MEDIUM', 'later')) AS v(priority, name)
+        ON o_orderpriority = priority GROUP BY 1, 2""",
     "delete_where": """SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_nationkey <> 3 THEN c_acctbal END AS c_acctbal,
         c_mktsegment FROM customer WHERE c_nationkey = 3 OR c_acctbal >= 1000""",
     "latest_per_key": """SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM orders
@@ -421,5 +429,6 @@ ORACLES: dict[str, str] = {
     "cyclic_eval": f"""WITH {CYCLIC} SELECT "case", count(*) AS predictions,
         round(avg(CASE WHEN d <= 0 THEN 100.0::DOUBLE ELSE 0 END), 4) AS within_0,
         round(avg(CASE WHEN d <= 1 THEN 100.0::DOUBLE ELSE 0 END), 4) AS within_1,
-        round(avg(CASE WHEN d <= 2 THEN 100.0::DOUBLE ELSE 0 END), 4) AS within_2 FROM away GROUP BY 1""",
+        round(avg(CASE WHEN d <= 2 THEN 100.0::DOUBLE ELSE 0 END), 4) AS within_2,
+        round(avg(CASE WHEN d = 0 THEN 0.5::DOUBLE ELSE 0.5 / (n - 1) END), 4) AS mean_probability FROM away GROUP BY 1""",
 }

@@ -4,18 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark.catalog import inputs
 from tidemark.catalog.inputs import SEASON, table
-from tidemark.functions.colors import color_name, color_names, hex_pixels, without_none
-from tidemark.functions.columns import epoch_ms, local_hour, newton_root, signed_text, sum_of, utc_time
+from tidemark.functions.colors import color_name, color_names, hex_number, hex_pixels, without_none
+from tidemark.functions.columns import celsius, epoch_ms, local_hour, newton_root, signed_text, sum_of, utc_time
 from tidemark.operators import aggregates, ml, ranking, reshape, tables
 from tidemark.operators.joins import keyed_join
 from tidemark.plans import classification, corpus, energy, football, images, regression, sales, storage, weather
 from tidemark.session import shared_path, stored
 from tidemark.sources.inventory import file_inventory, file_name, rows_per_file
-from tidemark.sources.readers import read_csv, read_parquet, stream_csv, view_of
+from tidemark.sources.readers import frame_of, read_csv, read_parquet, stream_csv, view_of
 from tidemark.sources.writers import write_csv, write_format, write_parquet
 from tidemark.streaming import sales as stream_sales
 
@@ -166,7 +167,9 @@ def share_of_total(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def poly_sum_max(spark: SparkSession, sf: str) -> DataFrame:
     items = table(spark, sf, "lineitem").withColumn("number", F.col("l_linenumber").cast("long"))
-    return aggregates.polynomial_reduce(items, ["l_returnflag"], "number")
+    return aggregates.polynomial_reduce(
+        items, ["l_returnflag"], "number", {"sum_of_cubes": (0, 0, 0, 1)}, {"quadratic_max": (1, 9, -1)}
+    )
 
 
 @query
@@ -183,6 +186,21 @@ def int_add(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def hex_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys as hexadecimal text and back."""
+    parts = table(spark, sf, "part").select("p_partkey", F.hex("p_partkey").alias("digits"))
+    return parts.withColumn("number", hex_number("digits"))
+
+
+@query
+def named_priorities(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders counted under names that come from in-memory rows."""
+    names = frame_of(spark, [("1-URGENT", "now"), ("2-HIGH", "soon"), ("3-MEDIUM", "later")], "priority string, name string")
+    counts = aggregates.group_counts(table(spark, sf, "orders"), ["o_orderpriority"], "orders")
+    return keyed_join(counts, names, {"o_orderpriority": "priority"}).select("o_orderpriority", "name", "orders")
+
+
 @query
 def composite_key_join(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders")
@@ -271,6 +289,18 @@ def best_days_stream(spark: SparkSession, sf: str) -> DataFrame:
     return result.select("orderDate", F.round("totalSales", 2).alias("totalSales"), "totalCount")
 
 
+@query
+def sorted_days_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The sorted result of the stream, each day with its place as the last batch saw it."""
+    stream, folder = _sales_stream(spark, sf)
+    ordered = stream_sales.sorted_daily_sales(stream)
+    place = F.row_number().over(Window.orderBy(F.round("totalSales", 2).desc(), "orderDate"))
+    placed = lambda batch: batch.withColumn("place", place)  # noqa: E731  one row per day
+    stream_sales.start_table_query(ordered, f"{folder}/out", f"{folder}/state", placed, once=True).awaitTermination()
+    result = stream_sales.latest_version(spark, f"{folder}/out")
+    return result.select("orderDate", F.round("totalSales", 2).alias("totalSales"), "place")
+
+
 def _best_publisher(spark: SparkSession, sf: str) -> DataFrame:
     games = inputs.game_sales(spark, sf)
     publishers = sales.publisher_sales(games, "Publisher", "release_date", "NA_Sales", "total_sales", 1996, 1999)
@@ -519,7 +549,13 @@ def rekey_latest(spark: SparkSession, sf: str) -> DataFrame:
 
 def _drifted(spark: SparkSession, sf: str) -> DataFrame:
     rows = REGISTRY["rekey_latest"](spark, sf)
-    drifted = sales.drifted_rows(rows, "ID", "_Z1", "_Z2", "City", "Temperature_F", "Temperature_C", ["Description"])
+    drifted = sales.drifted_rows(
+        rows,
+        changed={"ID": F.concat(F.regexp_replace("ID", "_Z1$", ""), F.lit("_Z2")), "Temperature_F": celsius("Temperature_F")},
+        added={"AddedColumn1": F.concat(F.lit("prefix-"), "City"), "AddedColumn2": F.lit("New column")},
+        renamed={"Temperature_F": "Temperature_C"},
+        dropped=["Description"],
+    )
     return drifted.withColumn("Temperature_C", F.round("Temperature_C", 4))
 
 
@@ -656,6 +692,13 @@ def update_where(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def update_everywhere(spark: SparkSession, sf: str) -> DataFrame:
+    """An update whose condition is always true."""
+    change = {"c_acctbal": F.round(F.col("c_acctbal") / 2, 3)}
+    return tables.update_where(table(spark, sf, "customer"), change, F.lit(True))
+
+
 @query
 def delete_where(spark: SparkSession, sf: str) -> DataFrame:
     customers = table(spark, sf, "customer").withColumn(
@@ -721,13 +764,20 @@ def cyclic_eval(spark: SparkSession, sf: str) -> DataFrame:
     months = orders.select(month.alias("label"), ((month + F.col("o_orderkey") % 5) % 12).alias("prediction"))
     hour = F.hour("ts")
     hours = events.select(hour.alias("label"), ((hour + F.col("event_id") % 7) % 24).alias("prediction"))
+
+    def chances(period: int) -> Column:
+        """Half for the prediction, the rest shared by the other classes."""
+        each = F.transform(F.sequence(F.lit(0), F.lit(period - 1)), lambda k: F.when(k == F.col("prediction"), 0.5).otherwise(0.5 / (period - 1)))
+        return array_to_vector(each)
+
     results = [
-        ml.cyclic_evaluation(scored, "label", period).select(F.lit(name).alias("case"), "*")
+        ml.cyclic_evaluation(scored.withColumn("probability", chances(period)), "label", period, probability="probability").select(
+            F.lit(name).alias("case"), "*"
+        )
         for name, scored, period in (("month", months, 12), ("hour", hours, 24))
     ]
-    return reshape.union_all(results).select(
-        "case", "predictions", *[F.round(f"within_{k}", 4).alias(f"within_{k}") for k in (0, 1, 2)]
-    )
+    figures = ("within_0", "within_1", "within_2", "mean_probability")
+    return reshape.union_all(results).select("case", "predictions", *[F.round(name, 4).alias(name) for name in figures])
 
 
 def _measurements(spark: SparkSession, sf: str) -> DataFrame:

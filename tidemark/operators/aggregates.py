@@ -68,10 +68,22 @@ def share_of_total(counts: DataFrame, group: Sequence[str], count: str, name: st
     return counts.join(totals, same).select(*counts.columns, F.round(percent, digits).alias(name))
 
 
-def polynomial_reduce(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
-    """Sum of cubes, and maximum of ``1 + 9x - x^2``."""
-    x = F.col(column)
-    return df.groupBy(*keys).agg(
-        F.sum(x * x * x).alias("sum_of_cubes"),
-        F.max(1 + 9 * x - x * x).alias("quadratic_max"),
-    )
+def polynomial(value: Column | str, coefficients: Sequence[int]) -> Column:
+    """``c0 + c1 x + c2 x^2 + ...`` by Horner's rule."""
+    x, result = as_column(value), F.lit(0)
+    for coefficient in reversed(coefficients):
+        result = result * x + coefficient
+    return result
+
+
+def polynomial_reduce(
+    df: DataFrame,
+    keys: Sequence[str],
+    column: str,
+    summed: Mapping[str, Sequence[int]],
+    greatest: Mapping[str, Sequence[int]],
+) -> DataFrame:
+    """Sums and maxima of polynomials of a column, each a name with its coefficients from the constant on."""
+    sums = [F.sum(polynomial(column, c)).alias(name) for name, c in summed.items()]
+    maxima = [F.max(polynomial(column, c)).alias(name) for name, c in greatest.items()]
+    return df.groupBy(*keys).agg(*sums, *maxima)

@@ -15,6 +15,10 @@ from tidemark.session import stored
 Order = Sequence[Column | str]
 
 
+#: Up to this many rows per group a rank filter is applied before the shuffle.
+GROUP_LIMIT_KEY = "spark.sql.optimizer.windowGroupLimitThreshold"
+
+
 def top_k(df: DataFrame, order: Order, k: int) -> DataFrame:
     """The first ``k`` rows of an order. Each task keeps its own ``k``; one merges them."""
     return df.orderBy(*order).limit(k)
@@ -35,8 +39,12 @@ def top_k_per_group(
 
     With ``ties`` rows equal to the last one stay too (rank), otherwise exactly ``k`` (row number). Ties
     of a group meet in one task, so they suit ranks over few rows, such as the totals of teams.
-    ``position`` names a column for the place reached.
+    ``position`` names a column for the place reached. Spark cuts each group to ``k`` before the shuffle
+    only up to its limit; a larger ``k`` would gather whole groups in one task each and is refused.
     """
+    limit = int(df.sparkSession.conf.get(GROUP_LIMIT_KEY, "1000"))
+    if k > limit:
+        raise ValueError(f"k is {k}, above {GROUP_LIMIT_KEY} = {limit}: number the rows with ordered_index instead")
     window = Window.partitionBy(*group).orderBy(*order)
     place = F.rank() if ties else F.row_number()
     name = position or "_place"

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.columns import celsius
 from tidemark.operators.aggregates import sums_of_products
 from tidemark.operators.ranking import top_k
 
@@ -81,25 +81,13 @@ def latest_rows(df: DataFrame, column: str, value: str, time: str, ident: str, k
 
 def drifted_rows(
     df: DataFrame,
-    ident: str,
-    old_suffix: str,
-    new_suffix: str,
-    city: str,
-    fahrenheit: str,
-    as_celsius: str,
-    dropped: list[str],
+    changed: Mapping[str, Column],
+    added: Mapping[str, Column],
+    renamed: Mapping[str, str],
+    dropped: Sequence[str],
 ) -> DataFrame:
-    """The same rows under another schema: two columns more, one converted and renamed, some dropped."""
-    bare = F.regexp_replace(F.col(ident), f"{old_suffix}$", "")
-    return (
-        df.withColumns(
-            {
-                ident: F.concat(bare, F.lit(new_suffix)),
-                "AddedColumn1": F.concat(F.lit("prefix-"), F.col(city)),
-                "AddedColumn2": F.lit("New column"),
-                fahrenheit: celsius(fahrenheit),
-            }
-        )
-        .withColumnRenamed(fahrenheit, as_celsius)
-        .drop(*dropped)
-    )
+    """The same rows under another schema: columns changed in place, added, renamed and dropped.
+
+    All new values are computed from the old row.
+    """
+    return df.withColumns({**changed, **added}).withColumnsRenamed(dict(renamed)).drop(*dropped)
