@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.texts import BLANKS, fresh, utf8
-from tidemark.session import stored
+from tidemark.llm.texts import BLANKS, fresh, groups, utf8
+from tidemark.llm.tables import stored
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
@@ -90,10 +90,13 @@ def rule_counts(docs: DataFrame, text: str = "text", counts: str = "counts") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            measured = [measure(t) for t in utf8(batch, text)]
-            columns = list(zip(*measured)) if measured else [()] * len(names)
-            struct = pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
-            yield pa.RecordBatch.from_arrays([*batch.columns, struct], [*batch.schema.names, counts])
+            done = 0
+            for group in groups(utf8(batch, text)):  # a part of the batch at a time, which bounds what is held twice
+                columns = list(zip(*[measure(t) for t in group]))
+                struct = pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+                part = batch.slice(done, len(group))
+                done += len(group)
+                yield pa.RecordBatch.from_arrays([*part.columns, struct], [*batch.schema.names, counts])
 
     return docs.mapInArrow(run, f"{schema}, `{counts}` struct<{inner}>")
 
