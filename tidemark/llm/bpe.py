@@ -27,8 +27,8 @@ from tidemark.llm.texts import folded, groups, pieces, utf8
 
 END = "</w>"
 NEVER = 1 << 62
-#: Words that a worker remembers.
-WORD_MEMORY = 120_000
+#: Words that a task remembers.
+WORD_MEMORY = 200_000
 SCHEMA = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -214,9 +214,16 @@ class WordBpe:
 
 
 @functools.lru_cache(maxsize=2)
+def tables_for(path: str) -> WordBpe:
+    """The tables of a file, made once per Python worker."""
+    return WordBpe(path)
+
+
 def cache_for(path: str) -> ChunkCache:
-    """One memory per Python worker."""
-    return ChunkCache(WordBpe(path).encode_chunks, 120_000)
+    """A memory of chunks for one task, and an empty one of words."""
+    tables = tables_for(path)
+    tables.words = {}
+    return ChunkCache(tables.encode_chunks, 150_000)
 
 
 def encode_and_decode(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
@@ -239,6 +246,8 @@ def encode_and_decode(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", t
             if with_ids:
                 columns, names = [*columns, pa.array(raw, pa.binary())], [*names, "ids"]
             yield pa.RecordBatch.from_arrays(columns, names)
+        cache.clear()
+        tables_for(tokenizer).words = {}
 
     return docs.select(doc_id, text).mapInArrow(run, f"doc_id {kind}, {SCHEMA}" + ", ids binary" * with_ids)
 

@@ -23,6 +23,10 @@ class ChunkCache(Generic[Encoded]):
         self.young: dict[bytes, Encoded] = {}
         self.old: dict[bytes, Encoded] = {}
 
+    def clear(self) -> None:
+        """For the end of a task: a worker that goes on to other work holds nothing."""
+        self.young, self.old = {}, {}
+
     def of(self, cut: list[list[bytes]]) -> list[list[Encoded]]:
         """What each chunk of each list becomes. Chunks that are new are encoded together."""
         get = self.young.get

@@ -193,6 +193,7 @@ def encode_ids(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: st
                 keys, done = batch.column(0).slice(done, len(group)), done + len(group)
                 counts = pa.array([len(ids) // 2 for ids in out], pa.int64())
                 yield pa.RecordBatch.from_arrays([keys, counts, pa.array(out, pa.binary())], ["doc_id", "n_tokens", "ids"])
+        cache.clear()
 
     return docs.select(doc_id, text).mapInArrow(run, f"doc_id {kind}, n_tokens long, ids binary")
 

@@ -4,7 +4,7 @@ Exact, in three narrowing steps:
 
 1. Of each set the first shingles in the order of their hashes are looked at. Two similar sets have a
    known number of common shingles among these, so documents with fewer that occur elsewhere have no
-   partner at all. Most documents leave here, having sent two fifths of their shingles.
+   partner at all. Most documents leave here, having sent six tenths of their shingles.
 2. The others become classes of equal sets. Shingles are ordered rare first, and each class posts those
    of its prefix. Members of a posting list are candidates if their sizes (length filter), their places
    in the order (positional filter) and the parities of parts of their sets (suffix filter) allow it.
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.texts import mixed, shingle_set, utf8
+from tidemark.llm.texts import PIECE, groups, mixed, shingle_set, utf8
 from tidemark.llm.tables import stored
 
 WORDS = 5
@@ -39,41 +39,46 @@ def least_common(n: int) -> int:
     return (PERCENT * n + 99) // 100
 
 
-def fifth(n: int) -> int:
-    return (n + 4) // 5
+def wanted(n: int) -> int:
+    """Common shingles that the first filter looks for in a set of ``n``: two fifths."""
+    return (2 * n + 4) // 5
 
 
 def _sampled(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Rows ``h, doc_id, added, need, n``: shingles of long prefixes, and one row with ``n`` per document.
 
     With ``c`` common shingles at least, the first ``size - c + k`` of two sets in any one order share
-    ``k``. Shingles that several documents of a batch have are counted there (``added``) and sent once
-    without a document, so the most frequent shingle makes one row per batch.
+    ``k``. Shingles that several documents of a part of a batch have are counted there (``added``) and sent
+    once without a document, so the most frequent shingle makes one row per part.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
 
+    def sampled(texts: list[bytes], keys: pa.Array) -> pa.RecordBatch:
+        sets = [shingle_set(t, WORDS) for t in texts]
+        n = np.array([len(s) for s in sets], dtype=np.int64)
+        heads = [s[: len(s) - least_common(len(s)) + wanted(len(s))].copy() for s in sets]
+        first = np.array([s[0] if len(s) else 0 for s in sets], dtype=np.uint64)
+        del sets
+        owner = np.repeat(np.arange(len(heads)), [len(h) for h in heads])
+        every = np.concatenate(heads)
+        hashes, back, count = np.unique(every, return_inverse=True, return_counts=True)
+        common = count[back] > 1
+        added = np.bincount(owner[common], minlength=len(n))
+        need = np.array([wanted(least_common(int(k))) if k else 1 for k in n], dtype=np.int64)
+        spread = mixed(first + np.arange(len(n), dtype=np.uint64))
+        alone, shared = ~common, hashes[count > 1]
+        h = np.concatenate([every[alone], shared, spread]).view(np.int64)
+        docs_of = pa.concat_arrays([keys.take(pa.array(owner[alone])), pa.nulls(len(shared), keys.type), keys])
+        rest = len(h) - len(n)
+        tail = [pa.concat_arrays([pa.nulls(rest, pa.int64()), pa.array(x, pa.int64())]) for x in (added, need, n)]
+        return pa.RecordBatch.from_arrays([pa.array(h), docs_of, *tail], ["h", "doc_id", "added", "need", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t, WORDS) for t in utf8(batch, 1)]
-            n = np.array([len(s) for s in sets], dtype=np.int64)
-            heads = [s[: len(s) - least_common(len(s)) + fifth(len(s))].copy() for s in sets]
-            first = np.array([s[0] if len(s) else 0 for s in sets], dtype=np.uint64)
-            del sets
-            owner = np.repeat(np.arange(len(heads)), [len(h) for h in heads])
-            every = np.concatenate(heads) if heads else np.zeros(0, dtype=np.uint64)
-            hashes, back, count = np.unique(every, return_inverse=True, return_counts=True)
-            common = count[back] > 1
-            added = np.bincount(owner[common], minlength=len(n))
-            need = np.array([fifth(least_common(int(k))) if k else 1 for k in n], dtype=np.int64)
-            spread = mixed(first + np.arange(len(n), dtype=np.uint64))
-            alone, shared = ~common, hashes[count > 1]
-            h = np.concatenate([every[alone], shared, spread]).view(np.int64)
-            docs_of = pa.concat_arrays(
-                [batch.column(0).take(pa.array(owner[alone])), pa.nulls(len(shared), batch.column(0).type), batch.column(0)]
-            )
-            rest = len(h) - len(n)
-            tail = [pa.concat_arrays([pa.nulls(rest, pa.int64()), pa.array(x, pa.int64())]) for x in (added, need, n)]
-            yield pa.RecordBatch.from_arrays([pa.array(h), docs_of, *tail], ["h", "doc_id", "added", "need", "n"])
+            done = 0
+            for group in groups(utf8(batch, 1), 8 * PIECE):
+                yield sampled(group, batch.column(0).slice(done, len(group)))
+                done += len(group)
 
     return docs.select(doc_id, text).mapInArrow(run, f"h long, doc_id {kind}, added long, need long, n long")
 
@@ -99,14 +104,17 @@ def shingle_classes(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t, WORDS) for t in utf8(batch, 1)]
-            columns = [
-                pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-                pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
-                pa.array([parity(s) for s in sets], pa.list_(pa.int64())),
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "digest", "n", "shingles", "parity"])
+            done = 0
+            for group in groups(utf8(batch, 1)):
+                sets = [shingle_set(t, WORDS) for t in group]
+                keys, done = batch.column(0).slice(done, len(group)), done + len(group)
+                columns = [
+                    pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                    pa.array([parity(s) for s in sets], pa.list_(pa.int64())),
+                ]
+                yield pa.RecordBatch.from_arrays([keys, *columns], ["doc_id", "digest", "n", "shingles", "parity"])
 
     schema = f"doc_id {kind}, digest binary, n long, shingles array<long>, parity array<long>"
     return docs.select(doc_id, text).mapInArrow(run, schema).filter("n > 0")
