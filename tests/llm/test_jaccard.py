@@ -78,9 +78,9 @@ def test_components_are_those_of_all_pairs(spark, monkeypatch, seed, hubs):
 
 @pytest.mark.parametrize("n", range(1, 400))
 def test_prefixes_share_what_the_first_filter_asks_for(n):
-    # A partner has at least this many shingles, and shares its own fifth at least.
+    # A partner has at least this many shingles, and shares what it looks for itself.
     least = jaccard.least_common(n)
-    assert 5 * least >= 4 * n and jaccard.fifth(least) <= jaccard.fifth(n) <= least
+    assert 5 * least >= 4 * n and jaccard.wanted(least) <= jaccard.wanted(n) <= least
 
 
 def test_odd_rows(odd, nothing):
