@@ -74,6 +74,18 @@ def test_repeated_passages_are_found_and_clean_texts_left(spark):
     assert again.filter("cut != ''").count() == 0
 
 
+def test_no_passage_just_above_fifty_words_is_lost(spark):
+    rng = random.Random(12)
+    rows, pairs = [], 900
+    for k in range(pairs):
+        passage = words(rng, (51, 55, 60)[k % 3])
+        rows += [(2 * k + side, f"{words(rng, 30)} {passage} {words(rng, 30)}") for side in (0, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["cut_bytes"] for r in chunks.substring_dedup(docs).collect()}
+    lost = [k for k in range(pairs) if not {2 * k, 2 * k + 1} <= set(got)]
+    assert not lost and all(got[2 * k + 1] >= chunks.PASSAGE for k in range(pairs))
+
+
 def test_odd_rows_of_chunks(odd, nothing):
     got = {r["doc_id"]: r for r in chunks.substring_dedup(odd).collect()}
     assert {1, 2, 3, 4, 7}.isdisjoint(got) and {5, 6} <= set(got)

@@ -19,11 +19,12 @@ from pyspark.sql import functions as F
 from tidemark.llm.texts import MULTIPLIER, PIECE, mixed, utf8
 from tidemark.llm.tables import stored
 
-#: Bytes that decide about a cut, and the bits of their hash that must be zero: one place in 32.
+#: Bytes that decide about a cut, and the bits of their hash that must be zero: one place in 16. With sparser
+#: cuts too little of some passages of just over 50 words is left between the chunks over their ends.
 REACH = 16
-ZEROS = np.uint32(0b11111 << 11)
+ZEROS = np.uint32(0b1111 << 11)
 #: Least and most bytes of a chunk.
-LEAST, MOST = 16, 128
+LEAST, MOST = 8, 128
 #: A run of repeated chunks is a passage from so many bytes on. A passage of 50 words has about 300, of
 #: which the chunks that reach over its ends are lost.
 PASSAGE = 96
@@ -91,8 +92,8 @@ def chunk_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
 def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", passage: int = PASSAGE) -> DataFrame:
     """``doc_id, start, end, cut`` of every passage that occurs twice or more, in one document or several.
 
-    ``cut`` tells the parts that occur before (in a document of lesser key, or earlier in this one) from
-    those that stay. Digests are counted before the shuffle; the chunks then meet the digests that
+    ``cut`` tells the parts of ``passage`` bytes or more that occur before (in a document of lesser key, or
+    earlier in this one) from those that stay. Digests are counted before the shuffle; the chunks then meet the digests that
     occur twice in a join that adaptive execution can split at a digest with very many chunks; what a
     document has is put in order by itself. Null and empty texts have no chunks; rows with one key are
     one document; a null key is the least; other columns are ignored.
@@ -113,11 +114,21 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     turn = F.lag("cut").over(Window.partitionBy("doc_id", "run").orderBy("start")).eqNullSafe(F.col("cut"))
     parts = runs.withColumn("part", F.sum(F.when(turn, 0).otherwise(1)).over(Window.partitionBy("doc_id", "run").orderBy("start")))
     whole = F.sum("size").over(Window.partitionBy("doc_id", "run"))
-    return (
+    extent = (F.min("start").alias("start"), F.max("end").alias("end"), F.first("cut").alias("cut"))
+    found = (
         parts.withColumn("whole", whole)
         .filter(F.col("whole") >= passage)
+        .withColumn("end", F.col("start") + F.col("size"))
+        .groupBy("doc_id", "run", "part")
+        .agg(*extent)
+        # What occurs before stays too if it is no passage by itself: a short common line beside a first occurrence.
+        .withColumn("cut", F.col("cut") & (F.col("end") - F.col("start") >= passage))
+    )
+    return (
+        found.withColumn("turn", turn)
+        .withColumn("part", F.sum(F.when(F.col("turn"), 0).otherwise(1)).over(Window.partitionBy("doc_id", "run").orderBy("start")))
         .groupBy("doc_id", "run", "part")
-        .agg(F.min("start").alias("start"), F.max(F.col("start") + F.col("size")).alias("end"), F.first("cut").alias("cut"))
+        .agg(*extent)
         .select("doc_id", "start", "end", "cut")
     )
 
