@@ -89,6 +89,21 @@ def test_scan_and_mask(spark):
     assert masked[1000] == "see <secret> there" and masked[0].endswith('<secret>" end') and masked[1] == texts[1]
 
 
+@pytest.mark.parametrize("keys, others", [(300, 1_200), (300, 4_000), (40, 60)])
+def test_no_quota_on_unlabelled_secrets(spark, keys, others):
+    rng = random.Random(keys + others)
+    some = lambda n, letters: "".join(rng.choice(letters) for _ in range(n))
+    word = lambda: "".join(rng.choice(["schaft", "ung", "heit", "keit", "ein", "tion"]) for _ in range(5))
+    rows = [(k, f"see {some(24, '0123456789abcdef')} there") for k in range(keys)]
+    rows += [(10_000 + k, f"a {word() if k % 5 else some(16, '0123456789')} here") for k in range(others)]
+    rows += [(20_000 + k, f'token = "{some(40, "0123456789abcdef")}" end') for k in range(130)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["n_learnt"] for r in secrets.secret_spans(docs).collect()}
+    assert sum(got[k] for k in range(keys)) >= 0.99 * keys and not any(n for d, n in got.items() if d >= 10_000)
+    masked = {r["doc_id"]: r["text"] for r in secrets.mask_secrets(docs).collect()}
+    assert all((masked[k] == "see <secret> there") == (got[k] == 1) for k in range(keys))
+
+
 def test_odd_rows(odd, nothing):
     rows = secrets.secret_spans(odd).collect()
     assert len(rows) == len(ODD) and all(r["spans"] == "" for r in rows)

@@ -2,8 +2,9 @@
 
 The strings that the patterns find are labelled credentials. For each kind a prefix tree of its strings
 is reduced to a probabilistic automaton by merging states whose outgoing frequencies agree within the
-Hoeffding bound; one more automaton is learnt from other long tokens. Every long token of every text
-is then scored by how much likelier it is as a credential than as an ordinary token.
+Hoeffding bound; one more automaton is learnt from other long tokens that are no likely credentials.
+Every long token of every text is then scored by how much likelier it is as a credential than as an
+ordinary token; that alone decides, however many tokens are credentials.
 """
 
 from __future__ import annotations
@@ -37,10 +38,12 @@ SAMPLE = 2_000
 #: Characters of a labelled string that enter its prefix tree. Scores take whole tokens.
 TREE_DEPTH = 128
 ALPHA = 0.01
-#: A token is a secret if it is a million times likelier (as a logarithm) than as an ordinary token, and
-#: above all but one in so many ordinary tokens of the sample.
+#: A token is a secret if it is a million times likelier (as a logarithm) than as an ordinary token.
 LEAST_GAIN = 14.0
-ORDINARY_ABOVE = 1_000
+#: What a token in capitals loses (as a logarithm) where it is taken for an ordinary one in small letters.
+CAPITALS = 7.0
+#: Tokens that ordinary ones are learnt from first: each part between marks is of letters or of digits alone.
+PLAIN = re.compile(rb"[+/_.=-]*(?:(?:[A-Za-z]+|[0-9]+)(?:[+/_.=-]+|$))*")
 
 _HEX_RUN = bytes(120 if chr(b) in "0123456789abcdef" else 32 for b in range(256))
 #: Symbols of the automata: a-f, g-z, A-Z and 0-9 as one each, every other character as itself.
@@ -182,21 +185,31 @@ class Automaton:
 
 
 class Formats:
-    """The automata of all kinds and the gain from which a token counts as a secret."""
+    """The automata of all kinds and the gain from which a token counts as a secret.
+
+    Unlabelled credentials are among the other tokens, and an automaton that learnt them would find them
+    ordinary. So it is learnt from plain tokens first, then once more with those of the others that are
+    no secrets by it.
+    """
 
     def __init__(self, samples: dict[str, list[bytes]]):
         self.kinds = [(k, Automaton(Counter(samples[name]))) for k, name in enumerate(KINDS) if samples.get(name)]
+        self.threshold = LEAST_GAIN
         ordinary = samples.get(ORDINARY, [])
-        self.ordinary = Automaton(Counter(ordinary))
-        gains = sorted(self.gain(t)[0] for t in ordinary)
-        beyond = gains[-1 - len(gains) // ORDINARY_ABOVE] if gains else 0.0
-        self.threshold = max(LEAST_GAIN, beyond + 1e-9)
+        plain = [t for t in ordinary if PLAIN.fullmatch(t)]
+        self.ordinary = Automaton(Counter(plain))
+        mixed = [t for t in ordinary if not PLAIN.fullmatch(t) and self.gain(t)[0] <= self.threshold]
+        if mixed:
+            self.ordinary = Automaton(Counter(plain + mixed))
 
     def gain(self, token: bytes) -> tuple[float, int]:
         """How much likelier as a credential, and as which kind."""
         symbols = token.translate(_CLASS)
         best = max(((a.score(symbols), -k) for k, a in self.kinds), default=(-math.inf, 0))
-        return best[0] - self.ordinary.score(symbols), -best[1]
+        ordinary = self.ordinary.score(symbols)
+        if token.isupper():  # words in capitals are too rare to be learnt from
+            ordinary = max(ordinary, self.ordinary.score(token.lower().translate(_CLASS)) - CAPITALS)
+        return best[0] - ordinary, -best[1]
 
 
 def labelled(docs: DataFrame, text: str, sample: int = SAMPLE) -> dict[str, list[bytes]]:
