@@ -97,3 +97,13 @@ def test_components_of_paths_and_stars(spark):
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == roots({n for pair in links for n in pair}, links)
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_a_short_copy_beside_a_long_text_of_its_key_is_linked(spark):
+    rng = random.Random(21)
+    some = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    short, near, long = some(14), some(44), some(1_000)
+    rows = [(1, short), (2, near), (3, some(30)), (5, short), (5, long), (6, near + " end"), (6, some(900))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(docs).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 5: 1, 6: 2}

@@ -84,13 +84,17 @@ def _sampled(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def shared_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, n, shared, need``: a document with ``shared < need`` is linked with nothing."""
+    """``doc_id, n, shared, need``: a document with ``shared < need`` is linked with nothing.
+
+    Where several texts have one key, ``shared`` is that of all and ``need`` the least of theirs, so that
+    no text that can be linked is lost by the others.
+    """
     rows = _sampled(docs, doc_id, text).withColumn("times", F.count(F.lit(1)).over(Window.partitionBy("h")))
     useful = rows.filter("n is not null or (doc_id is not null and times > 1)")
     return useful.groupBy("doc_id").agg(
         F.coalesce(F.max("n"), F.lit(0)).alias("n"),
         F.sum(F.coalesce(F.col("added"), F.lit(1))).alias("shared"),
-        F.coalesce(F.max("need"), F.lit(1)).alias("need"),
+        F.coalesce(F.min("need"), F.lit(1)).alias("need"),
     )
 
 
