@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.texts import MULTIPLIER, PIECE, groups, mixed, utf8, word_hashes
+from tidemark.llm.texts import MULTIPLIER, PIECE, fresh, groups, mixed, utf8, word_hashes
 
 #: Candidates that are extended at one time.
 CHUNK = 1 << 18
@@ -286,18 +286,19 @@ def with_planted_tails(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     With h the checksum of the decimal key and g = h div 10, the n words of a row with h mod 10 = 0 repeat
     from word a = g mod n on with the period 1 + (n - a) div (3 + g mod 8). Rows without a key stay.
     """
+    hashed, words = fresh(docs, "hashed"), fresh(docs, "words")
     h = F.crc32(F.col(doc_id).cast("string").cast("binary"))
-    g = (h / 10).cast("long")
-    words = F.filter(F.split(F.col(text), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-
-    def periodic(words: Column) -> Column:
-        n = F.size(words)
-        a = g % n
-        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))
-        at = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p)
-        return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, at(i).cast("int"))), " "))
-
-    return docs.withColumn(text, F.when(h % 10 == 0, F.coalesce(periodic(words), F.col(text))).otherwise(F.col(text)))
+    cut = F.filter(F.split(F.col(text), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    # The words are a column of their own, else every place of the new text would cut the old one again.
+    some = docs.withColumn(hashed, h).withColumn(words, F.when(F.col(hashed) % 10 == 0, cut))
+    n, g = F.size(words), F.floor(F.col(hashed) / 10)
+    a = (g % n).cast("int")
+    p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))).cast("int")
+    place = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.when(i < a, i).otherwise(a + (i - a) % p))
+    places = fresh(some, "places")
+    some = some.withColumn(places, F.when(n > 0, place))
+    tail = F.array_join(F.transform(places, lambda i: F.get(words, i)), " ")
+    return some.withColumn(text, F.when(n > 0, tail).otherwise(F.col(text))).select(*docs.columns)
 
 
 def run_digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = 6) -> DataFrame:
