@@ -75,4 +75,18 @@ JACCARD = f"""
     SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(class_id, d.doc_id) AS class_id, component_id
     FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN classes ON d.doc_id = classes.doc_id JOIN least ON d.doc_id = least.doc_id"""
 
-ORACLES = {"op1_quality_rules": _quality(), "op3_ngram_jaccard_join": JACCARD}
+LINES = """
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+    l AS (SELECT r, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM d),
+    k AS (
+      SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+      FROM l
+    ), often AS (
+      SELECT key, min(doc_id) AS least FROM k WHERE doc_id IS NOT NULL AND length(key) >= 10 GROUP BY key HAVING min(doc_id) < max(doc_id)
+    ), marked AS (SELECT k.*, coalesce(doc_id > least, false) AS gone FROM k LEFT JOIN often ON k.key = often.key)
+    SELECT first(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+      sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+    FROM marked GROUP BY r"""
+
+ORACLES = {"op1_quality_rules": _quality(), "op3_ngram_jaccard_join": JACCARD, "op11_line_dedup": LINES}

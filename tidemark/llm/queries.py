@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chunks, decontam, huffman, jaccard, quality, runs, secrets, sharding, suffix_tree, toxicity
+from tidemark.llm import bpe, chunks, decontam, huffman, jaccard, lines, quality, runs, secrets, sharding, suffix_tree, toxicity, whitening
 from tidemark.llm.oracles import ORACLES  # noqa: F401  the SQL of these queries, for the entry points
 
 TOKENIZER = "word_bpe_49k.json"
@@ -63,6 +63,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_dedup(documents(spark, sf_dir))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.run_digests(runs.with_planted_tails(documents(spark, sf_dir)))
 
@@ -80,6 +88,8 @@ QUERIES = {
     op8_lm_scoring,
     op9_binary_ids,
     op10_toxicity,
+    op11_line_dedup,
+    op12_embedding_whitening,
     op13_periodic_runs,
     )
 }

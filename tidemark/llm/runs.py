@@ -149,7 +149,6 @@ def runs_of(texts: list[np.ndarray], least: int) -> list[np.ndarray]:
     if not len(flat):
         return out
     owner = np.repeat(np.arange(len(size)), size)
-    # In the grammar a separator stands before each text and behind the last one.
     levels = None
     found = np.zeros((0, 3), dtype=np.int64)  # start, end, period
     cover = np.full(len(flat), -1, dtype=np.int64)
@@ -160,6 +159,7 @@ def runs_of(texts: list[np.ndarray], least: int) -> list[np.ndarray]:
         if not hits:
             continue
         if levels is None:
+            # A separator before each text and one behind the last.
             lone = np.insert(flat, start, -2 - np.arange(len(size)))
             levels = recompressed(np.append(lone, -1))
         period = np.repeat([p for p, _ in hits], [len(at) for _, at in hits])
@@ -251,15 +251,18 @@ def periodic_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", l
                     runs[k] = np.zeros((0, 3), dtype=np.int64)
                 for k, found in zip(some, runs_of(exact, least)):
                     runs[own[k]] = found
-            words = [t.split() for t in texts]
-            kept = [collapsed(w, r) for w, r in zip(words, runs)]
+            kept, counts = [], []
+            for t, found in zip(texts, runs):
+                words = t.split()
+                counts.append(len(words))
+                kept.append(collapsed(words, found))
             flat = np.concatenate(runs) if runs else np.zeros((0, 3), dtype=np.int64)
             fields = [pa.array(np.ascontiguousarray(flat[:, k])) for k in range(3)]
             ends = np.cumsum([0, *(len(r) for r in runs)])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    pa.array([len(w) for w in words], pa.int64()),
+                    pa.array(counts, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(fields, ["start", "length", "period"])),
                     pa.array(kept, pa.binary()).cast(pa.string()),
                 ],
