@@ -1,0 +1,112 @@
+import random
+import re
+
+import pytest
+from pyspark.sql import Window, functions as F
+
+from helpers import plan, rows
+from tidemark.operators import intervals, ranking
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def window_ranks(df, group, order):
+    window = Window.partitionBy(*group).orderBy(*order)
+    return df.withColumns({"rank": F.rank().over(window), "dense": F.dense_rank().over(window)})
+
+
+@pytest.mark.parametrize("seed, partitions", [(0, 1), (1, 3), (2, 11)])
+def test_ranks_equal_a_window(spark, seed, partitions):
+    rng = random.Random(seed)
+    groups = [None, "a", "a", "a", "b", "c"]
+    data = [(rng.choice(groups), rng.choice([None, *range(rng.choice([3, 400]))]), rng.random() // 0.2, i) for i in range(700)]
+    df = spark.createDataFrame(data, "g string, x int, y double, id int").repartition(5)
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        got = ranking.with_ranks(df, ["g"], {"x": False, "y": True}, dense="dense")
+        want = window_ranks(df, ["g"], [F.desc("x"), F.asc("y")])
+        assert got.columns == want.columns and rows(got) == rows(want)
+        whole = ranking.with_ranks(df, [], {"x": True}, dense="dense")
+        assert rows(whole) == rows(window_ranks(df, [], [F.asc("x")]))
+        top = ranking.with_ranks(df, ["g"], {"x": False}, k=5)
+        assert rows(top) == rows(window_ranks(df, ["g"], [F.desc("x")]).drop("dense").where("rank <= 5"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_ranks_of_nothing(spark):
+    assert ranking.with_ranks(spark.createDataFrame([], "g int, x int"), ["g"], {"x": True}).count() == 0
+
+
+def test_no_shuffle_by_the_group_alone(spark, no_broadcast):
+    key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50)
+    df = spark.range(9000).select(key.alias("k"), (F.col("id") % 7).alias("x"), "id")
+    text = plan(ranking.with_ranks(df, ["k"], {"x": False}))
+    dealt = [line for line in text.split("\n") if "hashpartitioning(" in line]
+    # Always together with the value (x, or _k1 where the ranks meet the rows) or with the part of the sort.
+    assert dealt and all(re.search(r"\b(x|_k1|_part|_p)#", line) for line in dealt)
+
+
+def plain_contained(points, held, keys):
+    return sorted((p[0], h[0]) for p in points for h in held if p[2] is not None and None not in h[2:] and (not keys or p[1] == h[1]) and h[2] <= p[2] < h[3])
+
+
+@pytest.mark.parametrize("seed", range(2))
+@pytest.mark.parametrize("keyed", [False, True])
+def test_containment_equals_all_pairs(spark, seed, keyed):
+    rng = random.Random(seed)
+    time = lambda: rng.choice([None, rng.randrange(-5000, 5000), rng.randrange(-20, 20), 7])
+    points = [(i, rng.randrange(3), time()) for i in range(150)]
+    held = []
+    for i in range(120):
+        a = time()
+        held.append((i, rng.randrange(3), a, None if a is None else a + rng.choice([0, 1, 2, 3, 4, 5, 16, 17, 63, 64, 65, 1000, -4])))
+    p = spark.createDataFrame(points, "p long, k int, t long").repartition(3)
+    h = spark.createDataFrame(held, "h long, k int, a long, b long").repartition(2)
+    keys = ["k"] if keyed else []
+    if not keyed:
+        p, h = p.drop("k"), h.drop("k")
+    for share in (intervals.SHARE, 0.2):
+        got = intervals.contained(p, h, "t", "a", "b", keys, share)
+        assert sorted((r["p"], r["h"]) for r in got.collect()) == plain_contained(points, held, keyed)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_overlaps_equal_all_pairs(spark, seed):
+    rng = random.Random(seed)
+
+    def some(n):
+        out = []
+        for i in range(n):
+            a = rng.choice([rng.randrange(-300, 300), rng.randrange(-9, 9), 0])
+            out.append((i, rng.randrange(2), a, a + rng.choice([0, 1, 2, 5, 16, 33, 200, 900])))
+        return out
+
+    one, two = some(80), some(90)
+    left = spark.createDataFrame(one, "x long, k int, a long, b long")
+    right = spark.createDataFrame(two, "y long, k int, c long, d long")
+    want = sorted((p[0], q[0]) for p in one for q in two if p[1] == q[1] and p[2] < p[3] and q[2] < q[3] and p[2] < q[3] and q[2] < p[3])
+    for share in (intervals.SHARE, 0.1):
+        got = intervals.overlapping(left, right, ("a", "b"), ("c", "d"), ["k"], share)
+        assert sorted((r["x"], r["y"]) for r in got.collect()) == want
+
+
+def test_an_interval_lies_in_two_cells_at_most(spark):
+    lengths = spark.createDataFrame([(n,) for n in [*range(1, 300), 1 << 20, (1 << 20) + 1, 1 << 40]], "n long")
+    bits = lengths.select("n", intervals.grid_bits(F.col("n")).alias("b")).collect()
+    assert all((1 << r["b"]) >= r["n"] and r["b"] % 2 == 0 and (r["n"] < 3 or (1 << r["b"]) < 4 * r["n"]) for r in bits)
+
+
+def test_a_hot_cell_is_dealt_out(spark, no_broadcast):
+    points = spark.range(3000).select("id", F.lit(5).alias("t"))
+    held = spark.createDataFrame([(1, 5, 6), (2, 4, 6), (3, 6, 7)], "h int, a long, b long")
+    got = intervals.contained(points, held, "t", "a", "b", share=0.01)
+    assert got.count() == 6000
+    text = plan(got)
+    assert "_part" in text and not re.search("Cartesian|NestedLoop", text)
+    assert intervals.contained(points, held.limit(0), "t", "a", "b").count() == 0

@@ -236,7 +236,52 @@ CYCLIC = """scored AS (
   UNION ALL SELECT 'hour', 24, hour(ts), (hour(ts) + event_id % 7) % 24 FROM events),
 away AS (SELECT "case", n, least(abs(y - p), n - abs(y - p)) AS d FROM scored)"""
 
+CUBE = "(event_id % 97) * (event_id % 97) * (event_id % 97) * 1000 + 1"
+
+
+def sessions(kind: str, name: str) -> str:
+    return f"""{name} AS (SELECT user_id, event_id AS id, epoch_us(ts) // 1000 AS a, epoch_us(ts) // 1000 + {CUBE} AS b
+        FROM events WHERE event_type = '{kind}')"""
+
+
 ORACLES: dict[str, str] = {
+    "ranks_with_ties": """SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity,
+        rank() OVER w AS rank, dense_rank() OVER w AS dense FROM lineitem WINDOW w AS (PARTITION BY l_returnflag ORDER BY l_quantity DESC)""",
+    "ranks_of_many_values": """SELECT o_orderkey, o_orderstatus, o_orderdate,
+        rank() OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate, o_totalprice DESC) AS rank FROM orders""",
+    "top_days_with_ties": """SELECT l_orderkey, l_linenumber, l_returnflag, CAST(l_shipdate AS DATE) AS day,
+        rank() OVER (PARTITION BY l_returnflag ORDER BY CAST(l_shipdate AS DATE) DESC) AS rank FROM lineitem QUALIFY rank <= 100""",
+    "commonest_words_with_ties": f"""WITH {LINES}, counted AS (SELECT word, count(*) AS count FROM words GROUP BY 1)
+        SELECT word, count, CAST(length(word) AS INTEGER) AS length,
+          rank() OVER (PARTITION BY length(word) ORDER BY count DESC) AS rank FROM counted QUALIFY rank <= 3""",
+    "resumed_days_stream": f"WITH {DAILY_SALES} SELECT * FROM daily",
+    "events_in_sessions": f"""WITH {sessions("signup", "s")}
+        SELECT s.user_id, s.id AS session, count(*) AS clicks, min(e.event_id) AS least, CAST(sum(e.event_id) AS BIGINT) AS ids
+        FROM s JOIN events e ON e.user_id = s.user_id AND e.event_type = 'click' AND epoch_us(e.ts) // 1000 >= a AND epoch_us(e.ts) // 1000 < b
+        GROUP BY 1, 2""",
+    "events_near_errors": """WITH errors AS (SELECT event_id AS error, epoch_us(ts) // 1000 AS t FROM events WHERE event_type = 'error'),
+        others AS (SELECT event_type, epoch_us(ts) // 1000 AS t FROM events)
+        SELECT error, count(*) AS events, count_if(event_type = 'purchase')::BIGINT AS purchases
+        FROM errors JOIN others ON others.t >= errors.t - 30000 AND others.t < errors.t GROUP BY 1""",
+    "overlapping_sessions": f"""WITH {sessions("signup", "s")}, {sessions("purchase", "o")}
+        SELECT s.user_id, count(*) AS pairs, CAST(sum(least(s.b, o.b) - greatest(s.a, o.a)) AS BIGINT) AS milliseconds
+        FROM s JOIN o ON s.user_id = o.user_id AND s.a < o.b AND o.a < s.b GROUP BY 1""",
+    "widening_append": """WITH o AS (SELECT o_orderkey AS k, CAST(round(o_totalprice * 100) AS BIGINT) AS cents, o_orderstatus AS s,
+        o_orderpriority AS p, CAST(o_orderdate AS DATE) AS d FROM orders),
+        all_rows AS (
+          SELECT k AS id, CAST(cents // 100 AS DECIMAL(21, 2)) AS amount, s AS status, NULL AS priority, CAST(NULL AS DATE) AS day FROM o
+          UNION ALL SELECT k + 1099511627776, CAST(cents AS DECIMAL(21, 2)), s, p, NULL FROM o
+          UNION ALL SELECT k % 1000, CAST(cents / 100.0 AS DECIMAL(21, 2)), CASE WHEN k % 2 = 0 THEN s END, NULL, d FROM o)
+        SELECT id, CAST(amount AS VARCHAR) AS amount, status, CAST(priority AS VARCHAR) AS priority, day FROM all_rows""",
+    "upsert_touched_files": f"""WITH {UPSERT}, picked AS (SELECT * FROM changes WHERE c_custkey % 1000 < 250)
+        SELECT c_custkey, coalesce(s.c_name, t.c_name) AS c_name, coalesce(s.c_nationkey, t.c_nationkey) AS c_nationkey,
+               coalesce(s.c_acctbal, t.c_acctbal) AS c_acctbal, c_mktsegment
+        FROM customer t FULL OUTER JOIN picked s USING (c_custkey)""",
+    "update_touched_files": """SELECT c_custkey, c_name, c_nationkey,
+        CASE WHEN c_custkey BETWEEN 40 AND 90 AND c_acctbal > 0 THEN round(c_acctbal / 2, 3) ELSE c_acctbal END AS c_acctbal,
+        CASE WHEN c_custkey BETWEEN 40 AND 90 AND c_acctbal > 0 THEN c_mktsegment || '*' ELSE c_mktsegment END AS c_mktsegment
+        FROM customer""",
+    "delete_touched_files": "SELECT * FROM orders WHERE NOT (o_orderpriority = '2-HIGH' AND o_totalprice < 100000)",
     "year_minmax": """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, min(o_totalprice) AS price_min,
         max(o_totalprice) AS price_max FROM orders GROUP BY 1""",
     "year_status_stats": """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderstatus, count(*) AS entries,

@@ -6,18 +6,21 @@ from collections.abc import Callable
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.catalog import inputs
 from tidemark.catalog.inputs import SEASON, table
 from tidemark.functions.colors import color_name, color_names, hex_number, hex_pixels, without_none
 from tidemark.functions.columns import celsius, epoch_ms, local_hour, newton_root, signed_text, sum_of, utc_time
-from tidemark.operators import aggregates, ml, ranking, reshape, tables
+from tidemark.operators import aggregates, intervals, ml, ranking, reshape, tables, widening
 from tidemark.operators.joins import keyed_join
 from tidemark.plans import classification, corpus, energy, football, images, regression, sales, storage, weather
 from tidemark.session import shared_path, stored
+from tidemark.sources import rewrites
 from tidemark.sources.inventory import file_inventory, file_name, rows_per_file
 from tidemark.sources.readers import frame_of, read_csv, read_parquet, stream_csv, view_of
 from tidemark.sources.writers import write_csv, write_format, write_parquet
+from tidemark.streaming import control
 from tidemark.streaming import sales as stream_sales
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
@@ -145,6 +148,34 @@ def top_per_group(spark: SparkSession, sf: str) -> DataFrame:
     return ranking.top_k_per_group(orders, ["o_orderpriority"], order, 3, ties=False, position="place")
 
 
+@query
+def ranks_with_ties(spark: SparkSession, sf: str) -> DataFrame:
+    """Rank and dense rank of every line item by its quantity: three groups, fifty ties in each."""
+    items = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_quantity")
+    return ranking.with_ranks(items, ["l_returnflag"], {"l_quantity": False}, dense="dense")
+
+
+@query
+def ranks_of_many_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Ranks in groups of many values, by two columns in opposite directions."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate", "o_totalprice")
+    return ranking.with_ranks(orders, ["o_orderstatus"], {"o_orderdate": True, "o_totalprice": False}).drop("o_totalprice")
+
+
+@query
+def top_days_with_ties(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items shipped on a flag's last days, down to the hundredth row and all that tie with it."""
+    items = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", F.to_date("l_shipdate").alias("day"))
+    return ranking.with_ranks(items, ["l_returnflag"], {"day": False}, k=100)
+
+
+@query
+def commonest_words_with_ties(spark: SparkSession, sf: str) -> DataFrame:
+    """The three commonest words of each length and those as common as the third."""
+    counts = corpus.word_counts(_words(spark, sf))
+    return ranking.with_ranks(stored(counts.withColumn("length", F.length("word")), "word-counts"), ["length"], {"count": False}, k=3)
+
+
 @query
 def lowest_with_ties(spark: SparkSession, sf: str) -> DataFrame:
     suppliers = table(spark, sf, "supplier").select(
@@ -254,6 +285,43 @@ def epoch_month_hour(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _sessions(spark: SparkSession, sf: str, kind: str, name: str) -> DataFrame:
+    """Events of a kind as intervals of a millisecond to some ten days."""
+    events = table(spark, sf, "events").where(F.col("event_type") == kind)
+    length = F.pow(F.col("event_id") % 97, 3).cast("long") * 1000 + 1
+    begin = epoch_ms("ts")
+    return events.select("user_id", F.col("event_id").alias(name), begin.alias(f"{name}_start"), (begin + length).alias(f"{name}_end"))
+
+
+@query
+def events_in_sessions(spark: SparkSession, sf: str) -> DataFrame:
+    """Clicks within each signed-up user's sessions, which run over days and into each other."""
+    sessions = _sessions(spark, sf, "signup", "session")
+    clicks = table(spark, sf, "events").where("event_type = 'click'").select("user_id", "event_id", epoch_ms("ts").alias("time"))
+    pairs = intervals.contained(clicks, sessions, "time", "session_start", "session_end", ["user_id"])
+    return pairs.groupBy("user_id", "session").agg(F.count("*").alias("clicks"), F.min("event_id").alias("least"), F.sum("event_id").alias("ids"))
+
+
+@query
+def events_near_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """All events up to half a minute before an error, of any user: a join by time alone."""
+    events = table(spark, sf, "events").select("event_id", "event_type", epoch_ms("ts").alias("time"))
+    errors = events.where("event_type = 'error'").select(
+        F.col("event_id").alias("error"), (F.col("time") - 30_000).alias("from"), F.col("time").alias("to")
+    )
+    pairs = intervals.contained(events, errors, "time", "from", "to")
+    return pairs.groupBy("error").agg(F.count("*").alias("events"), F.count_if(F.col("event_type") == "purchase").alias("purchases"))
+
+
+@query
+def overlapping_sessions(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of sessions of one user that overlap, and for how long in all."""
+    one, two = _sessions(spark, sf, "signup", "session"), _sessions(spark, sf, "purchase", "other")
+    pairs = intervals.overlapping(one, two, ("session_start", "session_end"), ("other_start", "other_end"), ["user_id"])
+    shared = F.least("session_end", "other_end") - F.greatest("session_start", "other_start")
+    return pairs.groupBy("user_id").agg(F.count("*").alias("pairs"), F.sum(shared).alias("milliseconds"))
+
+
 # Sales
 
 
@@ -301,6 +369,28 @@ def sorted_days_stream(spark: SparkSession, sf: str) -> DataFrame:
     return result.select("orderDate", F.round("totalSales", 2).alias("totalSales"), "place")
 
 
+@query
+def resumed_days_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream stopped after the first of its batches, given more files, and started again.
+
+    The interval is longer than any batch, so exactly one batch has ended when the query stops.
+    """
+    source, folder = inputs.retail_sales(spark, sf), shared_path(spark, "sales-resumed")
+    late = F.pmod(F.hash(*source.columns), F.lit(3)) == 0
+    dealt = source.repartition(9, *source.columns)
+    write_csv(dealt.where(~late), f"{folder}/in", sep=";", header=False)
+
+    def start(**trigger: object) -> StreamingQuery:
+        stream = stream_csv(spark, f"{folder}/in", source.schema, files_per_batch=4)
+        return stream_sales.start_table_query(sales.daily_sales(stream), f"{folder}/out", f"{folder}/state", **trigger)
+
+    control.run_batches(start(interval="12 hours"), batches=1, seconds=6 * 3600)
+    write_csv(dealt.where(late), f"{folder}/in", sep=";", header=False, mode="append")
+    control.run_to_end(lambda: start(once=True), seconds=12 * 3600)
+    result = stream_sales.latest_version(spark, f"{folder}/out")
+    return result.select("orderDate", F.round("totalSales", 2).alias("totalSales"), "totalCount")
+
+
 def _best_publisher(spark: SparkSession, sf: str) -> DataFrame:
     games = inputs.game_sales(spark, sf)
     publishers = sales.publisher_sales(games, "Publisher", "release_date", "NA_Sales", "total_sales", 1996, 1999)
@@ -569,6 +659,24 @@ def evolve_append(spark: SparkSession, sf: str) -> DataFrame:
     return tables.evolve_append(inputs.incidents(spark, sf), _drifted(spark, sf))
 
 
+@query
+def widening_append(spark: SparkSession, sf: str) -> DataFrame:
+    """Three generations of a table: keys grow from int to long, amounts from long to decimal, states gain a field."""
+    orders = table(spark, sf, "orders")
+    key, cents = F.col("o_orderkey"), F.round(F.col("o_totalprice") * 100).cast("long")
+    status, priority = F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority")
+    first = orders.select(key.cast("int").alias("id"), (cents / 100).cast("int").cast("long").alias("amount"), F.struct(status).alias("state"))
+    second = orders.select((key + (1 << 40)).alias("ID"), cents.cast("int").alias("amount"), F.struct(priority, status).alias("state"))
+    third = orders.select(
+        (key % 1000).cast("short").alias("id"),
+        (cents.cast("decimal(12,0)") / 100).cast("decimal(12,2)").alias("amount"),
+        F.when(key % 2 == 0, F.struct(status)).alias("state"),
+        F.to_date("o_orderdate").alias("day"),
+    )
+    grown = widening.widening_append(widening.widening_append(first, second), third)
+    return grown.select("id", F.col("amount").cast("string").alias("amount"), "state.status", "state.priority", "day")
+
+
 @query
 def parquet_merge_schema(spark: SparkSession, sf: str) -> DataFrame:
     frames = [inputs.incidents(spark, sf), REGISTRY["rekey_latest"](spark, sf), _drifted(spark, sf)]
@@ -692,6 +800,39 @@ def update_where(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _customer_files(spark: SparkSession, sf: str) -> str:
+    """The customers as files by ranges of their key, so that a change of some keys leaves files alone."""
+    path = shared_path(spark, "customer-files")
+    write_parquet(table(spark, sf, "customer").repartitionByRange(8, "c_custkey"), path)
+    return path
+
+
+@query
+def upsert_touched_files(spark: SparkSession, sf: str) -> DataFrame:
+    path = _customer_files(spark, sf)
+    changes = inputs.customer_update(spark, sf).where("c_custkey % 1000 < 250")
+    columns = ["c_name", "c_acctbal", "c_nationkey"]
+    rewrites.upsert_files(spark, path, changes, ["c_custkey"], columns, columns)
+    return read_parquet(spark, path)
+
+
+@query
+def update_touched_files(spark: SparkSession, sf: str) -> DataFrame:
+    path = _customer_files(spark, sf)
+    change = {"c_acctbal": F.round(F.col("c_acctbal") / 2, 3), "c_mktsegment": F.concat("c_mktsegment", F.lit("*"))}
+    rewrites.update_files(spark, path, change, F.col("c_custkey").between(40, 90) & (F.col("c_acctbal") > 0))
+    return read_parquet(spark, path)
+
+
+@query
+def delete_touched_files(spark: SparkSession, sf: str) -> DataFrame:
+    path = shared_path(spark, "order-files")
+    orders = table(spark, sf, "orders")
+    orders.repartitionByRange(4, "o_orderkey").write.partitionBy("o_orderpriority").parquet(path)
+    rewrites.delete_files(spark, path, (F.col("o_orderpriority") == "2-HIGH") & (F.col("o_totalprice") < 100000), ["o_orderpriority"])
+    return read_parquet(spark, path).select(orders.columns)
+
+
 @query
 def update_everywhere(spark: SparkSession, sf: str) -> DataFrame:
     """An update whose condition is always true."""

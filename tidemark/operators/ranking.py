@@ -6,9 +6,9 @@ rows travel. Orders that cut off rows must end in a unique column to give the sa
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from tidemark.session import stored
 
@@ -134,6 +134,76 @@ def _index_in_groups(tagged: DataFrame, group: list[str], name: str) -> DataFram
     return met.withColumn(name, F.col("_place") + F.col("_shift") + 1)
 
 
+def value_ranks(df: DataFrame, group: Sequence[str], order: Mapping[str, bool]) -> DataFrame:
+    """The distinct values of ``order`` in each group with their ``_rank`` and ``_dense`` rank.
+
+    ``order`` tells for each column whether it ascends. Ties are counted before any shuffle, so a tie of
+    any size is one row. The counted values are range-partitioned and summed up from part to part, so
+    a group of any number of values is spread over many tasks; where a group goes on from one part to
+    the next is told by one row per part.
+    """
+    keys = [*group, *order]
+    sort = [*(F.asc(g) for g in group), *(F.asc(c) if up else F.desc(c) for c, up in order.items())]
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    tagged = stored(counts.orderBy(*sort).select("*", F.spark_partition_id().alias("_part"), place.alias("_place")), "ranks")
+    by_part, earlier = Window.orderBy("_part"), (Window.unboundedPreceding, -1)
+
+    def before(column: str, window: WindowSpec) -> Column:
+        return F.coalesce(F.sum(column).over(window.rowsBetween(*earlier)), F.lit(0))
+
+    sizes = tagged.groupBy("_part").agg(F.sum("_n").alias("_rows"), F.count("*").alias("_values"))
+    starts = sizes.select("_part", before("_rows", by_part).alias("_rows0"), before("_values", by_part).alias("_values0"))
+    # One row per partition of the sort, so the broadcast side is bounded by the partition count.
+    numbered = (
+        tagged.withColumn("_in_part", before("_n", Window.partitionBy("_part").orderBy("_place")))
+        .join(F.broadcast(starts), "_part")
+        .withColumn("_at", F.struct((F.col("_rows0") + F.col("_in_part")).alias("rows"), (F.col("_values0") + F.col("_place")).alias("values")))
+    )
+    pieces = numbered.groupBy("_part", *group).agg(F.min("_at").alias("_at0"), F.min("_place").alias("_first"))
+    name = F.struct(F.lit(0), *group)  # a struct needs a field where there is no group
+    parts = pieces.groupBy("_part").agg(
+        F.min_by(name, "_first").alias("_head"),
+        F.max_by(name, "_first").alias("_tail"),
+        F.max_by("_at0", "_first").alias("_tail_at"),
+        F.count("*").alias("_groups"),
+    )
+    linked = parts.withColumn("_linked", F.col("_head").eqNullSafe(F.lag("_tail").over(by_part)))
+    # A part that lies within one group that began earlier begins none.
+    begun = linked.withColumn("_begun", F.when(~F.col("_linked") | (F.col("_groups") > 1), F.col("_tail_at")))
+    carried = begun.select("_part", "_linked", F.last("_begun", ignorenulls=True).over(by_part.rowsBetween(*earlier)).alias("_carried"))
+    group_starts = pieces.join(carried, "_part").select(
+        F.col("_part").alias("_p"),
+        *[F.col(g).alias(f"_g{k}") for k, g in enumerate(group)],
+        F.when((F.col("_first") == 0) & F.col("_linked"), F.col("_carried")).otherwise(F.col("_at0")).alias("_start"),
+    )
+    same = [F.col(g).eqNullSafe(F.col(f"_g{k}")) for k, g in enumerate(group)]
+    met = numbered.join(group_starts, [F.col("_part") == F.col("_p"), *same])
+    return met.select(
+        *keys,
+        (F.col("_at.rows") - F.col("_start.rows") + 1).alias("_rank"),
+        (F.col("_at.values") - F.col("_start.values") + 1).alias("_dense"),
+    )
+
+
+def with_ranks(
+    df: DataFrame, group: Sequence[str], order: Mapping[str, bool], rank: str = "rank", dense: str | None = None, k: int | None = None
+) -> DataFrame:
+    """``df`` with the rank of each row in its group, and its dense rank if ``dense`` names a column for it.
+
+    For groups and ties of any size, unlike a window over the group. With ``k`` only rows of rank ``k`` or
+    better stay. ``df`` is read twice and must give the same rows both times.
+    """
+    ranks = value_ranks(df, group, order)
+    if k is not None:
+        ranks = ranks.where(F.col("_rank") <= k)
+    keys = [*group, *order]
+    named = ranks.select(*[F.col(c).alias(f"_k{n}") for n, c in enumerate(keys)], "_rank", "_dense")
+    same = [F.col(c).eqNullSafe(F.col(f"_k{n}")) for n, c in enumerate(keys)]
+    extra = [F.col("_rank").alias(rank), *([F.col("_dense").alias(dense)] if dense else [])]
+    return df.join(named, same).select(*df.columns, *extra)
+
+
 def sample_by_suffix(
     df: DataFrame, id_column: str, suffixes: Sequence[str], n: int, order: Order | None = None, mark: str = "_"
 ) -> DataFrame:

@@ -55,11 +55,17 @@ def start_table_query(
     checkpoint: str,
     shape: Callable[[DataFrame], DataFrame] = lambda batch: batch,
     once: bool = False,
+    interval: str | None = None,
 ) -> StreamingQuery:
-    """Write ``shape`` of the result at every batch; ``once`` ends after the files now there."""
+    """Write ``shape`` of the result at every batch; ``once`` ends after the files now there, ``interval``
+    (such as ``10 seconds``) starts a batch that often, otherwise batches follow each other."""
     writer = result.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
     writer = writer.foreachBatch(versioned_table(path, shape))
-    return (writer.trigger(availableNow=True) if once else writer).start()
+    if once:
+        writer = writer.trigger(availableNow=True)
+    elif interval:
+        writer = writer.trigger(processingTime=interval)
+    return writer.start()
 
 
 def daily_sales_table(stream: DataFrame, path: str, checkpoint: str, date: str = "orderDate") -> DataFrame:
