@@ -244,7 +244,82 @@ def sessions(kind: str, name: str) -> str:
         FROM events WHERE event_type = '{kind}')"""
 
 
+VALUES_SQL = """rowed AS (
+  SELECT month(l_shipdate) AS m, (l_orderkey * 61 + l_linenumber * 997) % 86400 // 3600 AS h, 6 - abs(month(l_shipdate) - 7) AS summer,
+         12 - abs((l_orderkey * 61 + l_linenumber * 997) % 86400 // 3600 - 12) AS noon, l_linenumber = 7 AS gap, *
+  FROM lineitem),
+measured AS (
+  SELECT m - 1 AS month, h AS hour, CASE WHEN NOT (gap AND l_returnflag = 'R') THEN summer * 5 + l_tax * 50 END AS temperature,
+         90 - summer * 4 + l_discount * 100 AS humidity, l_quantity / 10 + CASE WHEN m > 6 THEN 3 ELSE 0 END AS wind_speed,
+         CASE WHEN NOT (gap AND l_returnflag = 'A') THEN noon * 100 + l_quantity END AS power_tenants,
+         CASE WHEN h > 12 THEN 50 ELSE 20 END + l_tax * 100 AS power_maintenance, noon * summer * 10 + l_discount * 10 AS power_solar_panels,
+         CASE WHEN NOT (gap AND l_returnflag = 'N') THEN l_extendedprice / 1000 END AS electricity_price,
+         CAST('0x' || substr(md5(l_orderkey || '|' || l_linenumber || '|0'), 1, 8) AS BIGINT) % 10000 >= 8000 AS tested
+  FROM rowed)"""
+
+
+def _bayes_case(name: str, label: str, columns: tuple[str, ...]) -> str:
+    """Tables ``scores_<name>``: the logarithm of every class for every tested row, and ``told_<name>``."""
+    present = " AND ".join(f"{c} IS NOT NULL" for c in columns)
+    moments = ", ".join(f"avg({c}) AS m{k}, var_pop({c}) AS v{k}" for k, c in enumerate(columns))
+    largest = "greatest(" + ", ".join(f"var_pop({c})" for c in columns) + ")"
+    parts = " - ".join(
+        f"0.5 * ln(2 * pi() * (v{k} + e)) - ({c} - m{k}) * ({c} - m{k}) / (2 * (v{k} + e))" for k, c in enumerate(columns)
+    )
+    return f"""
+    moments_{name} AS (SELECT {label} AS class, count(*) AS n, {moments} FROM measured WHERE NOT tested AND {present} GROUP BY 1),
+    whole_{name} AS (SELECT count(*) AS total, 1e-9 * {largest} AS e FROM measured WHERE NOT tested AND {present}),
+    tested_{name} AS (SELECT row_number() OVER () AS r, * FROM measured WHERE tested AND {present}),
+    scores_{name} AS (
+      SELECT r, {label} AS truth, class, ln(n / total) - {parts} AS score FROM tested_{name}, moments_{name}, whole_{name}),
+    told_{name} AS (
+      SELECT r, any_value(truth) AS truth, arg_max(class, score) AS told, max(score) AS best, max(score) FILTER (class = truth) AS own
+      FROM scores_{name} GROUP BY r),
+    sums_{name} AS (SELECT r, sum(exp(score - best)) AS s FROM scores_{name} JOIN told_{name} USING (r) GROUP BY r)"""
+
+
+BAYES_CASES = {
+    "month_weather_solar": ("month", 12, ("temperature", "humidity", "wind_speed", "power_solar_panels")),
+    "hour_power_price": ("hour", 24, ("power_tenants", "power_maintenance", "power_solar_panels", "electricity_price")),
+}
+BAYES = f"WITH {VALUES_SQL}, " + ", ".join(_bayes_case(name, label, columns) for name, (label, _, columns) in BAYES_CASES.items())
+
+
+def _away(period: int) -> str:
+    return f"least(abs(truth - told), {period} - abs(truth - told))"
+
+
+BAYES_STUDY = BAYES + " UNION ALL ".join(
+    f"""
+    SELECT '{name}' AS "case", count(*) AS predictions, {", ".join(f"round(100.0 * count_if({_away(period)} <= {k}) / count(*), 5) AS within_{k}" for k in (0, 1, 2))},
+      round(avg(coalesce(exp(own - best), 0) / s), 5) AS mean_probability, round(100.0 * count_if(truth = told) / count(*), 5) AS evaluator
+    FROM told_{name} JOIN sums_{name} USING (r)"""
+    for name, (_, period, _) in BAYES_CASES.items()
+)
+BAYES_CONFUSION = BAYES + " UNION ALL ".join(
+    f"""
+    SELECT '{name}' AS "case", CAST(truth AS INTEGER) AS truth, CAST(told AS INTEGER) AS told, count(*) AS rows, CAST({_away(period)} AS INTEGER) AS away
+    FROM told_{name} GROUP BY truth, told"""
+    for name, (_, period, _) in BAYES_CASES.items()
+)
+
+
+def uniform(keys: str, seed: int, draw: int) -> str:
+    return f"(CAST('0x' || substr(md5({keys} || '|{seed}|{draw}'), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE)"
+
+
+LINE_DRAW = "l_orderkey || '|' || l_linenumber"
+
 ORACLES: dict[str, str] = {
+    "bayes_study": BAYES_STUDY,
+    "bayes_confusion": BAYES_CONFUSION,
+    "keyed_random_values": f"""SELECT l_orderkey, l_linenumber, round({uniform(LINE_DRAW, 5, 0)} * 100, 1) AS draw0,
+        round({uniform(LINE_DRAW, 5, 1)} * 100, 1) AS draw1,
+        round(sqrt(-2 * ln(1 - {uniform(LINE_DRAW, 5, 2)})) * cos(2 * pi() * {uniform(LINE_DRAW, 5, 3)}), 6) AS normal FROM lineitem""",
+    "keyed_split": f"""WITH u AS (SELECT o_orderkey, {uniform("o_orderkey", 9, 0)} AS u FROM orders)
+        SELECT CAST(CASE WHEN u < 0.6 THEN 0 WHEN u < 0.9 THEN 1 ELSE 2 END AS INTEGER) AS part, count(*) AS rows,
+          CAST(sum(o_orderkey) AS BIGINT) AS key_sum FROM u GROUP BY 1""",
+    "image_file_scan": f"WITH {PAGES} SELECT hexcode, total_pixels, colored, red, blue, gray FROM hist",
     "ranks_with_ties": """SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity,
         rank() OVER w AS rank, dense_rank() OVER w AS dense FROM lineitem WINDOW w AS (PARTITION BY l_returnflag ORDER BY l_quantity DESC)""",
     "ranks_of_many_values": """SELECT o_orderkey, o_orderstatus, o_orderdate,

@@ -10,16 +10,17 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.catalog import inputs
 from tidemark.catalog.inputs import SEASON, table
-from tidemark.functions.colors import color_name, color_names, hex_number, hex_pixels, without_none
+from tidemark.functions.colors import color_histogram, color_name, color_names, hex_number, hex_pixels, tiff_file, without_none
+from tidemark.functions import keyed_random
 from tidemark.functions.columns import celsius, epoch_ms, local_hour, newton_root, signed_text, sum_of, utc_time
-from tidemark.operators import aggregates, intervals, ml, ranking, reshape, tables, widening
+from tidemark.operators import aggregates, bayes, intervals, ml, ranking, reshape, tables, widening
 from tidemark.operators.joins import keyed_join
 from tidemark.plans import classification, corpus, energy, football, images, regression, sales, storage, weather
 from tidemark.session import shared_path, stored
 from tidemark.sources import rewrites
 from tidemark.sources.inventory import file_inventory, file_name, rows_per_file
-from tidemark.sources.readers import frame_of, read_csv, read_parquet, stream_csv, view_of
-from tidemark.sources.writers import write_csv, write_format, write_parquet
+from tidemark.sources.readers import frame_of, read_csv, read_images, read_parquet, stream_csv, view_of
+from tidemark.sources.writers import write_binary_files, write_csv, write_format, write_parquet
 from tidemark.streaming import control
 from tidemark.streaming import sales as stream_sales
 
@@ -629,6 +630,23 @@ def image_most_red_in_group(spark: SparkSession, sf: str) -> DataFrame:
     return images.most_of_color(chosen, "annotation", "Red")
 
 
+@query
+def image_file_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """The page images as image files, and a tenth of them once more cut off, scanned and counted."""
+    path = shared_path(spark, "images")
+    pages = inputs.page_images(spark, sf)
+    code, content = F.upper(F.hex("page_id")).alias("code"), tiff_file("image.data")
+    broken = pages.where("page_id % 10 = 0").select(code, F.substring(content, 1, 100).alias("content"))
+    write_binary_files(pages.select(code, content.alias("content")).unionByName(broken), "content", path, "code")
+    scanned = color_histogram(read_images(spark, path).select("image"), "image.data", "image.nChannels", ["image"])
+    return scanned.select(
+        F.regexp_extract("image.origin", "code=([0-9A-F]+)/", 1).alias("hexcode"),
+        "total_pixels",
+        images.colored_pixels().alias("colored"),
+        *[images.color_pixels(name).alias(name.lower()) for name in ("Red", "Blue", "Gray")],
+    )
+
+
 # Storage and table changes
 
 
@@ -898,6 +916,22 @@ def hash_split(spark: SparkSession, sf: str) -> DataFrame:
     return reshape.union_all(sizes)
 
 
+@query
+def keyed_random_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Two draws for each line item, the same on any cluster."""
+    items = table(spark, sf, "lineitem").repartition(7)
+    draws = [keyed_random.keyed_value(LINE_KEY, 5, draw=k).alias(f"draw{k}") for k in (0, 1)]
+    return items.select(*LINE_KEY, *draws, F.round(keyed_random.keyed_normal(LINE_KEY, 5, 1), 6).alias("normal"))
+
+
+@query
+def keyed_split(spark: SparkSession, sf: str) -> DataFrame:
+    parts = keyed_random.keyed_split(table(spark, sf, "orders"), ["o_orderkey"], (6, 3, 1), seed=9)
+    return reshape.union_all(
+        [part.agg(F.lit(k).alias("part"), F.count("*").alias("rows"), F.sum("o_orderkey").alias("key_sum")) for k, part in enumerate(parts)]
+    )
+
+
 @query
 def cyclic_eval(spark: SparkSession, sf: str) -> DataFrame:
     orders, events = table(spark, sf, "orders"), table(spark, sf, "events")
@@ -944,3 +978,38 @@ def forest_study(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def classifier_choices(spark: SparkSession, sf: str) -> DataFrame:
     return _study(spark, sf, classification.further_cases())
+
+
+def _bayes_scored(spark: SparkSession, sf: str) -> dict[str, tuple[DataFrame, str, int]]:
+    rows, out = _measurements(spark, sf), {}
+    for name, label, columns in (
+        ("month_weather_solar", classification.MONTH, (*classification.WEATHER, classification.POWER[2])),
+        ("hour_power_price", classification.HOUR, (*classification.POWER, *classification.PRICE)),
+    ):
+        train, test = ml.key_split(rows.dropna(subset=[label]), LINE_KEY, 0.8, portable=True)
+        period = classification.PERIODS[label]
+        model = bayes.fit_gaussian_bayes(train, columns, label)
+        out[name] = (model.scored(test, period), label, period)
+    return out
+
+
+@query
+def bayes_study(spark: SparkSession, sf: str) -> DataFrame:
+    """Accuracy within 0, 1 and 2 steps, mean probability, and the accuracy that the built-in evaluator finds."""
+    results = []
+    for name, (scored, label, period) in _bayes_scored(spark, sf).items():
+        figures = ml.cyclic_evaluation(scored, label, period, probability="probability")
+        rounded = [F.round(c, 5).alias(c) for c in ("within_0", "within_1", "within_2", "mean_probability")]
+        built_in = F.round(F.lit(100 * ml.accuracy_value(scored, label)), 5).alias("evaluator")
+        results.append(figures.select(F.lit(name).alias("case"), "predictions", *rounded, built_in))
+    return reshape.union_all(results)
+
+
+@query
+def bayes_confusion(spark: SparkSession, sf: str) -> DataFrame:
+    """Predictions by true and told class."""
+    results = [
+        bayes.confusion(scored, label, period).select(F.lit(name).alias("case"), "*")
+        for name, (scored, label, period) in _bayes_scored(spark, sf).items()
+    ]
+    return reshape.union_all(results)
