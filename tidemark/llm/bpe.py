@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from tidemark.llm.chunkcache import ChunkCache
-from tidemark.llm.texts import folded, groups, pieces, utf8
+from tidemark.llm.texts import folded, frugal, groups, pieces, utf8
 
 END = "</w>"
 NEVER = 1 << 62
@@ -249,7 +249,7 @@ def encode_and_decode(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", t
         cache.clear()
         tables_for(tokenizer).words = {}
 
-    return docs.select(doc_id, text).mapInArrow(run, f"doc_id {kind}, {SCHEMA}" + ", ids binary" * with_ids)
+    return docs.select(doc_id, text).mapInArrow(frugal(run), f"doc_id {kind}, {SCHEMA}" + ", ids binary" * with_ids)
 
 
 def encoded_texts(texts: list[bytes], cache: ChunkCache, with_ids: bool = False) -> list[tuple]:

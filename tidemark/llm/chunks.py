@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.texts import MULTIPLIER, PIECE, mixed, utf8
+from tidemark.llm.texts import MULTIPLIER, PIECE, frugal, mixed, utf8
 from tidemark.llm.tables import stored
 
 #: Bytes that decide about a cut, and the bits of their hash that must be zero: one place in 16. With sparser
@@ -86,7 +86,7 @@ def chunk_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
                 ["digest", "doc_id", "start", "size"],
             )
 
-    return docs.select(doc_id, text).mapInArrow(run, f"digest long, doc_id {kind}, start long, size int")
+    return docs.select(doc_id, text).mapInArrow(frugal(run), f"digest long, doc_id {kind}, start long, size int")
 
 
 def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", passage: int = PASSAGE) -> DataFrame:
@@ -170,7 +170,7 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             kept = batch.set_column(at, batch.schema.field(at), pa.array([None if t is None else t.decode("utf-8", "ignore") for t in new], given.type))
             yield kept.select(columns)
 
-    return joined.mapInArrow(run, docs.schema)
+    return joined.mapInArrow(frugal(run), docs.schema)
 
 
 def taken_out(text: bytes, cut: str) -> bytes:

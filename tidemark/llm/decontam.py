@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.texts import PIECE, pieces, utf8
+from tidemark.llm.texts import PIECE, frugal, pieces, utf8
 
 K1, B = 1.2, 0.75
 #: Share of an item's weight that a passage must have.
@@ -190,7 +190,7 @@ def item_statistics(items: DataFrame) -> tuple[int, float, int, dict[bytes, int]
             ["word", "n", "length", "longest"],
         )
 
-    rows = items.mapInArrow(run, "word binary, n long, length long, longest long").groupBy("word").agg(
+    rows = items.mapInArrow(frugal(run), "word binary, n long, length long, longest long").groupBy("word").agg(
         F.sum("n").alias("n"), F.sum("length").alias("length"), F.max("longest").alias("longest")
     ).collect()
     whole = next((r for r in rows if r["word"] is None), None)
@@ -318,7 +318,7 @@ def contaminated(
                     ["doc_id", "item_id", "score", "n_passages", "question_overlap", "answer_overlap"],
                 )
 
-        return docs.select(doc_id, text).mapInArrow(run, schema)
+        return docs.select(doc_id, text).mapInArrow(frugal(run), schema)
 
     found = [search(s) for s in searchers(items, item_id, item_text, threshold, overlap)]
     if not found:
@@ -344,5 +344,5 @@ def without_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_id
                 keep[[number for number, _ in searcher.matches(utf8(batch, text))]] = False
                 yield batch.filter(pa.array(keep))
 
-        out = out.mapInArrow(run, docs.schema)
+        out = out.mapInArrow(frugal(run), docs.schema)
     return out

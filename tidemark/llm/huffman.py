@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import byte_characters, well_known
 from tidemark.llm.chunkcache import ChunkCache
-from tidemark.llm.texts import PIECE, folded, groups, pieces, utf8
+from tidemark.llm.texts import PIECE, folded, frugal, groups, pieces, utf8
 from tidemark.llm.tables import stored
 from tidemark.session import shared_path
 
@@ -195,7 +195,7 @@ def encode_ids(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: st
                 yield pa.RecordBatch.from_arrays([keys, counts, pa.array(out, pa.binary())], ["doc_id", "n_tokens", "ids"])
         cache.clear()
 
-    return docs.select(doc_id, text).mapInArrow(run, f"doc_id {kind}, n_tokens long, ids binary")
+    return docs.select(doc_id, text).mapInArrow(frugal(run), f"doc_id {kind}, n_tokens long, ids binary")
 
 
 def id_counts(encoded: DataFrame) -> np.ndarray:
@@ -210,7 +210,7 @@ def id_counts(encoded: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used])], ["id", "n"])
 
     out = np.zeros(1 << 16, dtype=np.int64)
-    for row in encoded.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
+    for row in encoded.select("ids").mapInArrow(frugal(run), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
         out[row["id"]] = row["n"]
     return out
 
@@ -250,7 +250,7 @@ def write_ids(encoded: DataFrame, path: str) -> None:
 
     schema = f"part int, block long, first long, n_ids long, doc_ids array<{kind}>, doc_tokens array<long>, offsets binary, bits binary"
     ordered = encoded.select("doc_id", "ids").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    ordered.mapInArrow(run, schema).write.parquet(f"{path}/blocks")
+    ordered.mapInArrow(frugal(run), schema).write.parquet(f"{path}/blocks")
     blocks = spark.read.schema(schema).parquet(f"{path}/blocks")
     blocks.groupBy("part").agg(F.sum("n_ids").alias("n_ids")).write.parquet(f"{path}/parts")
     spark.createDataFrame([(bytearray(book),)], "lengths binary").coalesce(1).write.parquet(f"{path}/codebook")
@@ -286,7 +286,7 @@ def read_ids(spark: SparkSession, path: str, kind: str = "bigint", with_ids: boo
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = f"doc_id {kind}, part int, inside long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids
-    decoded = spark.read.parquet(f"{path}/blocks").mapInArrow(run, schema)
+    decoded = spark.read.parquet(f"{path}/blocks").mapInArrow(frugal(run), schema)
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = spark.read.parquet(f"{path}/parts").select(
         F.col("part").alias("of"), F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("before")

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.texts import PIECE, groups, mixed, shingle_set, utf8
+from tidemark.llm.texts import PIECE, frugal, groups, mixed, shingle_set, utf8
 from tidemark.llm.tables import stored
 
 WORDS = 5
@@ -80,7 +80,7 @@ def _sampled(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 yield sampled(group, batch.column(0).slice(done, len(group)))
                 done += len(group)
 
-    return docs.select(doc_id, text).mapInArrow(run, f"h long, doc_id {kind}, added long, need long, n long")
+    return docs.select(doc_id, text).mapInArrow(frugal(run), f"h long, doc_id {kind}, added long, need long, n long")
 
 
 def shared_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -121,7 +121,7 @@ def shingle_classes(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([keys, *columns], ["doc_id", "digest", "n", "shingles", "parity"])
 
     schema = f"doc_id {kind}, digest binary, n long, shingles array<long>, parity array<long>"
-    return docs.select(doc_id, text).mapInArrow(run, schema).filter("n > 0")
+    return docs.select(doc_id, text).mapInArrow(frugal(run), schema).filter("n > 0")
 
 
 def postings(classes: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.cuckoo import Layers, halves
 from tidemark.llm.tables import stored
-from tidemark.llm.texts import BLANKS, utf8
+from tidemark.llm.texts import BLANKS, frugal, utf8
 
 #: Code points of a line that counts.
 LEAST = 10
@@ -63,7 +63,7 @@ def line_keys(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), batch.column(0).take(at), batch.column(1).take(at)], ["key", "doc_id", "text_hash"])
 
     named = docs.filter(F.col(doc_id).isNotNull()).select(F.col(doc_id), F.xxhash64(text).alias("text_hash"), F.col(text))
-    return named.mapInArrow(run, f"key binary, doc_id {kind}, text_hash long")
+    return named.mapInArrow(frugal(run), f"key binary, doc_id {kind}, text_hash long")
 
 
 def _counted(postings: DataFrame) -> DataFrame:
@@ -212,7 +212,7 @@ def kept_lines(store: LineStore, docs: DataFrame, doc_id: str = "doc_id", text:
                 ["doc_id", "n_lines", "n_dropped", "kept"],
             )
 
-    return met.mapInArrow(run, f"doc_id {kind}, n_lines long, n_dropped long, kept string")
+    return met.mapInArrow(frugal(run), f"doc_id {kind}, n_lines long, n_dropped long, kept string")
 
 
 def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.texts import BLANKS, fresh, groups, utf8
+from tidemark.llm.texts import BLANKS, fresh, frugal, groups, utf8
 from tidemark.llm.tables import stored
 
 SYMBOLS = b"#*$%&|<>"
@@ -98,7 +98,7 @@ def rule_counts(docs: DataFrame, text: str = "text", counts: str = "counts") ->
                 done += len(group)
                 yield pa.RecordBatch.from_arrays([*part.columns, struct], [*batch.schema.names, counts])
 
-    return docs.mapInArrow(run, f"{schema}, `{counts}` struct<{inner}>")
+    return docs.mapInArrow(frugal(run), f"{schema}, `{counts}` struct<{inner}>")
 
 
 def base_failed(counts: str) -> Column:

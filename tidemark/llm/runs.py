@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.texts import MULTIPLIER, PIECE, fresh, groups, mixed, utf8, word_hashes
+from tidemark.llm.texts import MULTIPLIER, PIECE, fresh, frugal, groups, mixed, utf8, word_hashes
 
 #: Candidates that are extended at one time.
 CHUNK = 1 << 18
@@ -269,7 +269,7 @@ def periodic_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", l
                 ["doc_id", "n_words", "runs", "collapsed"],
             )
 
-    return docs.select(doc_id, text).mapInArrow(run, f"doc_id {kind}, n_words long, runs {RUN}, collapsed string")
+    return docs.select(doc_id, text).mapInArrow(frugal(run), f"doc_id {kind}, n_words long, runs {RUN}, collapsed string")
 
 
 def most_periodic(runs: str = "runs") -> Column:

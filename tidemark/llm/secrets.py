@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.texts import utf8
+from tidemark.llm.texts import frugal, utf8
 
 # The three kinds in their order, and what a match must have.
 KINDS = ("assign", "access", "hex")
@@ -247,7 +247,7 @@ def labelled(docs: DataFrame, text: str, sample: int = SAMPLE) -> dict[str, list
             ["label", "digest", "token"],
         )
 
-    rows = docs.select(text).mapInArrow(run, "label int, digest long, token binary").distinct()
+    rows = docs.select(text).mapInArrow(frugal(run), "label int, digest long, token binary").distinct()
     first = F.row_number().over(Window.partitionBy("label").orderBy("digest", "token"))
     out: dict[str, list[bytes]] = {}
     for row in rows.withColumn("k", first).filter(F.col("k") <= sample).collect():
@@ -302,7 +302,7 @@ def secret_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sa
             )
 
     schema = f"doc_id {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_learnt long"
-    return docs.select(doc_id, text).mapInArrow(run, schema)
+    return docs.select(doc_id, text).mapInArrow(frugal(run), schema)
 
 
 def mask_secrets(docs: DataFrame, text: str = "text", mask: str = "<secret>", sample: int = SAMPLE) -> DataFrame:
@@ -325,4 +325,4 @@ def mask_secrets(docs: DataFrame, text: str = "text", mask: str = "<secret>", sa
             new = [None if old is None else masked(old) for old in given.cast(pa.large_binary()).to_pylist()]
             yield batch.set_column(column, batch.schema.field(column), pa.array(new, pa.large_binary()).cast(given.type))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(frugal(run), docs.schema)

@@ -6,7 +6,9 @@ cuts at. Blanks are single bytes in UTF-8, so bytes and code points give the sam
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +30,39 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+@functools.cache
+def _trim() -> Callable[[int], int] | None:
+    """The C library's call that hands unused memory back, where it has one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):
+        return None
+
+
+def give_back() -> None:
+    """Unused memory back to the system. Workers are kept for later tasks, of this and of other steps, beside
+    the heap of their executor; without this each keeps the most that any of its tasks needed."""
+    pa.default_memory_pool().release_unused()
+    trim = _trim()
+    if trim:
+        trim(0)
+
+
+def frugal(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``run`` for ``mapInArrow``, memory given back when its task ends."""
+
+    def task(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return task
+
+
 def utf8(batch: pa.RecordBatch, column: str | int) -> list[bytes]:
     """The texts of a batch as UTF-8, null as empty."""
     return [t or b"" for t in batch.column(column).cast(pa.large_binary()).to_pylist()]

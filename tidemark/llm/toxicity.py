@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.texts import fresh, mixed, utf8, word_hashes
+from tidemark.llm.texts import fresh, frugal, mixed, utf8, word_hashes
 from tidemark.llm.tables import stored
 
 #: Labelled documents of each class that are learnt from: those of least hash among the permitted ones.
@@ -212,4 +212,4 @@ def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "score", "predicted"])
 
     rows = docs.withColumn(flag, held_out(doc_id)).select(doc_id, text, flag)
-    return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, score double, predicted int")
+    return rows.mapInArrow(frugal(run), f"doc_id {kind}, held_out boolean, score double, predicted int")
