@@ -55,6 +55,44 @@ def test_distributions_sum_to_one():
     assert tree.longest(2, 9) == (0, 0)
 
 
+def plain_chances(rows, alphabet):
+    """The smoothed chances of a tree as they are defined, for any context and symbol."""
+    sizes, counts = {(0, 0): 0}, {(0, 0): {}}
+    for depth, context, symbol, c, n in rows:
+        sizes[depth, context] = n
+        counts.setdefault((depth, context), {})[symbol] = c
+
+    def chance(depth, context, symbol):
+        node = next((d, context & ((1 << (suffix_tree.BITS * d)) - 1)) for d in range(depth, -1, -1) if (d, context & ((1 << (suffix_tree.BITS * d)) - 1)) in counts)
+        own, n = counts[node], sizes[node]
+        if not node[0]:
+            return (own.get(symbol, 0) + 0.5) / (n + 0.5 * alphabet)
+        left = (n - sum(own.values()) + suffix_tree.DISCOUNT * len(own)) / n
+        kept = (own[symbol] - suffix_tree.DISCOUNT) / n if symbol in own else 0
+        return kept + left * chance(node[0] - 1, node[1], symbol)
+
+    return chance
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_tree_equals_its_definition(seed):
+    rng, alphabet = random.Random(seed), 12
+    contexts = [(0, 0)] + [(1, a) for a in range(3, 8)] + [(2, a << suffix_tree.BITS | b) for a in range(3, 12) for b in range(3, 12) if rng.random() < 0.3]
+    rows = []
+    for depth, context in contexts:
+        own = {s: rng.randrange(1, 30) for s in rng.sample(range(alphabet), rng.randrange(1, alphabet))}
+        n = sum(own.values()) + rng.randrange(5) * (depth > 0)
+        rows += [(depth, context, s, c, n) for s, c in own.items()]
+    rng.shuffle(rows)
+    tree, want = suffix_tree.SuffixTree(rows, alphabet), plain_chances(rows, alphabet)
+    for _ in range(400):
+        depth = rng.randrange(3)
+        context = sum(rng.randrange(3, 12) << (suffix_tree.BITS * k) for k in range(depth))
+        symbol = rng.randrange(alphabet)
+        assert abs(tree.log10(tree.longest(depth, context), symbol) - math.log10(want(depth, context, symbol))) < 1e-9
+    assert abs(suffix_tree.SuffixTree([], 5).log10((0, 0), 3) - math.log10(0.2)) < 1e-12
+
+
 @pytest.mark.parametrize("last_context", [3, 5, 9])
 def test_word_keys_hold_the_longest_allowed_contexts(last_context):
     rng = np.random.default_rng(2)
