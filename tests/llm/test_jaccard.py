@@ -107,3 +107,37 @@ def test_a_short_copy_beside_a_long_text_of_its_key_is_linked(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(docs).collect()}
     assert got == {1: 1, 2: 2, 3: 3, 5: 1, 6: 2}
+
+
+def plain_keys(rows):
+    """Components of keys with several texts: a key is linked through any of them."""
+    texts = [(k, d, shingles(t)) for k, (d, t) in enumerate(rows)]
+    links = [
+        (a, b)
+        for i, (_, a, s) in enumerate(texts)
+        for _, b, t in texts[i + 1 :]
+        if s and a != b and 100 * len(s & t) >= 80 * len(s | t)
+    ]
+    return roots({d for d, _ in rows}, links)
+
+
+def test_texts_of_one_key_link_each_other(spark):
+    rng = random.Random(4)
+    some = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    a, b, c = some(200), some(150), some(120)
+    near = [(1, a), (1, b), (2, a + " word"), (3, b + " word"), (4, c)]
+    copies = [(15, a), (15, b), (12, a), (13, b), (14, c)]
+    for rows, want in ((near, {1: 1, 2: 1, 3: 1, 4: 4}), (copies, {15: 12, 12: 12, 13: 12, 14: 14})):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(docs).collect()}
+        assert got == want == plain_keys(rows)
+
+
+def test_repeated_keys_equal_all_pairs(spark):
+    rng = random.Random(6)
+    rows = [(rng.randrange(0, 70), t) for _, t in corpus(3)]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, gone string").repartition(4)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(docs).collect()}
+    assert got == plain_keys(rows)
+    left = jaccard.one_per_component(docs)
+    assert left.columns == docs.columns and {r["doc_id"] for r in left.collect()} == set(got.values())

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.texts import PIECE, frugal, groups, mixed, shingle_set, utf8
+from tidemark.llm.texts import PIECE, fresh, frugal, groups, mixed, shingle_set, utf8
 from tidemark.llm.tables import stored
 
 WORDS = 5
@@ -146,8 +146,9 @@ def possible() -> Column:
     """Whether rows ``x`` and ``y`` of one list can be similar: length, positional and suffix filter."""
     n_x, n_y = F.col("x.n"), F.col("y.n")
     length = (100 * F.least(n_x, n_y)) >= (PERCENT * F.greatest(n_x, n_y))
-    # What both can still have in common from this shingle on, with all before it.
-    rest = F.least(n_x - F.col("x.place"), n_y - F.col("y.place")) + F.least(F.col("x.place"), F.col("y.place"))
+    # What both can have in common if this is their first common shingle. Similar sets pass in the list of
+    # their first one, whatever the others say, so nothing is lost and few pairs come up more than once.
+    rest = F.least(n_x - F.col("x.place"), n_y - F.col("y.place")) + 1
     positional = 100 * rest >= PERCENT * (n_x + n_y - rest)
     # Sets that differ in d shingles differ in at most d parities; similar ones differ in at most this many:
     # common c >= p (n_x + n_y) / (100 + p) gives d = n_x + n_y - 2 c.
@@ -178,8 +179,8 @@ def _hubs(lists: DataFrame, numbers: range) -> DataFrame:
     return least.select("h", F.explode(rows).alias("row")).select("h", "row.*")
 
 
-def class_links(classes: DataFrame) -> DataFrame:
-    """``node, component`` of the classes (``rep``) that have links.
+def class_links(classes: DataFrame, given: DataFrame) -> DataFrame:
+    """``node, component`` of the classes (``rep``) that have links, the ``given`` ones (``a, b``) included.
 
     First every member of a list meets one hub, then several more where components still differ, then
     whatever is left in a list with more than one component. A pair is verified once at most.
@@ -205,7 +206,7 @@ def class_links(classes: DataFrame) -> DataFrame:
         tried = new if tried is None else tried.unionByName(new)
         more = stored(verified(new, classes), "links")
         if found is None or not more.isEmpty():
-            links = more if links is None else links.unionByName(more)
+            links = more.unionByName(given) if links is None else links.unionByName(more)
             found = stored(components(links), "components")
     return found
 
@@ -224,15 +225,18 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     sets = stored(shingle_classes(slim.join(hopeful, "doc_id", "left_semi"), "doc_id", "text"), "sets")
     classes = stored(
         sets.groupBy("digest").agg(
-            F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("shingles").alias("shingles"), F.first("parity").alias("parity")
-        ),
+            F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("shingles").alias("shingles"), F.first("parity").alias("parity")
+        ).withColumn("rep", F.monotonically_increasing_id()),  # stored, so a class keeps its number
         "classes",
     )
-    found = class_links(classes)
-    member = sets.select("doc_id", "digest").join(classes.select("digest", F.col("rep").alias("class_id")), "digest")
-    placed = member.join(found, F.col("class_id") == F.col("node"), "left").groupBy("doc_id").agg(
-        F.min("class_id").alias("class_id"), F.min(F.coalesce("component", "class_id")).alias("component_id")
-    )
+    member = stored(sets.select("doc_id", "digest").join(classes.select("digest", "rep", "least"), "digest").drop("digest"), "members")
+    # A key with texts of several classes links them.
+    several = member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).filter("a < last").select("doc_id", "a")
+    same_key = member.join(several, "doc_id").filter("rep > a").select("a", F.col("rep").alias("b")).distinct()
+    found = class_links(classes, stored(same_key, "key-links"))
+    joined = member.join(found, F.col("rep") == F.col("node"), "left").withColumn("component", F.coalesce("component", "rep"))
+    least = joined.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    placed = joined.join(least, "component").groupBy("doc_id").agg(F.min("least").alias("class_id"), F.min("component_id").alias("component_id"))
     return counts.join(placed, "doc_id", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
@@ -243,6 +247,6 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
 def one_per_component(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose key is the least of its component, with all their columns."""
-    found = jaccard_components(docs, doc_id, text)
-    gone = stored(found.filter("component_id < doc_id").select(F.col("doc_id").alias("__gone")), "gone")
-    return docs.join(gone, F.col(doc_id) == F.col("__gone"), "left_anti")
+    found, name = jaccard_components(docs, doc_id, text), fresh(docs, "gone")
+    gone = stored(found.filter("component_id < doc_id").select(F.col("doc_id").alias(name)), "gone")
+    return docs.join(gone, F.col(doc_id) == F.col(name), "left_anti")
