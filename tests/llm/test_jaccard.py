@@ -141,3 +141,14 @@ def test_repeated_keys_equal_all_pairs(spark):
     assert got == plain_keys(rows)
     left = jaccard.one_per_component(docs)
     assert left.columns == docs.columns and {r["doc_id"] for r in left.collect()} == set(got.values())
+
+
+@pytest.mark.parametrize("bits", [15, 17, 27])
+def test_marks_lose_no_key(spark, monkeypatch, bits):
+    monkeypatch.setattr(jaccard, "MARK_BITS", bits)
+    rows = spark.range(40_000).selectExpr("id * 7919 - 100000000 AS doc_id", "'x' AS text")
+    keys = rows.where("doc_id % 11 = 0").select("doc_id")
+    got = {r["doc_id"] for r in jaccard._likely(rows, keys, "doc_id").collect()}
+    want = {r["doc_id"] for r in keys.collect()}
+    assert want <= got and (bits < 27 or len(got) < 1.01 * len(want))
+    assert jaccard._likely(rows, keys.limit(0), "doc_id").count() == 0

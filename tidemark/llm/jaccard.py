@@ -32,6 +32,8 @@ PERCENT = 80
 HUBS = 8
 #: 64-bit words of parities per set for the suffix filter.
 PARITY_WORDS = 8
+#: Bits in which the keys of documents with possible partners are marked: 16 MB, whatever their number.
+MARK_BITS = 27
 
 
 def least_common(n: int) -> int:
@@ -211,6 +213,23 @@ def class_links(classes: DataFrame, given: DataFrame) -> DataFrame:
     return found
 
 
+def _likely(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows of ``rows`` whose key is in ``keys``, and a few others.
+
+    Hashes of the keys are marked in ``2 ** MARK_BITS`` bits, which are all that is sent to the tasks (16 MB),
+    so texts that no join will keep need not be shuffled for it. The more bits are set, the more others pass.
+    """
+    slot = F.pmod(F.xxhash64(key), F.lit(1 << MARK_BITS))
+    marks = keys.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")
+    )
+    place = F.bitmap_bit_position("slot").cast("int")
+    byte = F.conv(F.hex(F.substring("bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = F.call_function("shiftright", byte, place % 8).bitwiseAND(F.lit(1)) == 1
+    met = rows.withColumn("slot", slot).withColumn("bucket", F.bitmap_bucket_number("slot")).join(F.broadcast(marks), "bucket")
+    return met.where(marked).select(*rows.columns)
+
+
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per key: ``doc_id, n_shingles, class_id, component_id``.
 
@@ -222,7 +241,8 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     counts = stored(shared_counts(slim), "shared")
     hopeful = counts.filter("shared >= need and doc_id is not null").select("doc_id")
-    sets = stored(shingle_classes(slim.join(hopeful, "doc_id", "left_semi"), "doc_id", "text"), "sets")
+    some = _likely(slim, hopeful, "doc_id").join(hopeful, "doc_id", "left_semi")
+    sets = stored(shingle_classes(some, "doc_id", "text"), "sets")
     classes = stored(
         sets.groupBy("digest").agg(
             F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("shingles").alias("shingles"), F.first("parity").alias("parity")
