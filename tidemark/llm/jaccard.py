@@ -32,8 +32,8 @@ PERCENT = 80
 HUBS = 8
 #: 64-bit words of parities per set for the suffix filter.
 PARITY_WORDS = 8
-#: Bits in which the keys of documents with possible partners are marked: 16 MB, whatever their number.
-MARK_BITS = 27
+#: Bits in which the keys of documents with possible partners are marked: 4 MB, whatever their number.
+MARK_BITS = 25
 
 
 def least_common(n: int) -> int:
@@ -216,7 +216,7 @@ def class_links(classes: DataFrame, given: DataFrame) -> DataFrame:
 def _likely(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """The rows of ``rows`` whose key is in ``keys``, and a few others.
 
-    Hashes of the keys are marked in ``2 ** MARK_BITS`` bits, which are all that is sent to the tasks (16 MB),
+    Hashes of the keys are marked in ``2 ** MARK_BITS`` bits, which are all that is sent to the tasks (4 MB),
     so texts that no join will keep need not be shuffled for it. The more bits are set, the more others pass.
     """
     slot = F.pmod(F.xxhash64(key), F.lit(1 << MARK_BITS))
@@ -241,7 +241,8 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     counts = stored(shared_counts(slim), "shared")
     hopeful = counts.filter("shared >= need and doc_id is not null").select("doc_id")
-    some = _likely(slim, hopeful, "doc_id").join(hopeful, "doc_id", "left_semi")
+    # An inner join with the distinct keys: Spark would move a semi-join below the marks and shuffle all texts.
+    some = _likely(slim, hopeful, "doc_id").join(hopeful, "doc_id")
     sets = stored(shingle_classes(some, "doc_id", "text"), "sets")
     classes = stored(
         sets.groupBy("digest").agg(
