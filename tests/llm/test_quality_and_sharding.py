@@ -110,6 +110,14 @@ def test_shards_are_exact_gapless_and_repeatable(spark):
     assert len(by) == 16 and all(55 < n < 150 for n in by.values())
 
 
+def test_sharding_carries_clashing_names(spark):
+    names = ["part", "row", "order", "place", "bucket", "owner", "ends", "of_shard", "of_bucket", "before", "s", "b", "n", "level", "node"]
+    rows = spark.range(300).repartition(5).select("id", *[F.col("id").alias(n) for n in names])
+    got = sharding.shard_uniformly(rows, 4, bucket_rows=20).collect()
+    assert sorted((r["shard"], r["slot"]) for r in got) == [(s, k) for s in range(4) for k in range(75)]
+    assert all(r[n] == r["id"] for r in got for n in names)
+
+
 def test_sharding_of_odd_rows(odd, nothing):
     got = sharding.shard_uniformly(odd, 4).collect()
     assert len(got) == len(ODD) and sorted(r["slot"] for r in got if r["shard"] == 0) == [0, 1, 2]

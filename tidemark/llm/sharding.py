@@ -6,7 +6,8 @@ shuffle into local ones: each partition permutes its rows and deals them out by
 the rows are exchanged, and each shard permutes what it got. DataFrame functions only.
 
 The matrix is drawn by halving: the counts of a range of partitions are split into those of its left
-and right half, so partitions are drawn independently in as many steps as their number has binary digits.
+and right half. Ranges of one level are drawn independently, each in a row of its own and spread over
+tasks, in as many stored levels as the number of partitions has binary digits.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from tidemark.llm.tables import stored
 BUCKET_ROWS = 100_000
 #: Standard deviations to either side of the mode that a draw reaches; what lies beyond has a chance below 1e-60.
 REACH = 18
+#: Tasks that the draws of one level are dealt out to at most.
+DRAW_TASKS = 256
 
 
 def uniform(*parts: Column) -> Column:
@@ -34,11 +37,23 @@ def hypergeometric(total: Column, marked: Column, drawn: Column, u: Column) -> C
     Inverts the distribution outward from its mode, where the chances are largest, in ratios to the
     chance of the mode, so no factorial of a large number is needed.
     """
+
+    # Fields of a lambda's argument are computed once a draw, columns put into its steps once a step.
+    def bounded(g: Column) -> Column:
+        low, high = F.greatest(F.lit(0).cast("long"), g["drawn"] + g["marked"] - g["total"]), F.least(g["drawn"], g["marked"])
+        mode = F.least(high, F.greatest(low, F.floor((g["drawn"] + 1) * ((g["marked"] + 1) / (g["total"] + 2)))))
+        rest = g["total"] - g["marked"] - g["drawn"]
+        fields = {"total": g["total"], "marked": g["marked"], "drawn": g["drawn"], "u": g["u"], "low": low, "high": high, "mode": mode, "rest": rest}
+        return F.struct(*[c.alias(name) for name, c in fields.items()])
+
+    given = F.struct(*[c.cast("long").alias(name) for name, c in (("total", total), ("marked", marked), ("drawn", drawn))], u.alias("u"))
+    return F.transform(F.transform(F.array(given), bounded), _inverted)[0]
+
+
+def _inverted(g: Column) -> Column:
+    """The draw, for a struct of its three numbers, the uniform number, the bounds, the mode and the rest."""
     zero, one = F.lit(0.0), F.lit(1.0)
-    low = F.greatest(F.lit(0).cast("long"), drawn + marked - total)
-    high = F.least(drawn, marked)
-    mode = F.least(high, F.greatest(low, F.floor((drawn + 1) * ((marked + 1) / (total + 2)))))
-    rest = total - marked - drawn
+    total, marked, drawn, u, low, high, mode, rest = (g[n] for n in ("total", "marked", "drawn", "u", "low", "high", "mode", "rest"))
     spread = F.sqrt(drawn * (marked / total) * (1 - marked / total) + 1)
     steps = F.least(F.greatest(high - mode, mode - low), F.ceil(REACH * spread) + 10)
     way = F.when(steps > 0, F.sequence(F.lit(1).cast("long"), steps)).otherwise(F.array().cast("array<long>"))
@@ -71,54 +86,57 @@ def hypergeometric(total: Column, marked: Column, drawn: Column, u: Column) -> C
 
 
 def communication_matrix(counts: DataFrame, shard_sizes: list[int], seed: int = 0) -> DataFrame:
-    """``part, moves`` (array of counts per shard) for ``counts`` (``part``, ``n``).
+    """``part, moves`` (array of counts per shard) for ``counts`` (``part`` from 0 on, ``n``).
 
     Every row of the matrix sums to the partition's ``n``, every column to the shard's size. ``counts``
-    has one row per partition; it is the only thing gathered in one place.
+    has one row per partition. A range of partitions is a node of a binary tree, and a row of its level.
     """
-    listed = counts.agg(F.array_sort(F.collect_list(F.struct(F.col("part").cast("long").alias("part"), F.col("n").cast("long").alias("n")))).alias("all"))
-    parts = max(1, listed.select(F.size("all")).first()[0])
+    parts = counts.select(F.col("part").cast("long").alias("part"), F.col("n").cast("long").alias("n"))
+    depth = int(parts.agg(F.coalesce(F.max("part"), F.lit(0))).first()[0]).bit_length()
+    levels = parts.select(F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("level"), "part", "n")
+    node = F.expr(f"shiftright(part, {depth} - level)").alias("node")
+    nodes = stored(levels.groupBy("level", node).agg(F.sum("n").alias("n")), "ranges")
     sizes = F.array(*[F.lit(int(s)).cast("long") for s in shard_sizes])
-    ranges = listed.select(F.lit(0).alias("lo"), F.size("all").alias("hi"), sizes.alias("moves"), "all")
-    for _ in range((parts - 1).bit_length()):
-        ranges = _halved(ranges, seed)
-    return ranges.filter("hi > lo").select(F.element_at("all", F.col("lo") + 1)["part"].alias("part"), "moves")
-
+    ranges = nodes.filter("level = 0").select("node", "n", sizes.alias("moves"))
+    for level in range(depth):
+        left = nodes.filter((F.col("level") == level + 1) & (F.col("node") % 2 == 0))
+        left = left.select(F.shiftright("node", 1).alias("node"), F.col("n").alias("wanted"))
+        known = ranges.join(left, "node", "left").select("node", "n", F.coalesce("wanted", F.lit(0)).alias("wanted"), "moves")
+        # A number of its own keeps the few rows of a level in as many tasks; the next level reads what was drawn.
+        ranges = stored(_halved(known.repartition(min(1 << level, DRAW_TASKS), "node"), level, seed), "matrix")
+    return ranges.select(F.col("node").alias("part"), "moves").join(parts.select("part"), "part", "left_semi")
 
-def _halved(ranges: DataFrame, seed: int) -> DataFrame:
-    """Every range of two or more partitions as its two halves, its counts divided by a draw."""
 
-    def rows(lo: Column, hi: Column) -> Column:
-        return F.aggregate(F.slice("all", lo + 1, hi - lo), F.lit(0).cast("long"), lambda s, x: s + x["n"])
+def _halved(ranges: DataFrame, level: int, seed: int) -> DataFrame:
+    """Every range (``wanted`` of its ``n`` rows are in its left half) as its two halves, its counts divided by a draw."""
 
     def deal(state: Column, pair: Column) -> Column:
-        u = uniform(F.lit(seed), F.lit("matrix"), F.col("lo"), F.col("hi"), pair["shard"])
+        u = uniform(F.lit(seed), F.lit("matrix"), F.lit(level), F.col("node"), pair["shard"])
         taken = hypergeometric(state["total"], pair["size"], state["wanted"], u)
-        return F.struct(
-            (state["total"] - pair["size"]).alias("total"),
-            (state["wanted"] - taken).alias("wanted"),
-            F.array_append(state["out"], taken).alias("out"),
-        )
+        # One evaluation of the draw serves both the rest and the result.
+        return F.transform(
+            F.array(taken),
+            lambda x: F.struct(
+                (state["total"] - pair["size"]).alias("total"),
+                (state["wanted"] - x).alias("wanted"),
+                F.array_append(state["out"], x).alias("out"),
+            ),
+        )[0]
 
-    single = F.col("hi") - F.col("lo") < 2
-    middle = F.when(single, F.col("hi")).otherwise(((F.col("lo") + F.col("hi")) / 2).cast("int"))
-    halved = ranges.withColumn("middle", middle)
     pairs = F.transform("moves", lambda size, shard: F.struct(size.alias("size"), shard.alias("shard")))
-    start = F.struct(
-        rows(F.col("lo"), F.col("hi")).alias("total"),
-        rows(F.col("lo"), F.col("middle")).alias("wanted"),
-        F.array().cast("array<long>").alias("out"),
-    )
-    left = F.when(single, F.col("moves")).otherwise(F.aggregate(pairs, start, deal)["out"])
-    # A stored step, so that a draw is evaluated once and not again inside the next level's expression.
-    drawn = halved.withColumn("left", left)
+    start = F.struct(F.col("n").alias("total"), F.col("wanted").alias("wanted"), F.array().cast("array<long>").alias("out"))
+    drawn = ranges.withColumn("left", F.aggregate(pairs, start, deal)["out"])
     half = F.explode(
         F.array(
-            F.struct(F.col("lo").alias("lo"), F.col("middle").alias("hi"), F.col("left").alias("moves")),
-            F.struct(F.col("middle").alias("lo"), F.col("hi").alias("hi"), F.zip_with("moves", "left", lambda a, b: a - b).alias("moves")),
+            F.struct((F.col("node") * 2).alias("node"), F.col("wanted").alias("n"), F.col("left").alias("moves")),
+            F.struct(
+                (F.col("node") * 2 + 1).alias("node"),
+                (F.col("n") - F.col("wanted")).alias("n"),
+                F.zip_with("moves", "left", lambda a, b: a - b).alias("moves"),
+            ),
         )
     )
-    return drawn.select(half.alias("half"), "all").select("half.*", "all").filter("hi > lo")
+    return drawn.select(half.alias("half")).select("half.*")
 
 
 def shard_uniformly(rows: DataFrame, shards: int = 16, seed: int = 0, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -131,36 +149,33 @@ def shard_uniformly(rows: DataFrame, shards: int = 16, seed: int = 0, bucket_row
     partitions' numbers, one to (shard, bucket); neither depends on a data key, so none can be hot.
     """
     part, row, order, place, bucket = (fresh(rows, n) for n in ("part", "row", "order", "place", "bucket"))
+    owner, ends, of_shard, of_bucket, before = (fresh(rows, n) for n in ("owner", "ends", "of_shard", "of_bucket", "before"))
     numbered = stored(rows.withColumn(part, F.spark_partition_id()).withColumn(row, F.monotonically_increasing_id()), "shards")
     counts = numbered.groupBy(F.col(part).alias("part")).agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     sizes = [total // shards + (s < total % shards) for s in range(shards)]
-    ends = F.transform("moves", lambda _, i: F.aggregate(F.slice("moves", 1, i + 1), F.lit(0).cast("long"), lambda a, b: a + b))
-    matrix = stored(communication_matrix(counts, sizes, seed).select(F.col("part").alias(f"_{part}"), ends.alias("ends")), "matrix")
+    sums = F.transform("moves", lambda _, i: F.aggregate(F.slice("moves", 1, i + 1), F.lit(0).cast("long"), lambda a, b: a + b))
+    matrix = stored(communication_matrix(counts, sizes, seed).select(F.col("part").alias(owner), sums.alias(ends)), "matrix")
 
     # The partition's own permutation; then the first moves[0] rows go to shard 0, the next to shard 1 ...
     permuted = numbered.withColumn(order, F.xxhash64(F.lit(seed), F.lit("local"), row)).withColumn(
         place, F.row_number().over(Window.partitionBy(part).orderBy(order, row))
     )
-    dealt = permuted.join(matrix, F.col(part) == F.col(f"_{part}")).withColumn(
-        "shard", F.size(F.filter("ends", lambda e: e < F.col(place)))
+    dealt = permuted.join(matrix, F.col(part) == F.col(owner)).withColumn(
+        "shard", F.size(F.filter(ends, lambda e: e < F.col(place)))
     )
     # The shard's permutation: by a random key whose leading part is a bucket of bounded size.
     buckets = max(1, -(-max(sizes) // bucket_rows))
     dealt = dealt.withColumn(order, F.xxhash64(F.lit(seed), F.lit("shard"), row)).withColumn(
         bucket, F.pmod(F.shiftright(order, 20), F.lit(buckets)).cast("int")
-    ).drop("ends", f"_{part}", part, place)
-    before = Window.partitionBy("s").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    held = numbered_sizes(dealt, bucket).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    ).drop(ends, owner, part, place)
+    held = dealt.groupBy(F.col("shard").alias(of_shard), F.col(bucket).alias(of_bucket)).agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy(of_shard).orderBy(of_bucket).rowsBetween(Window.unboundedPreceding, -1)
+    held = held.select(of_shard, of_bucket, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias(before))
     inside = F.row_number().over(Window.partitionBy("shard", bucket).orderBy(order, row)) - 1
     return (
         dealt.withColumn("slot", inside)
-        .join(held.select("s", "b", "before"), (F.col("shard") == F.col("s")) & (F.col(bucket) == F.col("b")))
-        .withColumn("slot", F.col("slot").cast("long") + F.col("before"))
-        .drop("s", "b", "before", bucket, order, row)
+        .join(held, (F.col("shard") == F.col(of_shard)) & (F.col(bucket) == F.col(of_bucket)))
+        .withColumn("slot", F.col("slot").cast("long") + F.col(before))
+        .drop(of_shard, of_bucket, before, bucket, order, row)
     )
-
-
-def numbered_sizes(dealt: DataFrame, bucket: str) -> DataFrame:
-    """Rows per (shard, bucket): one row each."""
-    return dealt.groupBy(F.col("shard").alias("s"), F.col(bucket).alias("b")).agg(F.count(F.lit(1)).alias("n"))
