@@ -155,6 +155,29 @@ def test_rounds_give_the_same(spark, monkeypatch):
     assert {r[:2] for r in one} == {(d, d) for d in range(30)}
 
 
+def test_items_of_any_length(spark):
+    rng = random.Random(11)
+    sizes = [20, 256, 257, 1_000, 3_000]
+    items = [(k, words(rng, n)) for k, n in enumerate(sizes)]
+    bank = spark.createDataFrame(items, "item_id smallint, text string")
+    texts = {d: words(rng, 700) for d in range(20)}
+    want = set()
+    for d, (k, item) in enumerate(items * 2):
+        texts[d] = f"{words(rng, rng.randrange(1, 400))} {item} {words(rng, 300)}"
+        want.add((d, k))
+    texts[15] += " " + " ".join(items[3][1].split()[:300])  # a third of an item is none of it
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(docs, bank).collect()} == want
+    assert decontam.without_leaks(docs, bank).count() == 10
+    assert [decontam.length_class(n) for n in (0, 1, 256, 257, 512, 513, 1_024, 1_025)] == [0, 0, 0, 1, 1, 2, 2, 3]
+
+
+def test_keys_of_text(spark):
+    bank = spark.createDataFrame([("", "alpha beta gamma delta epsilon zeta"), (None, "eta theta iota kappa lambda mu")], "item_id string, text string")
+    docs = spark.createDataFrame([("a", "x alpha beta gamma delta epsilon zeta y"), ("b", "eta theta iota kappa lambda mu")], "doc_id string, text string")
+    assert {tuple(r)[:2] for r in decontam.contaminated(docs, bank).collect()} == {("a", ""), ("b", None)}
+
+
 def test_odd_rows_of_leaks(spark, odd, nothing):
     bank = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta"), (None, "one two three")], "item_id long, text string")
     got = sorted((str(r["doc_id"]), str(r["item_id"])) for r in decontam.contaminated(odd, bank).collect())

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.texts import MULTIPLIER, PIECE, mixed, utf8
+from tidemark.llm.texts import MULTIPLIER, PIECE, fresh, mixed, utf8
 from tidemark.llm.tables import stored
 
 #: Bytes that decide about a cut, and the bits of their hash that must be zero: one place in 16. With sparser
@@ -157,9 +157,10 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", passage: int = PASSAGE) -> DataFrame:
     """``docs`` with the cut parts taken out of ``text``; all other columns stay."""
-    cuts = stored(substring_dedup(docs, doc_id, text, passage).filter("cut != ''").select(F.col("doc_id").alias("__key"), F.col("cut").alias("__cut")), "cuts")
-    columns = docs.columns
-    joined = docs.join(cuts, F.col(doc_id).eqNullSafe(F.col("__key")), "left").select(*columns, "__cut")
+    columns, key, cut = docs.columns, fresh(docs, "key"), fresh(docs, "cut")
+    found = substring_dedup(docs, doc_id, text, passage).filter("cut != ''")
+    cuts = stored(found.select(F.col("doc_id").alias(key), F.col("cut").alias(cut)), "cuts")
+    joined = docs.join(cuts, F.col(doc_id).eqNullSafe(F.col(key)), "left").select(*columns, cut)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -29,8 +29,9 @@ THRESHOLD = 0.65
 BLOCK = 4
 #: Items that are indexed together. A larger set is searched in several rounds of this size.
 ROUND = 20_000
-#: Words of an item that matter at most for the length of passages.
-LONGEST = 256
+#: Items of up to so many words share their rounds, then those of up to twice as many, and so on, so that
+#: a long item makes passages long in its own rounds only.
+SHORT = 256
 #: Runs of so many words are compared, and so large a share of them must be found.
 RUN, OVERLAP = 3, 0.6
 
@@ -164,38 +165,40 @@ class Index:
                     cursor[k] = bisect_left(lists[k][1], pivot, cursor[k])
 
 
-def item_statistics(items: DataFrame) -> tuple[int, float, int, dict[bytes, int]]:
-    """Number of items, their mean and greatest length, and in how many items each word is.
+def length_class(n_words: int) -> int:
+    """0 for up to ``SHORT`` words, 1 for up to twice as many, 2 for up to four times ..."""
+    return (max(0, n_words - 1) // SHORT).bit_length()
+
+
+def item_statistics(items: DataFrame) -> tuple[int, float, dict[int, tuple[int, int]], dict[bytes, int]]:
+    """Number of items, their mean length, per length class their number and greatest length, and in how many
+    items each word is.
 
     The words of all test items are collected, once for all rounds: a few bytes per word of the benchmark.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequency: Counter[bytes] = Counter()
-        n = length = longest = 0
+        classes: dict[int, list[int]] = defaultdict(lambda: [0, 0, 0])
         for batch in batches:
             for t in utf8(batch, 1):
                 words = words_of(t)
                 if words:
                     frequency.update(set(words))
-                    n, length, longest = n + 1, length + len(words), max(longest, len(words))
-        words = [None, *frequency]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(words, pa.binary()),
-                pa.array([n, *frequency.values()], pa.int64()),
-                pa.array([length] + [0] * len(frequency), pa.int64()),
-                pa.array([longest] + [0] * len(frequency), pa.int64()),
-            ],
-            ["word", "n", "length", "longest"],
-        )
-
-    rows = items.mapInArrow(frugal(run), "word binary, n long, length long, longest long").groupBy("word").agg(
+                    of = classes[length_class(len(words))]
+                    of[:] = of[0] + 1, of[1] + len(words), max(of[2], len(words))
+        rows = [(None, k, *c) for k, c in classes.items()] + [(w, None, n, 0, 0) for w, n in frequency.items()]
+        types = [pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+        columns = list(zip(*rows)) if rows else [()] * len(types)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["word", "class", "n", "length", "longest"])
+
+    rows = items.mapInArrow(frugal(run), "word binary, class int, n long, length long, longest long").groupBy("word", "class").agg(
         F.sum("n").alias("n"), F.sum("length").alias("length"), F.max("longest").alias("longest")
     ).collect()
-    whole = next((r for r in rows if r["word"] is None), None)
-    n = whole["n"] if whole else 0
-    return n, (whole["length"] / n if n else 1.0), (whole["longest"] if whole else 0), {bytes(r["word"]): r["n"] for r in rows if r["word"] is not None}
+    classes = {r["class"]: (r["n"], r["longest"]) for r in rows if r["word"] is None}
+    n = sum(c for c, _ in classes.values())
+    mean = sum(r["length"] for r in rows) / n if n else 1.0
+    return n, mean, classes, {bytes(r["word"]): r["n"] for r in rows if r["word"] is not None}
 
 
 class Searcher:
@@ -270,17 +273,24 @@ class Searcher:
 
 
 def searchers(items: DataFrame, item_id: str, text: str, threshold: float, overlap: float) -> list[Searcher]:
-    """One searcher per round of at most about ``ROUND`` items."""
+    """One searcher per round of at most about ``ROUND`` items of like length; any two half passages hold the longest."""
     slim = items.select(F.col(item_id).alias("item_id"), F.col(text).alias("text"))
-    n, mean, longest, frequency = item_statistics(slim)
-    half = max(1, min(LONGEST, longest))
-    rounds = -(-n // ROUND)
+    n, mean, classes, frequency = item_statistics(slim)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.append_column("class", pa.array([length_class(len(words_of(t))) for t in utf8(batch, 1)], pa.int32()))
+
+    classed = slim.mapInArrow(frugal(run), f"item_id {items.schema[item_id].dataType.simpleString()}, text string, class int")
     out = []
-    for k in range(rounds):
-        part = slim.filter(F.pmod(F.xxhash64("text"), F.lit(rounds)) == k) if rounds > 1 else slim
-        rows = sorted(((r["item_id"], (r["text"] or "").encode()) for r in part.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
-        words = {w for _, t in rows for w in words_of(t)}
-        out.append(Searcher(Index(rows, n, mean, {w: frequency[w] for w in words}), half, threshold, overlap))
+    for k, (members, longest) in sorted(classes.items()):
+        rounds = -(-members // ROUND)
+        for turn in range(rounds):
+            part = classed.filter((F.col("class") == k) & (F.pmod(F.xxhash64("text"), F.lit(rounds)) == turn))
+            found = [(r["item_id"], (r["text"] or "").encode()) for r in part.collect()]
+            rows = sorted(found, key=lambda r: (r[0] is not None, 0 if r[0] is None else r[0], r[1]))
+            words = {w for _, t in rows for w in words_of(t)}
+            out.append(Searcher(Index(rows, n, mean, {w: frequency[w] for w in words}), longest, threshold, overlap))
     return out
 
 
@@ -298,9 +308,11 @@ def contaminated(
     question_overlap, answer_overlap``.
 
     Null and empty texts and items have no words and match nothing; repeated rows are answered each;
-    null keys are reported as null; other columns are ignored. The index of a round is bounded
-    (``ROUND`` items) and sent to the tasks; documents are read once per round and never shuffled.
+    null keys are reported as null; keys may be of any type; other columns are ignored. The index of a round
+    is bounded (``ROUND`` items) and sent to the tasks; documents are read once per round and never shuffled.
+    Items of any length are found: those of more than ``SHORT`` words have rounds with longer passages.
     """
+    key_type = items.select(item_id).limit(0).toArrow().schema.field(0).type
     kind, item_kind = docs.schema[doc_id].dataType.simpleString(), items.schema[item_id].dataType.simpleString()
     schema = f"doc_id {kind}, item_id {item_kind}, score double, n_passages long, question_overlap double, answer_overlap double"
 
@@ -312,7 +324,7 @@ def contaminated(
                     at += [number] * len(found)
                     rows += [(searcher.index.keys[r[0]], *r[1:]) for r in found]
                 columns = list(zip(*rows)) if rows else [()] * 5
-                types = [item_type(item_kind), pa.float64(), pa.int64(), pa.float64(), pa.float64()]
+                types = [key_type, pa.float64(), pa.int64(), pa.float64(), pa.float64()]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(at, pa.int64())), *[pa.array(c, t) for c, t in zip(columns, types)]],
                     ["doc_id", "item_id", "score", "n_passages", "question_overlap", "answer_overlap"],
@@ -329,10 +341,6 @@ def contaminated(
     return out
 
 
-def item_type(kind: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-
-
 def without_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``docs`` that contain no item, with all their columns. Narrow, one pass per round."""
     out = docs
