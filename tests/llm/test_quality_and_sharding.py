@@ -54,6 +54,31 @@ def test_hosts_decide_about_soft_failures(spark):
     assert kept == {i for i, r in got.items() if r["kept"]}
 
 
+def test_verdicts_follow_the_record_of_the_host(spark):
+    import duckdb
+
+    from tidemark.llm.oracles import ORACLES
+
+    good = " ".join(f"word{i}" for i in range(80))
+    junk, loud = good.replace(" ", " # "), good.replace(" ", " ! ! ")
+    rows = [(h * 1000 + i, junk if i < (30 + h) else good, f"poor{h}") for h in range(4) for i in range(200)]
+    rows += [(h * 1000 + i, junk if i < 2 else good, f"tidy{h}") for h in range(4, 8) for i in range(300)]
+    rows += [(9000, junk, "small"), (9001, good, "small"), (9002, loud, "tidy4"), (9003, None, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: r["kept"] for r in quality.quality_rules(table).collect()}
+    assert not any(got[h * 1000 + i] for h in range(4) for i in range(30 + h))
+    # The same failure is waived where few documents have it; a small host is judged as is usual.
+    assert all(got[h * 1000 + i] for h in range(4, 8) for i in range(300))
+    assert not got[9000] and got[9001] and not got[9003]
+    named = table.withColumnsRenamed({"doc_id": "__host"}).withColumn("__rejected", F.lit(True)).withColumn("host", F.lit("x"))
+    kept = quality.keep_good(named)
+    assert kept.columns == named.columns and {r["__host"] for r in kept.collect()} == {d for d, k in got.items() if k}
+    connection = duckdb.connect()
+    connection.register("documents", table.toPandas())
+    answer = connection.sql(ORACLES["op1_quality_rules"]).df()
+    assert dict(zip(answer["doc_id"], answer["kept"])) == got
+
+
 def test_a_small_host_is_judged_by_what_is_usual(spark):
     good, bad = " ".join(f"w{i}" for i in range(60)), "few words"
     rows = [(i, good if i % 10 else bad, f"h{i // 10 % 40}") for i in range(4000)] + [(9000, bad, "tiny"), (9001, bad, "tiny")]

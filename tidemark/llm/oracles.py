@@ -20,7 +20,7 @@ def _quality() -> str:
         )
         return f"(failed_{r} + mean_{r} * ({weight})) / (n_docs + ({weight}))"
 
-    known = ", ".join(f"{rate(r)} >= {KNOWN_FOR} AS known_{r}" for r in RULES)
+    known = ", ".join(f"{rate(r)} >= {KNOWN_FOR} * mean_{r} AS known_{r}" for r in RULES)
     soft = " OR ".join(f"({r} AND known_{r})" for r in RULES)
     return rf"""
     WITH d AS (

@@ -3,8 +3,8 @@
 Documents are measured one by one. Each host's failures are counted per rule, the counts of all hosts
 give a beta prior per rule by the method of moments, and each host's rate is drawn towards it: a host
 with few documents is judged by what is usual, one with many by its own record. The verdict on the host
-then goes back to its documents: a soft rule that a document fails counts where its host is known for
-that failure, and nothing is kept from a host that fails nearly always.
+then goes back to its documents: a soft rule that a document fails counts unless its host has a record
+of failing it less than is usual, and nothing is kept from a host that fails nearly always.
 """
 
 from __future__ import annotations
@@ -30,8 +30,9 @@ SOFT_RULES = {
     "repeated_lines": "2 * n_dup_lines > n_lines",
     "long_words": "word_chars > 12 * n_words",
 }
-#: A soft failure counts on hosts whose shrunk rate of that rule is at least this.
-KNOWN_FOR = 0.005
+#: A soft failure counts on hosts whose shrunk rate of that rule is at least this share of the usual rate, the
+#: mean over hosts. A host without a record has the usual rate; only a better record waives the rule.
+KNOWN_FOR = 0.9
 #: Hosts whose shrunk rate of documents that fail at all is above this lose all documents.
 HOST_LIMIT = 0.9
 #: Weight of the prior, in documents, where hosts differ no more than chance would have it.
@@ -140,7 +141,7 @@ def host_table(measured: DataFrame, host: str, counts: str, known_for: float = K
     return hosts.select(
         "host",
         "n_docs",
-        *[(rates[r] >= known_for).alias(f"known_{r}") for r in SOFT_RULES],
+        *[(rates[r] >= F.lit(known_for * (moments[f"mean_{r}"] or 0.0))).alias(f"known_{r}") for r in SOFT_RULES],
         (rates["any"] > host_limit).alias("rejected"),
     )
 
@@ -192,9 +193,10 @@ def keep_good(docs: DataFrame, host: str = "source", text: str = "text") -> Data
     counts, record = fresh(docs, "counts"), docs.columns
     hosts = rule_counts(docs.select(host, text), text, counts).drop(text)
     table = host_table(hosts, host, counts)
-    table = stored(table.withColumnsRenamed({c: f"__{c}" for c in table.columns}), "verdicts")
-    good = ~base_failed(counts) & ~F.col("__rejected")
+    names = {c: fresh(docs, f"__{c}") for c in table.columns}
+    table = stored(table.withColumnsRenamed(names), "verdicts")
+    good = ~base_failed(counts) & ~F.col(names["rejected"])
     for rule in SOFT_RULES:
-        good = good & ~(soft_failed(counts, rule) & F.col(f"__known_{rule}"))
+        good = good & ~(soft_failed(counts, rule) & F.col(names[f"known_{rule}"]))
     measured = rule_counts(docs, text, counts)
-    return measured.join(table, F.col(host).eqNullSafe(F.col("__host"))).filter(good).select(*record)
+    return measured.join(table, F.col(host).eqNullSafe(F.col(names["host"]))).filter(good).select(*record)
