@@ -104,6 +104,41 @@ def test_no_quota_on_unlabelled_secrets(spark, keys, others):
     assert all((masked[k] == "see <secret> there") == (got[k] == 1) for k in range(keys))
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.lists(PARTS, max_size=14))
+def test_candidates_are_what_base_spans_leave_of_tokens(parts):
+    raw = "".join(parts).encode()
+    spans = secrets.base_spans(raw)
+    left = bytearray(raw)
+    for start, _, end, _, _ in spans:
+        left[start:end] = b" " * (end - start)
+    want = [m.span() for m in re.finditer(rb"[A-Za-z0-9+/_.=-]{8,}", bytes(left))]
+    assert list(secrets.other_tokens(raw, spans)) == want
+
+
+def test_short_secrets_and_the_rest_of_touched_tokens(spark):
+    rng = random.Random(9)
+    some = lambda n, letters="0123456789abcdef": "".join(rng.choice(letters) for _ in range(n))
+    word = lambda: "".join(rng.choice(["schaft", "ung", "heit", "keit", "ein", "tion"]) for _ in range(rng.randrange(2, 6)))
+    keys = [some(12) for _ in range(200)]
+    rows = [(k, f"see {key} there") for k, key in enumerate(keys)]
+    touched = [(some(40), some(20)) for _ in range(100)]
+    rows += [(1_000 + k, f"{a}-{b} {word()}") for k, (a, b) in enumerate(touched)]
+    others = [f"{word()} {word()} 555-{some(4, '0123456789')} {some(8, '0123456789')} 20{some(2, '0123456789')}-01-02" for _ in range(1_500)]
+    rows += [(10_000 + k, text) for k, text in enumerate(others)]
+    rows += [(20_000 + k, f'token = "{some(rng.choice([8, 12, 40]))}" end') for k in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r for r in secrets.secret_spans(docs).collect()}
+    assert sum(got[k]["n_learnt"] for k in range(len(keys))) >= 0.9 * len(keys)
+    assert sum(got[10_000 + k]["n_learnt"] for k in range(len(others))) <= 0.001 * 5 * len(others)
+    found = [got[1_000 + k] for k in range(len(touched))]
+    assert all(r["n_hex"] == 1 and "hex:0:40" in r["spans"] for r in found)
+    assert sum(r["n_learnt"] for r in found) >= 0.9 * len(touched)
+    masked = {r["doc_id"]: r["text"] for r in secrets.mask_secrets(docs).collect()}
+    assert sum(key in masked[k] for k, key in enumerate(keys)) <= 0.1 * len(keys)
+    assert not any(a in masked[1_000 + k] for k, (a, _) in enumerate(touched))
+
+
 def test_odd_rows(odd, nothing):
     rows = secrets.secret_spans(odd).collect()
     assert len(rows) == len(ODD) and all(r["spans"] == "" for r in rows)
@@ -118,4 +153,4 @@ def test_odd_rows(odd, nothing):
 def test_the_sample_is_bounded_and_repeatable(spark, bound):
     docs, _ = corpus(spark)
     one, two = (secrets.labelled(docs.repartition(n), "text", bound) for n in (2, 7))
-    assert one == two and all(len(v) <= bound for v in one.values()) and {"assign", "hex", "ordinary"} <= set(one)
+    assert one == two and all(len(v) <= bound for v in one.values()) and {"assign", "hex", "long"} <= set(one)

@@ -2,9 +2,10 @@
 
 The strings that the patterns find are labelled credentials. For each kind a prefix tree of its strings
 is reduced to a probabilistic automaton by merging states whose outgoing frequencies agree within the
-Hoeffding bound; one more automaton is learnt from other long tokens that are no likely credentials.
-Every long token of every text is then scored by how much likelier it is as a credential than as an
-ordinary token; that alone decides, however many tokens are credentials.
+Hoeffding bound; one more automaton is learnt from other tokens that are no likely credentials.
+Every token of every text that is as long as the shortest labelled string may be, and what base spans
+leave of a token, is then scored by how much likelier it is as a credential than as an ordinary token;
+that alone decides, however many tokens are credentials.
 """
 
 from __future__ import annotations
@@ -30,11 +31,16 @@ HEX = re.compile(rb"[0-9a-f]+")
 ASSIGN_MIN, ACCESS_MIN, HEX_MIN = 8, 16, 32
 KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
-#: Tokens that are scored.
-CANDIDATE = re.compile(rb"[A-Za-z0-9+/_.=-]{16,}")
-ORDINARY = "ordinary"
-#: Labelled strings per kind from which the automata are learnt: those with the least digests.
+#: Tokens that are scored: from the least length of a labelled string on.
+CANDIDATE = re.compile(rb"[A-Za-z0-9+/_.=-]{%d,}" % ASSIGN_MIN)
+#: Ordinary tokens below and from ``LONG_MIN`` characters on; long ones are rare and sampled by themselves.
+ORDINARY, LONG = "ordinary", "long"
+LONG_MIN = 16
+LABELS = (*KINDS, ORDINARY, LONG)
+#: Strings per label from which the automata are learnt: those with the least digests.
 SAMPLE = 2_000
+#: Tokens whose gain a task remembers.
+REMEMBERED = 100_000
 #: Characters of a labelled string that enter its prefix tree. Scores take whole tokens.
 TREE_DEPTH = 128
 ALPHA = 0.01
@@ -70,15 +76,19 @@ def base_spans(text: bytes) -> list[tuple[int, int, int, int, int]]:
 
 
 def other_tokens(text: bytes, spans: list[tuple]) -> Iterator[tuple[int, int]]:
-    """The candidates of ``text`` that no span touches."""
+    """The candidates of ``text``, less what spans cover of them; parts that are left too short are none."""
     edges = sorted((s[0], s[2]) for s in spans)
     at, covered = 0, 0
     for m in CANDIDATE.finditer(text):
         start, end = m.span()
+        start = max(start, covered)
         while at < len(edges) and edges[at][0] < end:
+            if edges[at][0] - start >= ASSIGN_MIN:
+                yield start, edges[at][0]
             covered = max(covered, edges[at][1])
+            start = max(start, covered)
             at += 1
-        if covered <= start:
+        if end - start >= ASSIGN_MIN:
             yield start, end
 
 
@@ -195,15 +205,26 @@ class Formats:
     def __init__(self, samples: dict[str, list[bytes]]):
         self.kinds = [(k, Automaton(Counter(samples[name]))) for k, name in enumerate(KINDS) if samples.get(name)]
         self.threshold = LEAST_GAIN
-        ordinary = samples.get(ORDINARY, [])
+        self.known: dict[bytes, tuple[float, int]] = {}
+        ordinary = samples.get(ORDINARY, []) + samples.get(LONG, [])
         plain = [t for t in ordinary if PLAIN.fullmatch(t)]
         self.ordinary = Automaton(Counter(plain))
-        mixed = [t for t in ordinary if not PLAIN.fullmatch(t) and self.gain(t)[0] <= self.threshold]
+        mixed = [t for t in ordinary if not PLAIN.fullmatch(t) and self._gain(t)[0] <= self.threshold]
         if mixed:
             self.ordinary = Automaton(Counter(plain + mixed))
 
     def gain(self, token: bytes) -> tuple[float, int]:
-        """How much likelier as a credential, and as which kind."""
+        """How much likelier as a credential, and as which kind. Short tokens recur, so theirs are remembered."""
+        if len(token) > 2 * LONG_MIN:
+            return self._gain(token)
+        found = self.known.get(token)
+        if found is None:
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            found = self.known[token] = self._gain(token)
+        return found
+
+    def _gain(self, token: bytes) -> tuple[float, int]:
         symbols = token.translate(_CLASS)
         best = max(((a.score(symbols), -k) for k, a in self.kinds), default=(-math.inf, 0))
         ordinary = self.ordinary.score(symbols)
@@ -213,14 +234,14 @@ class Formats:
 
 
 def labelled(docs: DataFrame, text: str, sample: int = SAMPLE) -> dict[str, list[bytes]]:
-    """At most ``sample`` distinct strings per kind and of ordinary tokens, those of least digest.
+    """At most ``sample`` distinct strings per kind and of short and long ordinary tokens, those of least digest.
 
     Every text is searched. A task passes on its own least ``sample`` per label, so what is shuffled and
     collected is bounded by the parameter.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[dict[int, bytes]] = [{} for _ in range(len(KINDS) + 1)]
+        kept: list[dict[int, bytes]] = [{} for _ in LABELS]
         limit = [1 << 64] * len(kept)
 
         def add(label: int, token: bytes) -> None:
@@ -238,7 +259,7 @@ def labelled(docs: DataFrame, text: str, sample: int = SAMPLE) -> dict[str, list
                 for _, kind, _, start, end in spans:
                     add(kind, t[start:end])
                 for start, end in other_tokens(t, spans):
-                    add(len(KINDS), t[start:end])
+                    add(len(KINDS) + (end - start >= LONG_MIN), t[start:end])
         rows = [(label, d, k[d]) for label, k in enumerate(kept) for d in sorted(k)[:sample]]
         labels, digests, tokens = zip(*rows) if rows else ((), (), ())
         order = np.array(digests, dtype=np.uint64) >> np.uint64(1)
@@ -251,7 +272,7 @@ def labelled(docs: DataFrame, text: str, sample: int = SAMPLE) -> dict[str, list
     first = F.row_number().over(Window.partitionBy("label").orderBy("digest", "token"))
     out: dict[str, list[bytes]] = {}
     for row in rows.withColumn("k", first).filter(F.col("k") <= sample).collect():
-        out.setdefault([*KINDS, ORDINARY][row["label"]], []).append(bytes(row["token"]))
+        out.setdefault(LABELS[row["label"]], []).append(bytes(row["token"]))
     return {name: sorted(tokens) for name, tokens in out.items()}
 
 
