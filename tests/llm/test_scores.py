@@ -154,6 +154,40 @@ def test_held_out_accuracy(spark):
     assert again == {d: r["score"] for d, r in got.items()}
 
 
+def test_toxic_words_of_ordinary_stems(spark):
+    """Only whole words tell here, and half of the evidence stands behind 20,000 bytes."""
+    rng = random.Random(4)
+    stems = ["acht", "lich", "keit", "ver", "ung", "heit", "schaft", "ein"]
+    word = lambda n: "".join(rng.choice(stems) for _ in range(n))
+    bad = [word(6) for _ in range(12)]  # ordinary words have four stems at most
+    rows, labels = [], []
+    for d in range(1200):
+        n = 6_000 if d % 40 == 0 else rng.randrange(30, 150)
+        text, toxic = [word(rng.randrange(1, 5)) for _ in range(n)], d % 5 == 0
+        for _ in range(rng.randrange(4, 8) if toxic else 0):
+            text[rng.randrange(len(text) * 9 // 10, len(text)) if d % 40 == 0 else rng.randrange(len(text))] = rng.choice(bad)
+        rows.append((d, " ".join(text)))
+        labels.append((d, int(toxic)))
+    assert len(rows[0][1]) > 20_000
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    held = [(labels[r["doc_id"]][1], r["predicted"]) for r in toxicity.toxicity(docs, marks).collect() if r["held_out"]]
+    found, false = [p for t, p in held if t], [p for t, p in held if not t]
+    assert sum(found) >= 0.85 * len(found) and sum(false) <= 0.03 * len(false)
+
+
+def test_counted_strings_equal_those_of_each_text(spark):
+    rows = [("a", 0, "Abc abcde\txyz abc"), ("b", 1, "abcdefg ABC"), ("c", 1, "xyz")]
+    lessons = spark.createDataFrame(rows, "key string, toxic int, text string").repartition(2)
+    want = {}
+    for _, toxic, text in rows:
+        padded = f" {' '.join(text.lower().split())} ".encode()
+        for s in {int.from_bytes(padded[i : i + 5]) for i in range(len(padded) - 4)} | set(toxicity.codes(text.encode()).tolist()):
+            want.setdefault(s, [0, 0])[toxic] += 1
+    got = toxicity.string_counts(lessons).collect()
+    assert {r["s"] % (1 << 64): [r["ordinary"], r["toxic"]] for r in got} == want
+    assert {r["s"] % (1 << 64) for r in got if r["is_code"]} == {h for t in rows for h in toxicity.codes(t[2].encode()).tolist()}
+
+
 def test_odd_rows_of_toxicity(spark, odd, nothing):
     marks = spark.createDataFrame([(4, 1), (7, 0), (None, 1), (5, None)], "doc_id long, toxic int")
     rows = toxicity.toxicity(odd, marks).collect()
