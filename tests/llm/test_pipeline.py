@@ -13,7 +13,7 @@ def test_all_are_registered():
     assert {*QUERIES, "pipeline"} <= set(registered.queries())
     assert set(ORACLES) <= set(registered.oracle_sql())
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", list(ORACLES))
