@@ -1,12 +1,15 @@
 """The Jaccard join against all pairs."""
 
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 
 from odd_rows import ODD
 from tidemark.llm import jaccard
 from tidemark.llm.components import components
+from tidemark.llm.texts import parts
 
 
 def shingles(text):
@@ -152,3 +155,32 @@ def test_marks_lose_no_key(spark, monkeypatch, bits):
     want = {r["doc_id"] for r in keys.collect()}
     assert want <= got and (bits < 27 or len(got) < 1.01 * len(want))
     assert jaccard._likely(rows, keys.limit(0), "doc_id").count() == 0
+
+
+def test_memory_of_a_task_follows_a_part_not_its_batch(spark, monkeypatch):
+    rng = random.Random(9)
+    pool = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(20_000)]
+    texts = [" ".join(rng.choices(pool, k=2_000)) for _ in range(1_000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1_000)), pa.array([*texts[:-2], None, ""])], ["doc_id", "text"])
+    docs, taken = spark.createDataFrame([], "doc_id long, text string"), []
+    for step in (jaccard._sampled, jaccard.shingle_classes):
+        with monkeypatch.context() as patch:
+            patch.setattr(type(docs), "mapInArrow", lambda self, run, schema: taken.append(run) or self.withColumn("n", self["doc_id"]))
+            step(docs, "doc_id", "text")
+    for run in taken:
+        tracemalloc.start()
+        found = sum(b.num_rows - b.column("doc_id").null_count for b in run(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert found >= 1_000 and peak < 4 * batch.nbytes
+
+
+def test_parts_hold_every_text_once():
+    texts = [None, "a" * 70, "", "bé" * 20, "c" * 500, "d", None]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"]).slice(0, 7)
+    for size in (1, 60, 120, 10_000):
+        got = list(parts(batch, 0, size))
+        assert [t for _, group in got for t in group] == [(t or "").encode() for t in texts]
+        assert [start for start, _ in got] == [sum(len(g) for _, g in got[:k]) for k in range(len(got))]
+        assert all(len(group) == 1 or sum(map(len, group)) <= size for _, group in got)
+    assert list(parts(batch.slice(0, 0), 0, 9)) == []

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.texts import PIECE, fresh, frugal, groups, mixed, shingle_set, utf8
+from tidemark.llm.texts import PIECE, fresh, frugal, mixed, parts, shingle_set
 from tidemark.llm.tables import stored
 
 WORDS = 5
@@ -32,6 +32,9 @@ PERCENT = 80
 HUBS = 8
 #: 64-bit words of parities per set for the suffix filter.
 PARITY_WORDS = 8
+#: Bytes of text whose shingles a task holds at one time, in many times their size, beside those of the other
+#: tasks of its executor. The size decides how often a shingle of many documents is sent, not what is found.
+PART = PIECE
 #: Bits in which the keys of documents with possible partners are marked: 4 MB, whatever their number.
 MARK_BITS = 25
 
@@ -61,10 +64,12 @@ def _sampled(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         heads = [s[: len(s) - least_common(len(s)) + wanted(len(s))].copy() for s in sets]
         first = np.array([s[0] if len(s) else 0 for s in sets], dtype=np.uint64)
         del sets
-        owner = np.repeat(np.arange(len(heads)), [len(h) for h in heads])
+        owner = np.repeat(np.arange(len(heads), dtype=np.int32), [len(h) for h in heads])
         every = np.concatenate(heads)
+        del heads
         hashes, back, count = np.unique(every, return_inverse=True, return_counts=True)
         common = count[back] > 1
+        del back
         added = np.bincount(owner[common], minlength=len(n))
         need = np.array([wanted(least_common(int(k))) if k else 1 for k in n], dtype=np.int64)
         spread = mixed(first + np.arange(len(n), dtype=np.uint64))
@@ -77,10 +82,8 @@ def _sampled(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            done = 0
-            for group in groups(utf8(batch, 1), 8 * PIECE):
-                yield sampled(group, batch.column(0).slice(done, len(group)))
-                done += len(group)
+            for start, group in parts(batch, 1, PART):
+                yield sampled(group, batch.column(0).slice(start, len(group)))
 
     return docs.select(doc_id, text).mapInArrow(frugal(run), f"h long, doc_id {kind}, added long, need long, n long")
 
@@ -110,10 +113,9 @@ def shingle_classes(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            done = 0
-            for group in groups(utf8(batch, 1)):
+            for start, group in parts(batch, 1, PART):
                 sets = [shingle_set(t, WORDS) for t in group]
-                keys, done = batch.column(0).slice(done, len(group)), done + len(group)
+                keys = batch.column(0).slice(start, len(group))
                 columns = [
                     pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                     pa.array([len(s) for s in sets], pa.int64()),
