@@ -200,3 +200,100 @@ def test_windows_cover_the_whole_text():
     text = ("Ab c\n" * 41).encode()
     assert b"".join(toxicity.windows(text)).split() == text.lower().split()
     assert list(toxicity.windows(b" ")) == [b"  "]
+
+
+def plain_model(texts):
+    """The chance of a word behind two others, by the definition: contexts of classes, then those of words."""
+    counts = Counter(w for t in texts for w in t)
+    total, discount = sum(counts.values()), suffix_tree.DISCOUNT
+    least, share = max(suffix_tree.LEAST_COUNT, suffix_tree.FREQUENT * total), suffix_tree.LEAST_SHARE * total
+    frequent = {w for w, c in counts.items() if w and c >= least}
+    rare = [c for w, c in counts.items() if w and w not in frequent]
+    lost = rare.count(1) / (rare.count(1) + 2 * rare.count(2)) if rare.count(1) else discount
+    plain = {w for w in frequent if counts[w] >= share} | {"<s>"}
+    kind = lambda w: w if w in frequent or w in (None, "<s>") else "RARE"
+    classes, words = {(): Counter()}, {}
+
+    def history(a, b):
+        if kind(b) not in plain | {"RARE"}:
+            return ()
+        return (kind(a), kind(b)) if kind(a) in plain | {"RARE"} and kind(b) != "RARE" else (kind(b),)
+
+    for t in texts:
+        for a, b, s in zip(["<s>", "<s>", *t], ["<s>", *t], t):
+            whole = history(a, b)
+            for k in range(len(whole) + 1):
+                classes.setdefault(whole[k:], Counter())[kind(s)] += 1
+            for key in ((b,), (a, b)):
+                words.setdefault(key, Counter())[s] += 1
+
+    def divergent(follow, up):
+        n, kinds = sum(follow.values()), len(follow)
+        left = {s: max(c - 1 - discount, 0) / max(n - 1, 1) + discount * kinds / n * up(s) for s, c in follow.items()}
+        return sum(c / n * math.log(left[s] / up(s)) for s, c in follow.items()) >= suffix_tree.LEAST_DIVERGENCE
+
+    def mixed(follow, s, lower, chance=0.0):
+        n = sum(follow.values())
+        own = {w: c for w, c in follow.items() if c >= max(suffix_tree.LEAST_TIMES, chance * n)}
+        return (own[s] - discount if s in own else 0) / n + (n - sum(own.values()) + discount * len(own)) / n * lower
+
+    kept = {()} | {
+        k for k, f in classes.items()
+        if k and sum(f.values()) >= max(1, share) and divergent(f, lambda s: classes[k[1:]][s] / sum(classes[k[1:]].values()))
+    }
+
+    def tree(key, s):
+        while key not in kept:
+            key = key[1:]
+        if not key:
+            return (classes[key][s] + 0.5) / (total + 0.5 * (suffix_tree.FIRST + len(frequent)))
+        return mixed(classes[key], s, tree(key[1:], s), suffix_tree.LEAST_CHANCE)
+
+    known = {}
+
+    def chance(a, b, s, longest=2):
+        value = tree(history(a, b), kind(s))
+        if kind(s) == "RARE":
+            value *= (counts[s] - lost if counts[s] else lost * len(rare) + 1) / (sum(rare) + 1)
+        for k, key in enumerate(((b,), (a, b))[:longest]):
+            follow = words.get(key, {})
+            if not follow or key == ("<s>", "<s>") or (set(key) <= plain and (k == 0 or sum(follow.values()) >= share)):
+                continue
+            if key not in known:
+                known[key] = divergent(follow, lambda w: chance(a, b, w, k))
+            if known[key]:
+                value = mixed(follow, s, value)
+        return value
+
+    return chance, known
+
+
+@pytest.mark.parametrize("seed,share,count", [(1, 0.01, 20), (2, 1e-4, 5), (3, 0.3, 3)])
+def test_scores_are_those_of_all_contexts(spark, monkeypatch, seed, share, count):
+    monkeypatch.setattr(suffix_tree, "LEAST_SHARE", share)
+    monkeypatch.setattr(suffix_tree, "LEAST_COUNT", count)
+    rng = random.Random(seed)
+    texts = [t for _, t in language(rng, 150)]
+    texts += [" ".join(rng.choice("abcdefgh") + str(rng.randrange(200)) for _ in range(30)) for _ in range(20)]
+    rows = list(enumerate([*texts, *texts[140:], "", None, "a b", "A b"]))
+    chance, known = plain_model([tokens(t) for d, t in rows if zlib.crc32(str(d).encode()) % 5 != 1])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["score"] for r in suffix_tree.lm_scores(docs).collect()}
+    for d, text in rows:
+        t = tokens(text)
+        want = sum(math.log10(chance(a, b, s)) for a, b, s in zip(["<s>", "<s>", *t], ["<s>", *t], t))
+        assert abs(got[d] - want) < 1e-6 * len(t)
+    kept = [k for k, yes in known.items() if yes]
+    assert len(kept) > 100 and {len(k) for k in kept} == {1, 2}
+    a, b = texts[3].split()[:2] if len(texts[3].split()) > 1 else ("x1", "x2")
+    every = {w for d, t in rows if zlib.crc32(str(d).encode()) % 5 != 1 for w in tokens(t)}
+    assert abs(sum(chance(a, b, s) for s in every) + chance(a, b, "never seen") - 1) < 0.01
+
+
+def test_marks_hold_every_key(spark, monkeypatch):
+    for bits in (16, 26):
+        monkeypatch.setattr(suffix_tree, "MARK_BITS", bits)
+        keys = np.array([0, 1, -1, 32768, 32769, 1 << 26, *np.random.default_rng(1).integers(-(1 << 63), (1 << 63) - 1, 2_000)], dtype=np.int64)
+        marks = suffix_tree.Marks(spark.createDataFrame([(int(k),) for k in keys], "key long"))
+        assert marks(keys).all() and marks(np.random.default_rng(2).integers(-(1 << 63), (1 << 63) - 1, 20_000)).mean() < 0.01
+    assert not suffix_tree.Marks(spark.createDataFrame([], "key long"))(keys).any()

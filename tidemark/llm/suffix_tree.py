@@ -9,9 +9,11 @@ of them comes is told by the rarer words' own counts, less a discount that is le
 training texts lack. These count as one unknown word, as they do in the base score, so both scores are
 distributions over the same tokens.
 
-Counts come from all training texts. The tree is bounded by its least share and by ``FREQUENT`` whatever
-the size of the corpus, so it is collected and sent along; the counts of rarer words are not bounded and
-meet the texts in a join.
+Counts come from all training texts. Contexts that a given share of all symbols follows are few whatever the
+size of the corpus, so their part of the tree is collected and sent along. All others that occur twice or more,
+of any words, are the rest of the tree: a stored table that grows with the corpus. The share only says where a
+context is looked up. What the table adds to the logarithm of a chance is one number for a context and one for
+each of its symbols, so it meets the texts in one join, as the counts of rarer words do.
 """
 
 from __future__ import annotations
@@ -22,16 +24,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.tables import stored
-from tidemark.llm.texts import MULTIPLIER, frugal, groups, mixed, utf8, word_spans
+from tidemark.llm.texts import MULTIPLIER, PIECE, frugal, mixed, parts, word_spans
 
 #: Longest context in words, and bits of a symbol: a context and its symbol fit into an integer.
 DEPTH, BITS = 2, 18
 MASK = (1 << BITS) - 1
-#: Share of all symbols that must follow a context: at most 1 / LEAST_SHARE contexts of one length are kept.
+#: Share of all symbols that must follow a context of the collected part: at most 1 / LEAST_SHARE of one length.
+#: Rarer contexts are kept in the table.
 LEAST_SHARE = 1e-4
 #: Times, and share of what follows a context, from which a symbol has a chance of its own there; others
 #: keep that of the shorter context. So a context has at most 1 / LEAST_CHANCE symbols of its own.
@@ -48,8 +51,11 @@ NONE, STOP, RARE, FIRST = 0, 1, 2, 3
 #: A task counts a few times so many distinct words or transitions before it passes them on.
 MEMORY = 300_000
 
-#: Stands for the end of a text among the hashes of words.
-END = 0
+#: Stand for the end and for the start of a text among the hashes of words.
+END, START = 0, 1
+#: Bits in which keys of a table are marked, two for each: 8 MB. A table that fills them lets more rows
+#: pass to the join, which decides.
+MARK_BITS = 26
 
 
 def held_out(doc_id: str) -> Column:
@@ -70,7 +76,7 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, sums = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for group in groups(utf8(batch, 0)):
+            for _, group in parts(batch, 0, PIECE):
                 new, times = np.unique(hashed_words(group)[0], return_counts=True)
                 new, times = np.append(new, END), np.append(times, len(group))
                 keys, sums = packed_counts(np.concatenate([keys, new]), np.concatenate([sums, times]))
@@ -106,13 +112,18 @@ class Words:
         self.order = np.argsort(self.hashes)
         self.sorted = self.hashes[self.order]
 
-    def symbols(self, hashes: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
-        """The symbols of each text, its end included."""
+    def symbol(self, hashes: np.ndarray) -> np.ndarray:
+        """The symbol of each word."""
         out = np.full(len(hashes), RARE, dtype=np.int64)
         if len(self.sorted):
             at = np.minimum(np.searchsorted(self.sorted, hashes), len(self.sorted) - 1)
             found = self.sorted[at] == hashes
             out[found] = FIRST + self.order[at[found]]
+        return out
+
+    def symbols(self, hashes: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+        """The symbols of each text, its end included."""
+        out = self.symbol(hashes)
         ends = np.cumsum(sizes)
         return np.split(np.insert(out, ends, STOP), ends[:-1] + np.arange(1, len(sizes)))
 
@@ -124,18 +135,19 @@ def as_context(data: np.ndarray, last_context: int) -> np.ndarray:
 
 def word_keys(texts: list[np.ndarray], last_context: int) -> Iterator[np.ndarray]:
     """Packed (context, symbol) of every symbol of every text, once for each length of context that its
-    words allow; a text's start is a context word of its own (``STOP``)."""
+    words allow; a text's start is a context word of its own (``STOP``). Behind any rarer word no context of
+    words goes further back: the table has those of each rarer word."""
     start = np.array([STOP])
     data = np.concatenate([x for t in texts for x in (start, start, t)])
     size = np.array([len(t) + 2 for t in texts])
     inside = np.arange(len(data)) - np.repeat(np.cumsum(size) - size, size)
     context = as_context(data, last_context)
     real = inside >= DEPTH
-    before, allowed = np.zeros(len(data), dtype=np.int64), real
+    before, allowed, older = np.zeros(len(data), dtype=np.int64), real, np.zeros(len(data), dtype=np.int64)
     for d in range(DEPTH + 1):
         if d:
-            older = np.concatenate([np.zeros(d, dtype=np.int64), context[:-d]])
-            allowed = allowed & (older != NONE)
+            newer, older = older, np.concatenate([np.zeros(d, dtype=np.int64), context[:-d]])
+            allowed = allowed & (older != NONE) & (newer != RARE)
             before = before | (older << (BITS * d))
         yield np.where(allowed, before | data | (d << 56), -1)[real]
 
@@ -146,7 +158,7 @@ def transition_counts(docs: DataFrame, words: Words, last_context: int) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, sums = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for group in groups(utf8(batch, 0)):
+            for _, group in parts(batch, 0, PIECE):
                 found = np.concatenate(list(word_keys(words.symbols(*hashed_words(group)), last_context)))
                 found = found[found >= 0]
                 new, times = np.unique(found, return_counts=True)
@@ -159,9 +171,9 @@ def transition_counts(docs: DataFrame, words: Words, last_context: int) -> DataF
     return unpacked(docs.mapInArrow(frugal(run), "key long, c long"))
 
 
-def kept_contexts(counts: DataFrame) -> np.ndarray:
-    """``depth, context, symbol, c, n`` of the contexts that pass both tests, a row each; the empty context
-    always does.
+def kept_contexts(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """``depth, context, symbol, c, n`` of the frequent contexts that pass the test, a row each (the empty context
+    always does), and all frequent contexts of the greatest length, sorted.
 
     ``n`` counts all symbols behind the context; rare ones are left out. The three shares bound the rows,
     which come as Arrow columns: a list of as many tuples would take the driver several times the memory.
@@ -190,7 +202,8 @@ def kept_contexts(counts: DataFrame) -> np.ndarray:
     kept = frequent.join(divergent.unionByName(sizes.filter("depth = 0").select("depth", "context")), ["depth", "context"], "left_semi")
     own = (F.col("depth") == 0) | ((F.col("c") >= LEAST_TIMES) & (F.col("c") >= LEAST_CHANCE * F.col("n")))
     table = kept.filter(own).select(*(F.col(c).cast("long").alias(c) for c in ("depth", "context", "symbol", "c", "n"))).toArrow()
-    return np.stack([c.to_numpy() for c in table.columns], axis=1)
+    longest = sizes.filter(F.col("depth") == DEPTH).select("context").toArrow().column(0).to_numpy()
+    return np.stack([c.to_numpy() for c in table.columns], axis=1), np.sort(longest)
 
 
 class SuffixTree:
@@ -288,6 +301,179 @@ class Model:
         return np.bincount(owner, weights=chance[back], minlength=len(texts))
 
 
+def chained(*parts: np.ndarray | int) -> np.ndarray:
+    """A 64-bit key of several values in order."""
+    out = np.uint64(0)
+    for part in parts:
+        out = mixed((out + np.asarray(part).astype(np.int64).view(np.uint64)) * MULTIPLIER + np.uint64(1))
+    return out
+
+
+class Marks:
+    """Keys marked in a fixed number of bits: whether a key may be among them."""
+
+    def __init__(self, keys: DataFrame):
+        """``keys`` has one column."""
+        low, high = F.col("key").bitwiseAND((1 << MARK_BITS) - 1), F.shiftrightunsigned("key", 64 - MARK_BITS)
+        slots = keys.toDF("key").select(F.explode(F.array(low, high)).alias("slot"))
+        rows = slots.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
+        rows = stored(rows, "marks").toArrow()
+        # Buckets count from 1 behind slot 0, which has one of its own.
+        self.bits = np.zeros((1 << MARK_BITS) // 8 + 8192, dtype=np.uint8)
+        for bucket, bits in zip(rows.column(0).to_pylist(), rows.column(1)):
+            data = np.frombuffer(bits.as_buffer(), dtype=np.uint8)
+            self.bits[4096 * bucket : 4096 * bucket + len(data)] |= data
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        keys = keys.view(np.uint64)
+        both = np.ones(len(keys), dtype=bool)
+        for slot in (keys & np.uint64((1 << MARK_BITS) - 1), keys >> np.uint64(64 - MARK_BITS)):
+            # As bitmap_bucket_number and bitmap_bit_position: 1 to 32768 are in bucket 1, 0 is in bucket 0.
+            slot = slot.astype(np.int64)
+            place = np.where(slot > 0, (slot - 1) % 32768, 0)
+            bucket = np.where(slot > 0, 1 + (slot - 1) // 32768, 0)
+            both &= self.bits[4096 * bucket + place // 8] >> (place % 8).astype(np.uint8) & 1 == 1
+        return both
+
+
+def histories(hashes: np.ndarray, texts: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    """For every symbol of every text, its end included: hash, symbol, and both of the one and of the two before.
+
+    ``hashes`` are those of all words; the start of a text is a word of its own.
+    """
+    size = np.array([len(t) for t in texts])
+    ends = np.cumsum(size) - 1
+    h = np.insert(hashes, ends - np.arange(len(texts)), END)
+    data = np.concatenate(texts)
+    inside = np.arange(len(h)) - np.repeat(ends + 1 - size, size)
+    out = [h, data]
+    for back in range(1, DEPTH + 1):
+        at = np.maximum(np.arange(len(h)) - back, 0)
+        started = inside >= back
+        out += [np.where(started, h[at], START), np.where(started, data[at], STOP)]
+    return tuple(out)
+
+
+def in_table(last_context: int, frequent: np.ndarray, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which contexts of one and of two words, given by their symbols, are not frequent."""
+    rest_one, rest_two = ((x == RARE) | (x > last_context) for x in (one, two))
+    packed = (two << BITS) | one
+    at = np.minimum(np.searchsorted(frequent, packed), max(len(frequent) - 1, 0))
+    known = frequent[at] == packed if len(frequent) else np.zeros(len(one), dtype=bool)
+    # The start before the start says no more than the start alone.
+    return rest_one, (rest_one | rest_two | ~known) & ((one != STOP) | (two != STOP))
+
+
+def repeated_pairs(docs: DataFrame, words: Words, repeated: Marks) -> DataFrame:
+    """``b, s, c``: how often ``s`` follows the word ``b``, by their hash, if twice or more. ``repeated`` marks the rarer
+    words that occur twice or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, group in parts(batch, 0, PIECE):
+                hashes, sizes = hashed_words(group)
+                s, symbol, b, before, *_ = histories(hashes, words.symbols(hashes, sizes))
+                often = np.flatnonzero(((symbol != RARE) | repeated(s)) & ((before != RARE) | repeated(b)))
+                _, first, times = np.unique(chained(b[often], s[often]), return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (b[often[first]], s[often[first]], times)], ["b", "s", "c"])
+
+    pairs = docs.mapInArrow(frugal(run), "b long, s long, c long").groupBy("b", "s").agg(F.sum("c").alias("c"))
+    return pairs.filter(F.col("c") >= LEAST_TIMES)
+
+
+def repeated_triples(docs: DataFrame, words: Words, last_context: int, frequent: np.ndarray, repeated: Marks) -> DataFrame:
+    """``a, b, s, c``: how often ``s`` follows the words ``a`` and ``b``, a context that is not frequent, if twice or more.
+
+    ``repeated`` marks the pairs that occur twice or more; no triple does without both of its pairs.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, group in parts(batch, 0, PIECE):
+                hashes, sizes = hashed_words(group)
+                s, _, b, one, a, two = histories(hashes, words.symbols(hashes, sizes))
+                often = np.flatnonzero(in_table(last_context, frequent, one, two)[1])
+                often = often[repeated(chained(b[often], s[often]))]
+                often = often[repeated(chained(a[often], b[often]))]
+                _, first, times = np.unique(chained(a[often], b[often], s[often]), return_index=True, return_counts=True)
+                at = often[first]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (a[at], b[at], s[at], times)], ["a", "b", "s", "c"])
+
+    triples = docs.mapInArrow(frugal(run), "a long, b long, s long, c long").groupBy("a", "b", "s").agg(F.sum("c").alias("c"))
+    return triples.filter(F.col("c") >= LEAST_TIMES)
+
+
+def keyed(table: DataFrame, *names: str) -> DataFrame:
+    """``table`` with ``key``, that of the columns, as ``chained`` gives it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = chained(*(batch.column(n).to_numpy() for n in names)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(key)], [*batch.schema.names, "key"])
+
+    return table.mapInArrow(frugal(run), ", ".join([*(f"{n} {t}" for n, t in table.dtypes), "key long"]))
+
+
+def rest_table(counts: DataFrame, model: Model, rarer: DataFrame, unknown: float, shorter: DataFrame | None) -> DataFrame:
+    """``key, value``: what a context, and a symbol of its own in it, add to the logarithm of the chance that the longest kept
+    suffix of the context gives.
+
+    ``counts`` has the repeated symbols (``s, c``) of contexts (``b``, or ``a, b``) that are not frequent and ``n``, how
+    often each context occurs. As every occurrence has one symbol behind it, ``n`` tells how many symbols were seen
+    once there. ``rarer`` has ``key, value`` of the rarer words, ``shorter`` is the table of contexts of one word.
+    """
+    depth = 1 if shorter is None else 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, s = (batch.column(k).to_numpy() for k in range(3))
+            before = np.where(b == START, STOP, model.words.symbol(b))
+            symbol = np.where(s == END, STOP, model.words.symbol(s))
+            # The longest suffix in the collected part, of the words' classes.
+            one = as_context(before, model.last_context)
+            two = as_context(np.where(a == START, STOP, model.words.symbol(a)), model.last_context) if depth > 1 else np.zeros_like(one)
+            long = (two != NONE) & (one != RARE)
+            node = model.tree.longest_of(np.where(one == NONE, 0, np.where(long, 2, 1)), (np.where(long, two, 0) << BITS) | one)
+            rest = (before == RARE) | (one == NONE)
+            up = model.tree.log10_of(node, symbol)
+            key = chained(b) if depth == 1 else chained(a, b)
+            # Keys that no table has are spread over the partitions.
+            own = chained(key, s, 0)
+            below = np.where(rest, chained(b), own)
+            columns = [key, chained(key, s), np.where(symbol == RARE, s.view(np.uint64), own), below, np.where(rest, chained(below, s), own)]
+            columns = [pa.array(x.view(np.int64)) for x in columns]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(symbol == RARE), pa.array(up), *batch.columns[3:]], ["context", "pair", "word", "below", "below_pair", "rare", "up", "c", "n"]
+            )
+
+    schema = "context long, pair long, word long, below long, below_pair long, rare boolean, up double, c long, n long"
+    rows = counts.select("a", "b", "s", "c", "n").mapInArrow(frugal(run), schema)
+    rows = rows.join(rarer.select(F.col("key").alias("word"), F.col("value").alias("of_word")), "word", "left")
+    up = F.col("up") + F.when(F.col("rare"), F.coalesce("of_word", F.lit(unknown))).otherwise(0.0)
+    if shorter is not None:
+        for name in ("below", "below_pair"):
+            rows = rows.join(shorter.select(F.col("key").alias(name), F.col("value").alias(f"of_{name}")), name, "left")
+            up = up + F.coalesce(f"of_{name}", F.lit(0.0))
+    # Contexts that are not frequent are no large groups.
+    own = Window.partitionBy("context")
+    rows = rows.withColumn("up", F.pow(F.lit(10.0), up)).withColumn("ones", F.col("n") - F.sum("c").over(own))
+    rows = rows.withColumn("kinds", F.col("ones") + F.count(F.lit(1)).over(own))
+    others = F.greatest(F.col("c") - 1 - DISCOUNT, F.lit(0.0)) / (F.col("n") - 1)
+    left_out = others + DISCOUNT * F.col("kinds") / F.col("n") * F.col("up")
+    rest = (F.col("ones") + DISCOUNT * (F.col("kinds") - F.col("ones"))) / F.col("n")
+    chance = (F.col("c") - DISCOUNT) / F.col("n") + rest * F.col("up")
+    # Words seen once in the context have nothing to predict them but the discount.
+    once = F.col("ones") / F.col("n") * F.log(DISCOUNT * F.col("kinds") / F.col("n"))
+    rows = rows.select(
+        "context", "pair", once.alias("once"), (F.col("c") / F.col("n") * F.log(left_out / F.col("up"))).alias("part"),
+        F.log10(rest).alias("rest"), (F.log10(chance / F.col("up")) - F.log10(rest)).alias("more"), F.row_number().over(own.orderBy("pair")).alias("place"),
+    )
+    kept = rows.withColumn("divergence", F.sum("part").over(own) + F.col("once")).filter(F.col("divergence") >= LEAST_DIVERGENCE)
+    pair = F.struct(F.col("pair").alias("key"), F.col("more").alias("value"))
+    context = F.struct(F.col("context").alias("key"), F.col("rest").alias("value"))
+    return stored(kept.select(F.explode(F.when(F.col("place") == 1, F.array(pair, context)).otherwise(F.array(pair))).alias("row")).select("row.*"), "rest-table")
+
+
 def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
@@ -316,14 +502,46 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     ).first()
     # What counts of rarer words lose to unknown ones: as often as words are seen once rather than twice.
     lost = rare["once"] / (rare["once"] + 2 * rare["twice"]) if rare["once"] else DISCOUNT
-    tree = SuffixTree(kept_contexts(transition_counts(training, frequent, last_context)), len(log_counts))
-    model = Model(frequent, log_counts, last_context, tree)
+    kept, longest = kept_contexts(transition_counts(training, frequent, last_context))
+    model = Model(frequent, log_counts, last_context, SuffixTree(kept, len(log_counts)))
+    unknown = math.log10((lost * rare["words"] + 1) / (rare["tokens"] + 1.0))
+    known_words = rarer.select(F.col("h").alias("key"), F.log10((F.col("c") - F.lit(lost)) / F.lit(rare["tokens"] + 1.0)).alias("value"), "c")
+    known_values = known_words.select("key", "value")
+    pairs = stored(repeated_pairs(training, frequent, Marks(rarer.filter("c > 1").select("h"))), "pairs")
+    # Words that are no contexts of the collected part, with their counts.
+    contexts = words.filter((F.col("h") != END) & (F.col("c") < max(least, LEAST_SHARE * total))).select(F.col("h").alias("b"), F.col("c").alias("n"))
+    table = rest_table(pairs.join(contexts, "b").withColumn("a", F.lit(0).cast("long")), model, known_values, unknown, None)
+    triples = repeated_triples(training, frequent, last_context, longest, Marks(keyed(pairs, "b", "s").select("key")))
+    before = pairs.select(F.col("b").alias("a"), F.col("s").alias("b"), F.col("c").alias("n"))
+    table = table.unionByName(rest_table(triples.join(before, ["a", "b"]), model, known_values, unknown, table))
+    marks = Marks(table.select("key"))
+
+    def looked_up(hashes: np.ndarray, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The keys that the table may have, each once for a text with its number."""
+        s, _, b, b_symbol, a, a_symbol = histories(hashes, texts)
+        text = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+        keys, owner = [], []
+        for wanted, context in zip(in_table(last_context, longest, b_symbol, a_symbol), (lambda at: chained(b[at]), lambda at: chained(a[at], b[at]))):
+            at = np.flatnonzero(wanted)
+            key = context(at)
+            passed = marks(key)
+            at, key = at[passed], key[passed]
+            pair = chained(key, s[at])
+            with_pair = marks(pair)
+            keys += [key, pair[with_pair]]
+            owner += [text[at], text[at[with_pair]]]
+        key, owner = np.concatenate(keys).view(np.int64), np.concatenate(owner)
+        order = np.lexsort((key, owner))
+        key, owner = key[order], owner[order]
+        new = np.ones(len(key), dtype=bool)
+        new[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
+        at = np.flatnonzero(new)
+        return key[at], owner[at], np.diff(at, append=len(key))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
-            done = 0
-            for group in groups(utf8(batch, 1)):
+            for done, group in parts(batch, 1, PIECE):
                 hashes, sizes = hashed_words(group)
                 texts = model.words.symbols(hashes, sizes)
                 m = len(texts)
@@ -339,31 +557,38 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
                 first = np.ones(len(h), dtype=bool)
                 first[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
                 at = np.flatnonzero(first)
-                n = len(at)
+                rare_times = np.diff(at, append=len(h))
+                tree_keys, tree_owner, tree_times = looked_up(hashes, texts)
+                n = len(at) + len(tree_keys)
                 # A document's own row has a key that is spread over the partitions and meets no word.
-                row = np.concatenate([own[owner[at]], own])
-                tf = np.concatenate([np.diff(at, append=len(h)), np.zeros(m, dtype=np.int64)]).astype(np.int32)
-                h = np.concatenate([h[at], mixed((own + 1).astype(np.uint64) * MULTIPLIER).view(np.int64)])
+                row = np.concatenate([own[owner[at]], own[tree_owner], own])
+                tf = np.concatenate([rare_times, tree_times, np.zeros(m, dtype=np.int64)]).astype(np.int32)
+                is_tree = np.repeat([False, True, False], [len(at), len(tree_keys), m])
+                h = np.concatenate([h[at], tree_keys, mixed((own + 1).astype(np.uint64) * MULTIPLIER).view(np.int64)])
                 given = [batch.column(0).slice(done, m), batch.column(2).slice(done, m), pa.array([len(t) for t in texts], pa.int64())]
                 given += [pa.array(known), pa.array(base), pa.array(score)]
                 given = [pa.concat_arrays([pa.nulls(n, v.type), v]) for v in given]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(row), pa.array(h), pa.array(tf), *given],
-                    ["row", "h", "tf", "doc_id", "held_out", "size", "known", "base", "score"],
+                    [pa.array(row), pa.array(h), pa.array(tf), pa.array(is_tree), *given],
+                    ["row", "h", "tf", "is_tree", "doc_id", "held_out", "size", "known", "base", "score"],
                 )
-                number, done = number + m, done + m
+                number += m
 
-    schema = f"row long, h long, tf int, doc_id {kind}, held_out boolean, size long, known long, base double, score double"
-    met = rows.mapInArrow(frugal(run), schema).join(rarer.select(F.col("h").alias("word_h"), "c"), F.col("h") == F.col("word_h"), "left")
-    c = F.coalesce("c", F.lit(0))
-    known = F.when(c > 0, c - F.lit(lost)).otherwise(F.lit(lost * rare["words"] + 1)) / F.lit(rare["tokens"] + 1.0)
+    schema = f"row long, h long, tf int, is_tree boolean, doc_id {kind}, held_out boolean, size long, known long, base double, score double"
+    lookup = known_words.select(F.col("key").alias("word_h"), "value", "c", F.lit(False).alias("of_tree")).unionByName(
+        table.select(F.col("key").alias("word_h"), "value", F.lit(0).cast("long").alias("c"), F.lit(True).alias("of_tree"))
+    )
+    met = rows.mapInArrow(frugal(run), schema).join(lookup, (F.col("h") == F.col("word_h")) & (F.col("is_tree") == F.col("of_tree")), "left")
+    c, word = F.coalesce("c", F.lit(0)), ~F.col("is_tree")
+    # A word without counts is unknown; a key that the table does not have says nothing.
+    value = F.coalesce("value", F.when(word, F.lit(unknown)).otherwise(0.0))
     sums = met.groupBy("row").agg(
         F.max("doc_id").alias("doc_id"),
         F.max("held_out").alias("held_out"),
         F.max("size").alias("n_tokens"),
-        (F.max("known") + F.sum(F.when(c > 0, F.col("tf")).otherwise(0))).alias("n_known"),
-        (F.max("base") + F.sum(F.col("tf") * F.log10(c + 0.5))).alias("logs"),
-        (F.max("score") + F.sum(F.col("tf") * F.log10(known))).alias("score"),
+        (F.max("known") + F.sum(F.when(word & (c > 0), F.col("tf")).otherwise(0))).alias("n_known"),
+        (F.max("base") + F.sum(F.when(word, F.col("tf") * F.log10(c + 0.5)).otherwise(0.0))).alias("logs"),
+        (F.max("score") + F.sum(F.col("tf") * value)).alias("score"),
     )
     whole = math.log10(total + 0.5 * (distinct + 1))
     return sums.select(
