@@ -18,12 +18,13 @@ each of its symbols, so it meets the texts in one join, as the counts of rarer w
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,6 +51,10 @@ FREQUENT, LEAST_COUNT = 1e-5, 5
 NONE, STOP, RARE, FIRST = 0, 1, 2, 3
 #: A task counts a few times so many distinct words or transitions before it passes them on.
 MEMORY = 300_000
+#: Rows that a task gathers from several pieces of text before it counts or groups those of one key.
+GATHERED = 1 << 20
+#: Parts in which the texts meet the tables, one after another: the shuffle files of one part are on disk at a time.
+ROUNDS = 3
 
 #: Stand for the end and for the start of a text among the hashes of words.
 END, START = 0, 1
@@ -364,18 +369,47 @@ def in_table(last_context: int, frequent: np.ndarray, one: np.ndarray, two: np.n
     return rest_one, (rest_one | rest_two | ~known) & ((one != STOP) | (two != STOP))
 
 
+def gathered(rows: Iterator[tuple[np.ndarray, ...]]) -> Iterator[tuple[np.ndarray, ...]]:
+    """``rows`` as fewer, longer ones: columns of several pieces behind each other, ``GATHERED`` rows and more."""
+    kept, size = [], 0
+    for columns in rows:
+        kept.append(columns)
+        size += len(columns[0])
+        if size >= GATHERED:
+            yield tuple(np.concatenate(c) for c in zip(*kept))
+            kept, size = [], 0
+    if kept:
+        yield tuple(np.concatenate(c) for c in zip(*kept))
+
+
+def counted(rows: Iterator[tuple[np.ndarray, ...]], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """``names, c``: equal rows are counted in each piece and again in what is gathered of several."""
+
+    def of_pieces() -> Iterator[tuple[np.ndarray, ...]]:
+        for columns in rows:
+            key, first, times = np.unique(chained(*columns), return_index=True, return_counts=True)
+            yield (key, *(c[first] for c in columns), times)
+
+    for key, *columns, times in gathered(of_pieces()):
+        _, first, back = np.unique(key, return_index=True, return_inverse=True)
+        sums = np.bincount(back, weights=times, minlength=len(first)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([*(pa.array(c[first]) for c in columns), pa.array(sums)], [*names, "c"])
+
+
 def repeated_pairs(docs: DataFrame, words: Words, repeated: Marks) -> DataFrame:
     """``b, s, c``: how often ``s`` follows the word ``b``, by their hash, if twice or more. ``repeated`` marks the rarer
     words that occur twice or more."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
         for batch in batches:
             for _, group in parts(batch, 0, PIECE):
                 hashes, sizes = hashed_words(group)
                 s, symbol, b, before, *_ = histories(hashes, words.symbols(hashes, sizes))
                 often = np.flatnonzero(((symbol != RARE) | repeated(s)) & ((before != RARE) | repeated(b)))
-                _, first, times = np.unique(chained(b[often], s[often]), return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (b[often[first]], s[often[first]], times)], ["b", "s", "c"])
+                yield b[often], s[often]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return counted(found(batches), ["b", "s"])
 
     pairs = docs.mapInArrow(frugal(run), "b long, s long, c long").groupBy("b", "s").agg(F.sum("c").alias("c"))
     return pairs.filter(F.col("c") >= LEAST_TIMES)
@@ -387,7 +421,7 @@ def repeated_triples(docs: DataFrame, words: Words, last_context: int, frequent:
     ``repeated`` marks the pairs that occur twice or more; no triple does without both of its pairs.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
         for batch in batches:
             for _, group in parts(batch, 0, PIECE):
                 hashes, sizes = hashed_words(group)
@@ -395,9 +429,10 @@ def repeated_triples(docs: DataFrame, words: Words, last_context: int, frequent:
                 often = np.flatnonzero(in_table(last_context, frequent, one, two)[1])
                 often = often[repeated(chained(b[often], s[often]))]
                 often = often[repeated(chained(a[often], b[often]))]
-                _, first, times = np.unique(chained(a[often], b[often], s[often]), return_index=True, return_counts=True)
-                at = often[first]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (a[at], b[at], s[at], times)], ["a", "b", "s", "c"])
+                yield a[often], b[often], s[often]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return counted(found(batches), ["a", "b", "s"])
 
     triples = docs.mapInArrow(frugal(run), "a long, b long, s long, c long").groupBy("a", "b", "s").agg(F.sum("c").alias("c"))
     return triples.filter(F.col("c") >= LEAST_TIMES)
@@ -414,17 +449,14 @@ def keyed(table: DataFrame, *names: str) -> DataFrame:
     return table.mapInArrow(frugal(run), ", ".join([*(f"{n} {t}" for n, t in table.dtypes), "key long"]))
 
 
-def rest_table(counts: DataFrame, model: Model, rarer: DataFrame, unknown: float, shorter: DataFrame | None) -> DataFrame:
-    """``key, value``: what a context, and a symbol of its own in it, add to the logarithm of the chance that the longest kept
-    suffix of the context gives.
-
-    ``counts`` has the repeated symbols (``s, c``) of contexts (``b``, or ``a, b``) that are not frequent and ``n``, how
-    often each context occurs. As every occurrence has one symbol behind it, ``n`` tells how many symbols were seen
-    once there. ``rarer`` has ``key, value`` of the rarer words, ``shorter`` is the table of contexts of one word.
-    """
-    depth = 1 if shorter is None else 2
+def rest_rows(counts: DataFrame, shared: Broadcast, depth: int) -> DataFrame:
+    """``counts`` (``a, b, s, c``, with ``depth`` 1 ``n`` too) as ``context, pair, word, below, rare, rest, up, c[, n]``: the keys
+    of the context and of its symbol; that of the word if it is a rarer one; that of the pair ``b, s`` if what the table says
+    of contexts of one word, or the rarer word, changes its chance; and the logarithm of the chance of the symbol in the
+    longest kept suffix in the collected part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
         for batch in batches:
             a, b, s = (batch.column(k).to_numpy() for k in range(3))
             before = np.where(b == START, STOP, model.words.symbol(b))
@@ -434,29 +466,33 @@ def rest_table(counts: DataFrame, model: Model, rarer: DataFrame, unknown: float
             two = as_context(np.where(a == START, STOP, model.words.symbol(a)), model.last_context) if depth > 1 else np.zeros_like(one)
             long = (two != NONE) & (one != RARE)
             node = model.tree.longest_of(np.where(one == NONE, 0, np.where(long, 2, 1)), (np.where(long, two, 0) << BITS) | one)
-            rest = (before == RARE) | (one == NONE)
+            rest, rare = (before == RARE) | (one == NONE), symbol == RARE
             up = model.tree.log10_of(node, symbol)
             key = chained(b) if depth == 1 else chained(a, b)
+            pair = chained(key, s)
             # Keys that no table has are spread over the partitions.
             own = chained(key, s, 0)
-            below = np.where(rest, chained(b), own)
-            columns = [key, chained(key, s), np.where(symbol == RARE, s.view(np.uint64), own), below, np.where(rest, chained(below, s), own)]
-            columns = [pa.array(x.view(np.int64)) for x in columns]
+            below = np.where(rest | rare, chained(chained(b), s), own)
+            keys = [pa.array(x.view(np.int64)) for x in (key, pair, np.where(rare, s.view(np.uint64), own), below)]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(symbol == RARE), pa.array(up), *batch.columns[3:]], ["context", "pair", "word", "below", "below_pair", "rare", "up", "c", "n"]
+                [*keys, pa.array(rare), pa.array(rest), pa.array(up), *batch.columns[3:]], ["context", "pair", "word", "below", "rare", "rest", "up", *batch.schema.names[3:]]
             )
 
-    schema = "context long, pair long, word long, below long, below_pair long, rare boolean, up double, c long, n long"
-    rows = counts.select("a", "b", "s", "c", "n").mapInArrow(frugal(run), schema)
-    rows = rows.join(rarer.select(F.col("key").alias("word"), F.col("value").alias("of_word")), "word", "left")
-    up = F.col("up") + F.when(F.col("rare"), F.coalesce("of_word", F.lit(unknown))).otherwise(0.0)
-    if shorter is not None:
-        for name in ("below", "below_pair"):
-            rows = rows.join(shorter.select(F.col("key").alias(name), F.col("value").alias(f"of_{name}")), name, "left")
-            up = up + F.coalesce(f"of_{name}", F.lit(0.0))
+    given = ["c", "n"] if depth == 1 else ["c"]
+    schema = "context long, pair long, word long, below long, rare boolean, rest boolean, up double, " + ", ".join(f"{n} long" for n in given)
+    return counts.select("a", "b", "s", *given).mapInArrow(frugal(run), schema)
+
+
+def judged(rows: DataFrame) -> DataFrame:
+    """``pair, context, lower, rest, more, place, kept`` of ``context, pair, up, c, n, lower`` rows: what a kept context, and a
+    symbol of its own in it, add to ``up``, the logarithm of the chance of the symbol in the longest kept suffix.
+
+    ``c`` are the counts of the repeated symbols of a context and ``n`` says how often it occurs. As every occurrence
+    has one symbol behind it, ``n`` tells how many symbols were seen once there. Without ``n`` nothing is kept.
+    """
     # Contexts that are not frequent are no large groups.
     own = Window.partitionBy("context")
-    rows = rows.withColumn("up", F.pow(F.lit(10.0), up)).withColumn("ones", F.col("n") - F.sum("c").over(own))
+    rows = rows.withColumn("up", F.pow(F.lit(10.0), "up")).withColumn("ones", F.col("n") - F.sum("c").over(own))
     rows = rows.withColumn("kinds", F.col("ones") + F.count(F.lit(1)).over(own))
     others = F.greatest(F.col("c") - 1 - DISCOUNT, F.lit(0.0)) / (F.col("n") - 1)
     left_out = others + DISCOUNT * F.col("kinds") / F.col("n") * F.col("up")
@@ -465,13 +501,76 @@ def rest_table(counts: DataFrame, model: Model, rarer: DataFrame, unknown: float
     # Words seen once in the context have nothing to predict them but the discount.
     once = F.col("ones") / F.col("n") * F.log(DISCOUNT * F.col("kinds") / F.col("n"))
     rows = rows.select(
-        "context", "pair", once.alias("once"), (F.col("c") / F.col("n") * F.log(left_out / F.col("up"))).alias("part"),
+        "context", "pair", "lower", once.alias("once"), (F.col("c") / F.col("n") * F.log(left_out / F.col("up"))).alias("part"),
         F.log10(rest).alias("rest"), (F.log10(chance / F.col("up")) - F.log10(rest)).alias("more"), F.row_number().over(own.orderBy("pair")).alias("place"),
     )
-    kept = rows.withColumn("divergence", F.sum("part").over(own) + F.col("once")).filter(F.col("divergence") >= LEAST_DIVERGENCE)
-    pair = F.struct(F.col("pair").alias("key"), F.col("more").alias("value"))
-    context = F.struct(F.col("context").alias("key"), F.col("rest").alias("value"))
-    return stored(kept.select(F.explode(F.when(F.col("place") == 1, F.array(pair, context)).otherwise(F.array(pair))).alias("row")).select("row.*"), "rest-table")
+    return rows.withColumn("kept", F.coalesce(F.sum("part").over(own) + F.col("once") >= LEAST_DIVERGENCE, F.lit(False)))
+
+
+def entries(rows: DataFrame, *more: Column) -> DataFrame:
+    """``key, value, of_pair``: the rows of the table that the kept ones of ``judged`` rows make, and those of ``more``."""
+    pair = F.when(F.col("kept"), entry("pair", F.col("more")))
+    context = F.when(F.col("kept") & (F.col("place") == 1), entry("context", F.col("rest")))
+    return rows.select(F.explode(F.array_compact(F.array(pair, context, *more))).alias("row")).select("row.*")
+
+
+def entry(key: str, value: Column, of_pair: bool = False) -> Column:
+    return F.struct(F.col(key).alias("key"), value.alias("value"), F.lit(of_pair).alias("of_pair"))
+
+
+def one_word_table(pairs: DataFrame, contexts: DataFrame, shared: Broadcast, rarer: DataFrame, unknown: float) -> DataFrame:
+    """The part of the table with contexts of one word, and for each repeated pair of words (``of_pair``) all that its rarer
+    word and that part add to the logarithm of the chance in the collected part.
+
+    A longer context asks for that one number of each of its symbols: whatever follows it twice follows its last word
+    twice. ``contexts`` has the words (``b``) that are no frequent contexts and ``n``, how often each occurs; ``rarer``
+    has ``key, value`` of the rarer words.
+    """
+    counts = pairs.join(contexts, "b", "left").withColumn("a", F.lit(0).cast("long"))
+    # Pairs behind a frequent context are groups of their own; those of two frequent words say nothing.
+    rows = rest_rows(counts, shared, 1).filter("rest OR rare").withColumn("context", F.when(F.col("rest"), F.col("context")).otherwise(F.col("pair")))
+    rows = rows.join(rarer.select(F.col("key").alias("word"), F.col("value").alias("of_word")), "word", "left")
+    lower = F.when(F.col("rare"), F.coalesce("of_word", F.lit(unknown))).otherwise(0.0)
+    rows = judged(rows.withColumn("lower", lower).withColumn("up", F.col("up") + F.col("lower")))
+    in_all = F.col("lower") + F.when(F.col("kept"), F.col("rest") + F.col("more")).otherwise(0.0)
+    return stored(entries(rows, entry("pair", in_all, True)), "rest-table")
+
+
+def two_word_table(triples: DataFrame, sizes: DataFrame, shared: Broadcast, of_pairs: DataFrame) -> DataFrame:
+    """The part of the table with contexts of two words. ``sizes`` has ``key, n``, how often each context occurs, and
+    ``of_pairs`` ``key, value`` of the pairs of ``one_word_table``."""
+    rows = rest_rows(triples, shared, 2).select("context", "pair", "below", "up", "c")
+    rows = rows.join(of_pairs.select(F.col("key").alias("below"), F.col("value").alias("lower")), "below", "left")
+    rows = rows.select("context", "pair", (F.col("up") + F.coalesce("lower", F.lit(0.0))).alias("up"), "c", F.lit(0.0).alias("lower"))
+    rows = rows.join(sizes.select(F.col("key").alias("context"), "n"), "context")
+    return stored(entries(judged(rows)).select("key", "value"), "rest-table")
+
+
+#: Columns of what texts ask for: the number of the first text, the key, whether it is one of the table, how far behind
+#: the first each text that has the key comes and how often it has it (32 bits each), and a text's own values.
+ASKED = ["row", "h", "is_tree", "texts", "own"]
+
+
+def once_a_text(key: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each key once for a text, the text and how often it has the key."""
+    order = np.lexsort((key, owner))
+    key, owner = key[order], owner[order]
+    new = np.ones(len(key), dtype=bool)
+    new[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
+    at = np.flatnonzero(new)
+    return key[at], owner[at], np.diff(at, append=len(key))
+
+
+def grouped(is_tree: np.ndarray, key: np.ndarray, row: np.ndarray, times: np.ndarray, own_type: pa.DataType) -> pa.RecordBatch:
+    """One row for each key, with the list of its texts."""
+    order = np.lexsort((key, is_tree))
+    is_tree, key, first_row = is_tree[order], key[order], row.min(initial=1 << 62)
+    new = np.ones(len(key), dtype=bool)
+    new[1:] = (key[1:] != key[:-1]) | (is_tree[1:] != is_tree[:-1])
+    at = np.flatnonzero(new)
+    texts = pa.ListArray.from_arrays(np.append(at, len(key)).astype(np.int32), ((row - first_row) << 32 | times)[order])
+    columns = [pa.array(np.full(len(at), first_row)), pa.array(key[at]), pa.array(is_tree[at]), texts, pa.nulls(len(at), own_type)]
+    return pa.RecordBatch.from_arrays(columns, ASKED)
 
 
 def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -479,9 +578,11 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
 
     Null and empty texts are their end alone; repeated rows and null keys are scored like any other (rows
     are told apart by their place in the scan); other columns are ignored. Without training texts the
-    tree knows nothing and every symbol is equally likely. Each (document, rarer word) pair is one row of
-    the join with the word counts; a frequent word, which would be a hot key there, never enters it.
+    tree knows nothing and every symbol is equally likely. A rarer word or key of the table is one row of the
+    join for the texts that a task takes together, with a list of those that have it; a frequent word, which
+    would be a hot key there, never enters it. The texts are joined in ``ROUNDS`` parts, by key.
     """
+    spark = docs.sparkSession
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), held_out(doc_id).alias("held_out"))
     training = rows.filter(~F.col("held_out")).select("text")
@@ -505,19 +606,22 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     kept, longest = kept_contexts(transition_counts(training, frequent, last_context))
     model = Model(frequent, log_counts, last_context, SuffixTree(kept, len(log_counts)))
     unknown = math.log10((lost * rare["words"] + 1) / (rare["tokens"] + 1.0))
-    known_words = rarer.select(F.col("h").alias("key"), F.log10((F.col("c") - F.lit(lost)) / F.lit(rare["tokens"] + 1.0)).alias("value"), "c")
-    known_values = known_words.select("key", "value")
+    shared = spark.sparkContext.broadcast(model)
+    of_word = F.log10((F.col("c") - F.lit(lost)) / F.lit(rare["tokens"] + 1.0))
+    known_words = rarer.select(F.col("h").alias("key"), of_word.alias("value"))
     pairs = stored(repeated_pairs(training, frequent, Marks(rarer.filter("c > 1").select("h"))), "pairs")
     # Words that are no contexts of the collected part, with their counts.
     contexts = words.filter((F.col("h") != END) & (F.col("c") < max(least, LEAST_SHARE * total))).select(F.col("h").alias("b"), F.col("c").alias("n"))
-    table = rest_table(pairs.join(contexts, "b").withColumn("a", F.lit(0).cast("long")), model, known_values, unknown, None)
-    triples = repeated_triples(training, frequent, last_context, longest, Marks(keyed(pairs, "b", "s").select("key")))
-    before = pairs.select(F.col("b").alias("a"), F.col("s").alias("b"), F.col("c").alias("n"))
-    table = table.unionByName(rest_table(triples.join(before, ["a", "b"]), model, known_values, unknown, table))
-    marks = Marks(table.select("key"))
+    below = one_word_table(pairs, contexts, shared, known_words, unknown)
+    sizes = keyed(pairs, "b", "s").select("key", F.col("c").alias("n"))
+    triples = repeated_triples(training, frequent, last_context, longest, Marks(sizes.select("key")))
+    table = two_word_table(triples, sizes, shared, below.filter("of_pair").select("key", "value"))
+    table = below.filter("NOT of_pair").select("key", "value").unionByName(table)
+    marked = spark.sparkContext.broadcast(Marks(table.select("key")))
 
     def looked_up(hashes: np.ndarray, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The keys that the table may have, each once for a text with its number."""
+        marks = marked.value
         s, _, b, b_symbol, a, a_symbol = histories(hashes, texts)
         text = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
         keys, owner = [], []
@@ -530,66 +634,70 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
             with_pair = marks(pair)
             keys += [key, pair[with_pair]]
             owner += [text[at], text[at[with_pair]]]
-        key, owner = np.concatenate(keys).view(np.int64), np.concatenate(owner)
-        order = np.lexsort((key, owner))
-        key, owner = key[order], owner[order]
-        new = np.ones(len(key), dtype=bool)
-        new[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
-        at = np.flatnonzero(new)
-        return key[at], owner[at], np.diff(at, append=len(key))
+        return once_a_text(np.concatenate(keys).view(np.int64), np.concatenate(owner))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_rows: list[pa.RecordBatch] = []
+        for columns in gathered(asked(batches, own_rows)):
+            yield from own_rows
+            yield grouped(*columns, own_rows[0].column("own").type)
+            own_rows.clear()
+
+    def asked(batches: Iterator[pa.RecordBatch], own_rows: list[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+        """Whether it is one of the table, key, row and times of what each text asks for; the texts' own rows go to ``own_rows``."""
+        model = shared.value
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
             for done, group in parts(batch, 1, PIECE):
                 hashes, sizes = hashed_words(group)
                 texts = model.words.symbols(hashes, sizes)
                 m = len(texts)
-                score = model.transitions(texts)
                 known = np.array([int((t >= FIRST).sum()) + int(ends > 0) for t in texts])
                 base = np.array([float(model.log_counts[t].sum()) for t in texts])
+                values = [batch.column(0).slice(done, m), batch.column(2).slice(done, m), pa.array([len(t) for t in texts], pa.int64())]
+                values += [pa.array(known), pa.array(base), pa.array(model.transitions(texts))]
                 own = np.arange(number, number + m)
+                # A document's own row has a key that is spread over the partitions and meets no word.
+                key = mixed((own + 1).astype(np.uint64) * MULTIPLIER).view(np.int64)
+                lists = pa.ListArray.from_arrays(np.arange(m + 1, dtype=np.int32), np.zeros(m, dtype=np.int64))
+                columns = [pa.array(own), pa.array(key), pa.array(np.zeros(m, dtype=bool)), lists, pa.StructArray.from_arrays(values, ["doc_id", "held_out", "size", "known", "base", "score"])]
+                own_rows.append(pa.RecordBatch.from_arrays(columns, ASKED))
                 # The rarer words of each text, each once with its number.
                 is_rare = np.concatenate([t[:-1] for t in texts]) == RARE
-                h, owner = hashes[is_rare], np.repeat(np.arange(m), sizes)[is_rare]
-                order = np.lexsort((h, owner))
-                h, owner = h[order], owner[order]
-                first = np.ones(len(h), dtype=bool)
-                first[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
-                at = np.flatnonzero(first)
-                rare_times = np.diff(at, append=len(h))
-                tree_keys, tree_owner, tree_times = looked_up(hashes, texts)
-                n = len(at) + len(tree_keys)
-                # A document's own row has a key that is spread over the partitions and meets no word.
-                row = np.concatenate([own[owner[at]], own[tree_owner], own])
-                tf = np.concatenate([rare_times, tree_times, np.zeros(m, dtype=np.int64)]).astype(np.int32)
-                is_tree = np.repeat([False, True, False], [len(at), len(tree_keys), m])
-                h = np.concatenate([h[at], tree_keys, mixed((own + 1).astype(np.uint64) * MULTIPLIER).view(np.int64)])
-                given = [batch.column(0).slice(done, m), batch.column(2).slice(done, m), pa.array([len(t) for t in texts], pa.int64())]
-                given += [pa.array(known), pa.array(base), pa.array(score)]
-                given = [pa.concat_arrays([pa.nulls(n, v.type), v]) for v in given]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(row), pa.array(h), pa.array(tf), pa.array(is_tree), *given],
-                    ["row", "h", "tf", "is_tree", "doc_id", "held_out", "size", "known", "base", "score"],
-                )
+                of_words = once_a_text(hashes[is_rare], np.repeat(np.arange(m), sizes)[is_rare])
+                of_tree = looked_up(hashes, texts)
+                is_tree = np.repeat([False, True], [len(of_words[0]), len(of_tree[0])])
+                key, owner, times = (np.concatenate(c) for c in zip(of_words, of_tree))
+                yield is_tree, key, number + owner, times
                 number += m
 
-    schema = f"row long, h long, tf int, is_tree boolean, doc_id {kind}, held_out boolean, size long, known long, base double, score double"
-    lookup = known_words.select(F.col("key").alias("word_h"), "value", "c", F.lit(False).alias("of_tree")).unionByName(
-        table.select(F.col("key").alias("word_h"), "value", F.lit(0).cast("long").alias("c"), F.lit(True).alias("of_tree"))
-    )
-    met = rows.mapInArrow(frugal(run), schema).join(lookup, (F.col("h") == F.col("word_h")) & (F.col("is_tree") == F.col("of_tree")), "left")
-    c, word = F.coalesce("c", F.lit(0)), ~F.col("is_tree")
-    # A word without counts is unknown; a key that the table does not have says nothing.
-    value = F.coalesce("value", F.when(word, F.lit(unknown)).otherwise(0.0))
-    sums = met.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"),
-        F.max("held_out").alias("held_out"),
-        F.max("size").alias("n_tokens"),
-        (F.max("known") + F.sum(F.when(word & (c > 0), F.col("tf")).otherwise(0))).alias("n_known"),
-        (F.max("base") + F.sum(F.when(word, F.col("tf") * F.log10(c + 0.5)).otherwise(0.0))).alias("logs"),
-        (F.max("score") + F.sum(F.col("tf") * value)).alias("score"),
+    schema = f"row long, h long, is_tree boolean, texts array<long>, own struct<doc_id: {kind}, held_out: boolean, size: long, known: long, base: double, score: double>"
+    lookup = rarer.select(F.col("h").alias("word_h"), F.col("c").cast("double").alias("value"), F.lit(False).alias("of_tree")).unionByName(
+        table.select(F.col("key").alias("word_h"), "value", F.lit(True).alias("of_tree"))
     )
+    scored = []
+    for k in range(ROUNDS):
+        part = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(ROUNDS)) == k).mapInArrow(frugal(run), schema)
+        met = part.join(lookup, (F.col("h") == F.col("word_h")) & (F.col("is_tree") == F.col("of_tree")), "left")
+        # The value of a rarer word is its count. A word without one is unknown; a key that the table does not have says nothing.
+        c, word = F.coalesce("value", F.lit(0.0)), ~F.col("is_tree")
+        of_count = F.when(F.col("value").isNotNull(), F.log10((c - F.lit(lost)) / F.lit(rare["tokens"] + 1.0))).otherwise(F.lit(unknown))
+        met = met.select(
+            "row", F.explode("texts").alias("text"), F.when(word, of_count).otherwise(c).alias("value"), F.when(word, F.log10(c + 0.5)).otherwise(0.0).alias("log"),
+            (word & (c > 0)).cast("int").alias("seen"), "own",
+        )
+        tf = F.col("text").bitwiseAND((1 << 32) - 1)
+        met = met.select((F.col("row") + F.shiftright("text", 32)).alias("row"), tf.alias("tf"), "value", "log", "seen", "own.*")
+        sums = met.groupBy("row").agg(
+            F.max("doc_id").alias("doc_id"),
+            F.max("held_out").alias("held_out"),
+            F.max("size").alias("n_tokens"),
+            (F.max("known") + F.sum(F.col("tf") * F.col("seen"))).alias("n_known"),
+            (F.max("base") + F.sum(F.col("tf") * F.col("log"))).alias("logs"),
+            (F.max("score") + F.sum(F.col("tf") * F.col("value"))).alias("score"),
+        )
+        scored.append(stored(sums, "scores"))
+    sums = functools.reduce(DataFrame.unionByName, scored)
     whole = math.log10(total + 0.5 * (distinct + 1))
     return sums.select(
         "doc_id",
