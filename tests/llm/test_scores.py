@@ -290,6 +290,41 @@ def test_scores_are_those_of_all_contexts(spark, monkeypatch, seed, share, count
     assert abs(sum(chance(a, b, s) for s in every) + chance(a, b, "never seen") - 1) < 0.01
 
 
+def test_scores_do_not_depend_on_parts(spark, monkeypatch):
+    rows = [*language(random.Random(4), 120), (None, "x1 x2 x1"), (None, "x1 x2 x1"), (7, None), (7, "x1 never x1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    order = lambda r: (r["doc_id"] is None, r["doc_id"], r["n_tokens"])
+    got = []
+    for rounds, size in ((1, 1 << 19), (4, 50)):
+        monkeypatch.setattr(suffix_tree, "ROUNDS", rounds)
+        monkeypatch.setattr(suffix_tree, "GATHERED", size)
+        got.append(sorted(suffix_tree.lm_scores(docs).collect(), key=order))
+    assert len(got[0]) == len(got[1]) == len(rows)
+    for a, b in zip(*got):
+        assert a[:5] == b[:5] and abs(a["base_score"] - b["base_score"]) < 1e-9 and abs(a["score"] - b["score"]) < 1e-9
+
+
+def test_equal_keys_of_several_pieces_are_one_row(monkeypatch):
+    rng = np.random.default_rng(5)
+    pieces = [(rng.integers(0, 9, 200), rng.integers(0, 9, 200)) for _ in range(6)]
+    whole = Counter(zip(*(np.concatenate(c).tolist() for c in zip(*pieces))))
+    (batch,) = suffix_tree.counted(iter(pieces), ["b", "s"])
+    assert {(r["b"], r["s"]): r["c"] for r in batch.to_pylist()} == whole and batch.num_rows == len(whole)
+    (sums,) = suffix_tree.summed((np.unique(b, return_counts=True) for b, _ in pieces), 100, "h")
+    assert {r["h"]: r["c"] for r in sums.to_pylist()} == Counter(np.concatenate([b for b, _ in pieces]).tolist())
+    monkeypatch.setattr(suffix_tree, "GATHERED", 300)
+    several = list(suffix_tree.counted(iter(pieces), ["b", "s"]))
+    assert len(several) > 1 and sum(c for b in several for c in b.column(2).to_pylist()) == 1200
+    asked = [suffix_tree.once_a_text(b, s) for b, s in pieces]
+    key, owner, times = (np.concatenate([a[k] for a in asked]) for k in range(3))
+    rows = suffix_tree.grouped(np.zeros(len(key), dtype=bool), key, owner + 70, times, suffix_tree.pa.int64()).to_pylist()
+    met = Counter()
+    for r in rows:
+        for t in r["texts"]:
+            met[r["h"], r["row"] + (t >> 32) - 70] += t & 0xFFFFFFFF
+    assert met == whole and len(rows) == len(set(key.tolist()))
+
+
 def test_marks_hold_every_key(spark, monkeypatch):
     for bits in (16, 26):
         monkeypatch.setattr(suffix_tree, "MARK_BITS", bits)

@@ -52,7 +52,7 @@ NONE, STOP, RARE, FIRST = 0, 1, 2, 3
 #: A task counts a few times so many distinct words or transitions before it passes them on.
 MEMORY = 300_000
 #: Rows that a task gathers from several pieces of text before it counts or groups those of one key.
-GATHERED = 1 << 20
+GATHERED = 1 << 19
 #: Parts in which the texts meet the tables, one after another: the shuffle files of one part are on disk at a time.
 ROUNDS = 3
 
@@ -78,24 +78,48 @@ def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def word_counts(docs: DataFrame, text: str) -> DataFrame:
     """``h, c`` of the words of all texts of ``docs`` by their hash; ``END`` is the end of a text."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, sums = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for batch in batches:
             for _, group in parts(batch, 0, PIECE):
-                new, times = np.unique(hashed_words(group)[0], return_counts=True)
-                new, times = np.append(new, END), np.append(times, len(group))
-                keys, sums = packed_counts(np.concatenate([keys, new]), np.concatenate([sums, times]))
-                if len(keys) > 4 * MEMORY:
-                    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(sums)], ["h", "c"])
-                    keys, sums = keys[:0], sums[:0]
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(sums)], ["h", "c"])
+                keys, times = np.unique(hashed_words(group)[0], return_counts=True)
+                yield np.append(keys, END), np.append(times, len(group))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return summed(found(batches), 4 * MEMORY, "h")
 
     return docs.select(text).mapInArrow(frugal(run), "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
+def runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal keys stand together, and where each key begins in it."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = keys[1:] != keys[:-1]
+    return order, np.flatnonzero(new)
+
+
 def packed_counts(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    keys, back = np.unique(keys, return_inverse=True)
-    return keys, np.bincount(back, weights=times, minlength=len(keys)).astype(np.int64)
+    order, at = runs(keys)
+    return keys[order[at]], np.add.reduceat(times[order], at) if len(at) else times
+
+
+def summed(rows: Iterator[tuple[np.ndarray, np.ndarray]], most: int, name: str) -> Iterator[pa.RecordBatch]:
+    """``name, c``: the sums of ``keys, times`` of many pieces, passed on whenever there are more than ``most`` keys."""
+    kept, size, merged = [], 0, 0
+    for piece in rows:
+        kept.append(piece)
+        size += len(piece[0])
+        if size < merged + GATHERED:
+            continue
+        keys, times = packed_counts(*(np.concatenate(c) for c in zip(*kept)))
+        if len(keys) > most:
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(times)], [name, "c"])
+            keys, times = keys[:0], times[:0]
+        kept, size, merged = [(keys, times)], len(keys), len(keys)
+    if kept:
+        keys, times = packed_counts(*(np.concatenate(c) for c in zip(*kept)))
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(times)], [name, "c"])
 
 
 def unpacked(rows: DataFrame) -> DataFrame:
@@ -160,18 +184,14 @@ def word_keys(texts: list[np.ndarray], last_context: int) -> Iterator[np.ndarray
 def transition_counts(docs: DataFrame, words: Words, last_context: int) -> DataFrame:
     """How often each symbol follows each context of words in the texts of ``docs`` (one column)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, sums = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for batch in batches:
             for _, group in parts(batch, 0, PIECE):
-                found = np.concatenate(list(word_keys(words.symbols(*hashed_words(group)), last_context)))
-                found = found[found >= 0]
-                new, times = np.unique(found, return_counts=True)
-                keys, sums = packed_counts(np.concatenate([keys, new]), np.concatenate([sums, times]))
-                if len(keys) > 8 * MEMORY:
-                    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(sums)], ["key", "c"])
-                    keys, sums = keys[:0], sums[:0]
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(sums)], ["key", "c"])
+                keys = np.concatenate(list(word_keys(words.symbols(*hashed_words(group)), last_context)))
+                yield np.unique(keys[keys >= 0], return_counts=True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return summed(found(batches), 8 * MEMORY, "key")
 
     return unpacked(docs.mapInArrow(frugal(run), "key long, c long"))
 
@@ -376,8 +396,9 @@ def gathered(rows: Iterator[tuple[np.ndarray, ...]]) -> Iterator[tuple[np.ndarra
         kept.append(columns)
         size += len(columns[0])
         if size >= GATHERED:
-            yield tuple(np.concatenate(c) for c in zip(*kept))
-            kept, size = [], 0
+            # Nothing is held here of what is passed on.
+            whole, kept, size = [tuple(np.concatenate(c) for c in zip(*kept))], [], 0
+            yield whole.pop()
     if kept:
         yield tuple(np.concatenate(c) for c in zip(*kept))
 
@@ -387,13 +408,17 @@ def counted(rows: Iterator[tuple[np.ndarray, ...]], names: list[str]) -> Iterato
 
     def of_pieces() -> Iterator[tuple[np.ndarray, ...]]:
         for columns in rows:
-            key, first, times = np.unique(chained(*columns), return_index=True, return_counts=True)
-            yield (key, *(c[first] for c in columns), times)
+            key = chained(*columns)
+            order, at = runs(key)
+            yield (key[order[at]], *(c[order[at]] for c in columns), np.diff(at, append=len(key)))
 
-    for key, *columns, times in gathered(of_pieces()):
-        _, first, back = np.unique(key, return_index=True, return_inverse=True)
-        sums = np.bincount(back, weights=times, minlength=len(first)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([*(pa.array(c[first]) for c in columns), pa.array(sums)], [*names, "c"])
+    def merged(found: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+        key, *columns, times = found
+        order, at = runs(key)
+        sums = np.add.reduceat(times[order], at) if len(at) else times
+        return pa.RecordBatch.from_arrays([*(pa.array(c[order[at]]) for c in columns), pa.array(sums)], [*names, "c"])
+
+    return map(merged, gathered(of_pieces()))
 
 
 def repeated_pairs(docs: DataFrame, words: Words, repeated: Marks) -> DataFrame:
@@ -526,10 +551,10 @@ def one_word_table(pairs: DataFrame, contexts: DataFrame, shared: Broadcast, rar
     twice. ``contexts`` has the words (``b``) that are no frequent contexts and ``n``, how often each occurs; ``rarer``
     has ``key, value`` of the rarer words.
     """
-    counts = pairs.join(contexts, "b", "left").withColumn("a", F.lit(0).cast("long"))
+    counts = pairs.join(contexts.hint("shuffle_hash"), "b", "left").withColumn("a", F.lit(0).cast("long"))
     # Pairs behind a frequent context are groups of their own; those of two frequent words say nothing.
     rows = rest_rows(counts, shared, 1).filter("rest OR rare").withColumn("context", F.when(F.col("rest"), F.col("context")).otherwise(F.col("pair")))
-    rows = rows.join(rarer.select(F.col("key").alias("word"), F.col("value").alias("of_word")), "word", "left")
+    rows = rows.join(rarer.select(F.col("key").alias("word"), F.col("value").alias("of_word")).hint("shuffle_hash"), "word", "left")
     lower = F.when(F.col("rare"), F.coalesce("of_word", F.lit(unknown))).otherwise(0.0)
     rows = judged(rows.withColumn("lower", lower).withColumn("up", F.col("up") + F.col("lower")))
     in_all = F.col("lower") + F.when(F.col("kept"), F.col("rest") + F.col("more")).otherwise(0.0)
@@ -540,7 +565,7 @@ def two_word_table(triples: DataFrame, sizes: DataFrame, shared: Broadcast, of_p
     """The part of the table with contexts of two words. ``sizes`` has ``key, n``, how often each context occurs, and
     ``of_pairs`` ``key, value`` of the pairs of ``one_word_table``."""
     rows = rest_rows(triples, shared, 2).select("context", "pair", "below", "up", "c")
-    rows = rows.join(of_pairs.select(F.col("key").alias("below"), F.col("value").alias("lower")), "below", "left")
+    rows = rows.join(of_pairs.select(F.col("key").alias("below"), F.col("value").alias("lower")).hint("shuffle_hash"), "below", "left")
     rows = rows.select("context", "pair", (F.col("up") + F.coalesce("lower", F.lit(0.0))).alias("up"), "c", F.lit(0.0).alias("lower"))
     rows = rows.join(sizes.select(F.col("key").alias("context"), "n"), "context")
     return stored(entries(judged(rows)).select("key", "value"), "rest-table")
@@ -553,19 +578,16 @@ ASKED = ["row", "h", "is_tree", "texts", "own"]
 
 def once_a_text(key: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Each key once for a text, the text and how often it has the key."""
-    order = np.lexsort((key, owner))
-    key, owner = key[order], owner[order]
-    new = np.ones(len(key), dtype=bool)
-    new[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
-    at = np.flatnonzero(new)
-    return key[at], owner[at], np.diff(at, append=len(key))
+    order, at = runs(chained(key, owner))
+    return key[order[at]], owner[order[at]], np.diff(at, append=len(key))
 
 
 def grouped(is_tree: np.ndarray, key: np.ndarray, row: np.ndarray, times: np.ndarray, own_type: pa.DataType) -> pa.RecordBatch:
     """One row for each key, with the list of its texts."""
-    order = np.lexsort((key, is_tree))
+    order = np.argsort(key)
     is_tree, key, first_row = is_tree[order], key[order], row.min(initial=1 << 62)
     new = np.ones(len(key), dtype=bool)
+    # A word that has the key of a row of the table only makes a few rows more.
     new[1:] = (key[1:] != key[:-1]) | (is_tree[1:] != is_tree[:-1])
     at = np.flatnonzero(new)
     texts = pa.ListArray.from_arrays(np.append(at, len(key)).astype(np.int32), ((row - first_row) << 32 | times)[order])
@@ -614,7 +636,7 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     contexts = words.filter((F.col("h") != END) & (F.col("c") < max(least, LEAST_SHARE * total))).select(F.col("h").alias("b"), F.col("c").alias("n"))
     below = one_word_table(pairs, contexts, shared, known_words, unknown)
     sizes = keyed(pairs, "b", "s").select("key", F.col("c").alias("n"))
-    triples = repeated_triples(training, frequent, last_context, longest, Marks(sizes.select("key")))
+    triples = stored(repeated_triples(training, frequent, last_context, longest, Marks(sizes.select("key"))), "triples")
     table = two_word_table(triples, sizes, shared, below.filter("of_pair").select("key", "value"))
     table = below.filter("NOT of_pair").select("key", "value").unionByName(table)
     marked = spark.sparkContext.broadcast(Marks(table.select("key")))
@@ -678,7 +700,8 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     scored = []
     for k in range(ROUNDS):
         part = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(ROUNDS)) == k).mapInArrow(frugal(run), schema)
-        met = part.join(lookup, (F.col("h") == F.col("word_h")) & (F.col("is_tree") == F.col("of_tree")), "left")
+        # The table is the side held in memory, a partition at a time: the texts' rows need no sort.
+        met = part.join(lookup.hint("shuffle_hash"), (F.col("h") == F.col("word_h")) & (F.col("is_tree") == F.col("of_tree")), "left")
         # The value of a rarer word is its count. A word without one is unknown; a key that the table does not have says nothing.
         c, word = F.coalesce("value", F.lit(0.0)), ~F.col("is_tree")
         of_count = F.when(F.col("value").isNotNull(), F.log10((c - F.lit(lost)) / F.lit(rare["tokens"] + 1.0))).otherwise(F.lit(unknown))
