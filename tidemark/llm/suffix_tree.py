@@ -54,7 +54,7 @@ MEMORY = 300_000
 #: Rows that a task gathers from several pieces of text before it counts or groups those of one key.
 GATHERED = 1 << 19
 #: Parts in which the texts meet the tables, one after another: the shuffle files of one part are on disk at a time.
-ROUNDS = 3
+ROUNDS = 4
 
 #: Stand for the end and for the start of a text among the hashes of words.
 END, START = 0, 1
