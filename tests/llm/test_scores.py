@@ -332,3 +332,43 @@ def test_marks_hold_every_key(spark, monkeypatch):
         marks = suffix_tree.Marks(spark.createDataFrame([(int(k),) for k in keys], "key long"))
         assert marks(keys).all() and marks(np.random.default_rng(2).integers(-(1 << 63), (1 << 63) - 1, 20_000)).mean() < 0.01
     assert not suffix_tree.Marks(spark.createDataFrame([], "key long"))(keys).any()
+
+
+def test_tasks_pass_on_a_row_for_each_range_of_keys(spark):
+    """Not one for each key: those rows took most of the time and of the disk."""
+    texts = [" ".join(f"w{d}x{k % 700}" for k in range(1_400)) for d in range(20)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(2)
+    words, none = suffix_tree.Words([]), suffix_tree.Marks(spark.range(0).toDF("key"))
+    none.bits[:] = 255
+    df = suffix_tree.repeated_pairs(docs, words, none)
+    want = Counter(p for t in texts for p in zip(["", *t.split()], [*t.split(), None]))
+    assert sorted(r["c"] for r in df.collect()) == sorted(c for c in want.values() if c > 1)
+    table = spark.range(30_000).selectExpr("xxhash64(id) AS key", "id * 0.5D AS value", f"cast(id % 2 AS int) * {suffix_tree.PAIR} AS kind").repartition(2)
+    rows = suffix_tree.ranged(table)
+    assert rows.count() <= 2 * 2 * (1 << suffix_tree.RANGE_BITS)
+    back = suffix_tree.unranged(rows.filter(f"kind = {suffix_tree.PAIR}"))
+    assert {tuple(r) for r in back.collect()} == {(r[0], r[1]) for r in table.collect() if r[2]}
+
+
+@pytest.mark.parametrize("size", [1, 40, 1 << 19])
+def test_ranges_and_contexts_stay_whole(monkeypatch, size):
+    monkeypatch.setattr(suffix_tree, "GATHERED", size)
+    rng = np.random.default_rng(size)
+    span = np.sort(rng.integers(0, 30, 100)).astype(np.int32)
+    values = [rng.integers(0, 9, rng.integers(1, 8)) for _ in span]
+    cut = np.append(0, np.cumsum([len(v) for v in values]))
+    batch = suffix_tree.pa.RecordBatch.from_arrays([suffix_tree.pa.array(span), *suffix_tree.packed(cut, np.concatenate(values))], ["span", "c"])
+    pieces = [batch.slice(k, 7) for k in range(0, 100, 7)]
+    got = list(suffix_tree.whole_ranges(iter(pieces)))
+    spans = [{x for b in rows for x in b.column("span").to_pylist()} for rows in got]
+    assert sum(len(s) for s in spans) == len(set(span.tolist())) and len(spans) == (len(set(span.tolist())) if size == 1 else len(spans))
+    assert np.concatenate([suffix_tree.flat(b, "c", np.int64) for rows in got for b in rows]).tolist() == np.concatenate(values).tolist()
+
+
+def test_a_rarer_word_seen_once_has_a_chance_where_none_is_seen_twice(spark):
+    rows = [(d, f"only{d}") for d in (0, 2, 3)]
+    assert all(zlib.crc32(str(d).encode()) % 5 != 1 for d, _ in rows)
+    got = suffix_tree.lm_scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    n, discount = 3, suffix_tree.DISCOUNT
+    frequent = math.log10((n + 0.5) / (2 * n + 0.5 * suffix_tree.FIRST))
+    assert all(r["score"] < frequent + math.log10((1 - discount) / (n + 1)) / 2 for r in got)

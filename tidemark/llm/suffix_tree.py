@@ -19,13 +19,15 @@ each of its symbols, so it meets the texts in one join, as the counts of rarer w
 from __future__ import annotations
 
 import functools
+import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast, TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.tables import stored
@@ -55,6 +57,15 @@ MEMORY = 300_000
 GATHERED = 1 << 19
 #: Parts in which the texts meet the tables, one after another: the shuffle files of one part are on disk at a time.
 ROUNDS = 4
+#: Bits of a range of keys. For each range that it has keys of, a task passes on one row, not one for each key.
+RANGE_BITS = 11
+
+#: Kinds of rows that meet by ranges of keys, in this order: of the table (``TREE``) and of the rarer words (``WORD``), both
+#: with keys and values; what the texts that a task takes together ask for (``ASK``): keys, how many texts have each and, for
+#: all of these, how far behind the first text they come and how often they have the key; and the texts' own values
+#: (``OWN``). What only longer contexts ask for (``PAIR``) does not meet the texts.
+TREE, WORD, ASK, OWN, PAIR = range(5)
+SENT = ["kind", "span", "first", "keys", "is_tree", "counts", "texts", "times", "own"]
 
 #: Stand for the end and for the start of a text among the hashes of words.
 END, START = 0, 1
@@ -90,6 +101,42 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(text).mapInArrow(frugal(run), "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
+def ranges(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ranges of sorted keys, and where each begins, with the end of the last."""
+    span = keys >> keys.dtype.type(64 - RANGE_BITS)
+    new = np.ones(len(span), dtype=bool)
+    new[1:] = span[1:] != span[:-1]
+    at = np.flatnonzero(new)
+    return span[at].astype(np.int32), np.append(at, len(span))
+
+
+def packed(cut: np.ndarray, *columns: np.ndarray) -> list[pa.Array]:
+    """The values from each place of ``cut`` to the next as one value. Arrays of numbers would be copied one by one
+    whenever they pass between Spark and a task."""
+    out = []
+    for c in columns:
+        offsets = np.ascontiguousarray(cut * c.itemsize, dtype=np.int32)
+        out.append(pa.Array.from_buffers(pa.binary(), len(cut) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(c))]))
+    return out
+
+
+def flat(batch: pa.RecordBatch, column: str | int, kind: type) -> np.ndarray:
+    """All values of a column, ``packed`` or not."""
+    values = batch.column(column)
+    if not pa.types.is_binary(values.type):
+        return values.to_numpy()
+    _, offsets, data = values.buffers()
+    if not len(values) or data is None:
+        return np.zeros(0, dtype=kind)
+    offsets = np.frombuffer(offsets, dtype=np.int32)[values.offset : values.offset + len(values) + 1]
+    return np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]].view(kind)
+
+
+def lengths(batch: pa.RecordBatch, column: str, kind: type) -> np.ndarray:
+    """How many values each row of a ``packed`` column has."""
+    return pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64) // np.dtype(kind).itemsize
+
+
 def runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """An order in which equal keys stand together, and where each key begins in it."""
     order = np.argsort(keys)
@@ -137,17 +184,22 @@ class Words:
 
     def __init__(self, hashes: list[int]):
         """``hashes`` in the order of the symbols, the first of which is ``FIRST``."""
-        self.hashes = np.array(hashes, dtype=np.int64)
-        self.order = np.argsort(self.hashes)
-        self.sorted = self.hashes[self.order]
+        hashes = np.array(hashes, dtype=np.int64).view(np.uint64)
+        order = np.argsort(hashes)
+        # Where the hashes of the same first bits begin, and how many they are at most.
+        self.begin = np.searchsorted(hashes[order] >> np.uint64(64 - BITS), np.arange(1 << BITS)).astype(np.int32)
+        self.most = int(np.diff(self.begin, append=len(order)).max())
+        beyond = order[-1:].repeat(self.most)
+        self.order = np.append(order, beyond)
+        self.sorted = hashes[self.order].view(np.int64)
 
     def symbol(self, hashes: np.ndarray) -> np.ndarray:
         """The symbol of each word."""
         out = np.full(len(hashes), RARE, dtype=np.int64)
-        if len(self.sorted):
-            at = np.minimum(np.searchsorted(self.sorted, hashes), len(self.sorted) - 1)
-            found = self.sorted[at] == hashes
-            out[found] = FIRST + self.order[at[found]]
+        at = self.begin[hashes.view(np.uint64) >> np.uint64(64 - BITS)]
+        for k in range(self.most):
+            found = np.flatnonzero(self.sorted[at + k] == hashes)
+            out[found] = FIRST + self.order[at[found] + k]
         return out
 
     def symbols(self, hashes: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
@@ -334,31 +386,43 @@ def chained(*parts: np.ndarray | int) -> np.ndarray:
     return out
 
 
+def marked_slots(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two of 2^``bits`` bits that mark each key."""
+    keys = keys.view(np.uint64)
+    return (keys & np.uint64((1 << bits) - 1)).astype(np.int64), (keys >> np.uint64(64 - bits)).astype(np.int64)
+
+
 class Marks:
     """Keys marked in a fixed number of bits: whether a key may be among them."""
 
     def __init__(self, keys: DataFrame):
-        """``keys`` has one column."""
-        low, high = F.col("key").bitwiseAND((1 << MARK_BITS) - 1), F.shiftrightunsigned("key", 64 - MARK_BITS)
-        slots = keys.toDF("key").select(F.explode(F.array(low, high)).alias("slot"))
-        rows = slots.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
+        """``keys`` has one column: a key, or several of them, packed."""
+        # Of that size are the bitmaps that Spark joins.
+        size, slots = 4096, MARK_BITS
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bits = np.zeros(1 << slots, dtype=bool)
+            for batch in batches:
+                for slot in marked_slots(flat(batch, 0, np.int64), slots):
+                    bits[slot] = True
+            rows = np.packbits(bits, bitorder="little").reshape(-1, size)
+            used = np.flatnonzero(rows.any(axis=1))
+            cut = np.arange(len(used) + 1) * size
+            yield pa.RecordBatch.from_arrays([pa.array(used), *packed(cut, rows[used].ravel())], ["bucket", "bits"])
+
+        rows = keys.mapInArrow(frugal(run), "bucket long, bits binary").groupBy("bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
         rows = stored(rows, "marks").toArrow()
-        # Buckets count from 1 behind slot 0, which has one of its own.
-        self.bits = np.zeros((1 << MARK_BITS) // 8 + 8192, dtype=np.uint8)
+        self.slots, self.bits = slots, np.zeros((1 << slots) // 8, dtype=np.uint8)
         for bucket, bits in zip(rows.column(0).to_pylist(), rows.column(1)):
-            data = np.frombuffer(bits.as_buffer(), dtype=np.uint8)
-            self.bits[4096 * bucket : 4096 * bucket + len(data)] |= data
+            self.bits[size * bucket : size * (bucket + 1)] = np.frombuffer(bits.as_buffer(), dtype=np.uint8)
 
     def __call__(self, keys: np.ndarray) -> np.ndarray:
-        keys = keys.view(np.uint64)
-        both = np.ones(len(keys), dtype=bool)
-        for slot in (keys & np.uint64((1 << MARK_BITS) - 1), keys >> np.uint64(64 - MARK_BITS)):
-            # As bitmap_bucket_number and bitmap_bit_position: 1 to 32768 are in bucket 1, 0 is in bucket 0.
-            slot = slot.astype(np.int64)
-            place = np.where(slot > 0, (slot - 1) % 32768, 0)
-            bucket = np.where(slot > 0, 1 + (slot - 1) // 32768, 0)
-            both &= self.bits[4096 * bucket + place // 8] >> (place % 8).astype(np.uint8) & 1 == 1
-        return both
+        low, high = marked_slots(keys, self.slots)
+        out = self.bits[low >> 3] >> (low & 7).astype(np.uint8) & 1 == 1
+        at = np.flatnonzero(out)
+        high = high[at]
+        out[at] = self.bits[high >> 3] >> (high & 7).astype(np.uint8) & 1 == 1
+        return out
 
 
 def histories(hashes: np.ndarray, texts: list[np.ndarray]) -> tuple[np.ndarray, ...]:
@@ -421,8 +485,52 @@ def counted(rows: Iterator[tuple[np.ndarray, ...]], names: list[str]) -> Iterato
     return map(merged, gathered(of_pieces()))
 
 
-def repeated_pairs(docs: DataFrame, words: Words, repeated: Marks) -> DataFrame:
-    """``b, s, c``: how often ``s`` follows the word ``b``, by their hash, if twice or more. ``repeated`` marks the rarer
+def repeated(docs: DataFrame, found: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[np.ndarray, ...]]], names: list[str]) -> DataFrame:
+    """``names, c``: the rows that ``found`` has of the texts of ``docs`` twice or more. They are dealt out by ranges of
+    their keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in counted(found(batches), names):
+            columns = [c.to_numpy() for c in batch.columns]
+            span, cut = ranges(chained(*columns[:-1]))
+            yield pa.RecordBatch.from_arrays([pa.array(span), *packed(cut, *columns)], ["span", *names, "c"])
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_ranges(batches):
+            columns = [np.concatenate([flat(b, n, np.int64) for b in rows]) for n in (*names, "c")]
+            order, at = runs(chained(*columns[:-1]))
+            sums = np.add.reduceat(columns[-1][order], at) if len(at) else columns[-1]
+            often = sums >= LEAST_TIMES
+            at = order[at[often]]
+            yield pa.RecordBatch.from_arrays([*(pa.array(c[at]) for c in columns[:-1]), pa.array(sums[often])], [*names, "c"])
+
+    sent = docs.mapInArrow(frugal(run), ", ".join(["span int", *(f"{n} binary" for n in names), "c binary"]))
+    return sent.repartition("span").sortWithinPartitions("span").mapInArrow(frugal(merged), ", ".join(f"{n} long" for n in (*names, "c")))
+
+
+def whole_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """Sorted rows of ranges, so that those of one range stay together: ``GATHERED`` values and more, if ranges allow it."""
+    kept, size = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        span, ends = batch.column("span").to_numpy(), np.append(0, np.cumsum(lengths(batch, "c", np.int64)))
+        if size >= GATHERED and kept[-1].column("span")[-1].as_py() != span[0]:
+            yield kept
+            kept, size = [], 0
+        start = 0
+        for at in np.flatnonzero(span[1:] != span[:-1]) + 1:
+            if size + ends[at] - ends[start] >= GATHERED:
+                yield [*kept, batch.slice(start, at - start)]
+                kept, size, start = [], 0, at
+        kept.append(batch.slice(start))
+        size += ends[-1] - ends[start]
+    if kept:
+        yield kept
+
+
+def repeated_pairs(docs: DataFrame, words: Words, marks: Marks) -> DataFrame:
+    """``b, s, c``: how often ``s`` follows the word ``b``, by their hash, if twice or more. ``marks`` has the rarer
     words that occur twice or more."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
@@ -430,20 +538,16 @@ def repeated_pairs(docs: DataFrame, words: Words, repeated: Marks) -> DataFrame:
             for _, group in parts(batch, 0, PIECE):
                 hashes, sizes = hashed_words(group)
                 s, symbol, b, before, *_ = histories(hashes, words.symbols(hashes, sizes))
-                often = np.flatnonzero(((symbol != RARE) | repeated(s)) & ((before != RARE) | repeated(b)))
+                often = np.flatnonzero(((symbol != RARE) | marks(s)) & ((before != RARE) | marks(b)))
                 yield b[often], s[often]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return counted(found(batches), ["b", "s"])
-
-    pairs = docs.mapInArrow(frugal(run), "b long, s long, c long").groupBy("b", "s").agg(F.sum("c").alias("c"))
-    return pairs.filter(F.col("c") >= LEAST_TIMES)
+    return repeated(docs, found, ["b", "s"])
 
 
-def repeated_triples(docs: DataFrame, words: Words, last_context: int, frequent: np.ndarray, repeated: Marks) -> DataFrame:
+def repeated_triples(docs: DataFrame, words: Words, last_context: int, frequent: np.ndarray, marks: Marks) -> DataFrame:
     """``a, b, s, c``: how often ``s`` follows the words ``a`` and ``b``, a context that is not frequent, if twice or more.
 
-    ``repeated`` marks the pairs that occur twice or more; no triple does without both of its pairs.
+    ``marks`` has the pairs that occur twice or more; no triple does without both of its pairs.
     """
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
@@ -452,15 +556,11 @@ def repeated_triples(docs: DataFrame, words: Words, last_context: int, frequent:
                 hashes, sizes = hashed_words(group)
                 s, _, b, one, a, two = histories(hashes, words.symbols(hashes, sizes))
                 often = np.flatnonzero(in_table(last_context, frequent, one, two)[1])
-                often = often[repeated(chained(b[often], s[often]))]
-                often = often[repeated(chained(a[often], b[often]))]
+                often = often[marks(chained(b[often], s[often]))]
+                often = often[marks(chained(a[often], b[often]))]
                 yield a[often], b[often], s[often]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return counted(found(batches), ["a", "b", "s"])
-
-    triples = docs.mapInArrow(frugal(run), "a long, b long, s long, c long").groupBy("a", "b", "s").agg(F.sum("c").alias("c"))
-    return triples.filter(F.col("c") >= LEAST_TIMES)
+    return repeated(docs, found, ["a", "b", "s"])
 
 
 def keyed(table: DataFrame, *names: str) -> DataFrame:
@@ -508,43 +608,117 @@ def rest_rows(counts: DataFrame, shared: Broadcast, depth: int) -> DataFrame:
     return counts.select("a", "b", "s", *given).mapInArrow(frugal(run), schema)
 
 
-def judged(rows: DataFrame) -> DataFrame:
-    """``pair, context, lower, rest, more, place, kept`` of ``context, pair, up, c, n, lower`` rows: what a kept context, and a
-    symbol of its own in it, add to ``up``, the logarithm of the chance of the symbol in the longest kept suffix.
+def judged(up: np.ndarray, c: np.ndarray, n: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Whether each context is kept, what it adds to the logarithm of the chance of any symbol in the longest kept
+    suffix (``up``), and what each of its own symbols adds beside. Contexts begin ``at`` these rows.
 
-    ``c`` are the counts of the repeated symbols of a context and ``n`` says how often it occurs. As every occurrence
-    has one symbol behind it, ``n`` tells how many symbols were seen once there. Without ``n`` nothing is kept.
+    ``c`` are the counts of the repeated symbols of a context and ``n`` (one for each context) says how often it occurs. As
+    every occurrence has one symbol behind it, ``n`` tells how many symbols were seen once there. Without ``n``, which
+    is 0 then, nothing is kept.
     """
-    # Contexts that are not frequent are no large groups.
-    own = Window.partitionBy("context")
-    rows = rows.withColumn("up", F.pow(F.lit(10.0), "up")).withColumn("ones", F.col("n") - F.sum("c").over(own))
-    rows = rows.withColumn("kinds", F.col("ones") + F.count(F.lit(1)).over(own))
-    others = F.greatest(F.col("c") - 1 - DISCOUNT, F.lit(0.0)) / (F.col("n") - 1)
-    left_out = others + DISCOUNT * F.col("kinds") / F.col("n") * F.col("up")
-    rest = (F.col("ones") + DISCOUNT * (F.col("kinds") - F.col("ones"))) / F.col("n")
-    chance = (F.col("c") - DISCOUNT) / F.col("n") + rest * F.col("up")
-    # Words seen once in the context have nothing to predict them but the discount.
-    once = F.col("ones") / F.col("n") * F.log(DISCOUNT * F.col("kinds") / F.col("n"))
-    rows = rows.select(
-        "context", "pair", "lower", once.alias("once"), (F.col("c") / F.col("n") * F.log(left_out / F.col("up"))).alias("part"),
-        F.log10(rest).alias("rest"), (F.log10(chance / F.col("up")) - F.log10(rest)).alias("more"), F.row_number().over(own.orderBy("pair")).alias("place"),
-    )
-    return rows.withColumn("kept", F.coalesce(F.sum("part").over(own) + F.col("once") >= LEAST_DIVERGENCE, F.lit(False)))
+    size = np.diff(at, append=len(c))
+    known, n = n > 0, np.maximum(n, 1)
+    ones = n - np.add.reduceat(c, at)
+    kinds = ones + size
+    back = DISCOUNT * kinds / n
+    rest = (ones + DISCOUNT * size) / n
+    up, of = 10.0**up, np.repeat(np.arange(len(at)), size)
+    with np.errstate(all="ignore"):
+        left_out = np.maximum(c - 1 - DISCOUNT, 0.0) / (n[of] - 1) + back[of] * up
+        divergence = np.add.reduceat(c / n[of] * np.log(left_out / up), at)
+        # Words seen once in the context have nothing to predict them but the discount.
+        kept = known & (divergence + ones / n * np.log(back) >= LEAST_DIVERGENCE)
+        more = np.log10(((c - DISCOUNT) / n[of] + rest[of] * up) / up) - np.log10(rest)[of]
+        return kept, np.log10(rest), more
+
+
+def rest_table(rows: DataFrame, pairs: bool) -> DataFrame:
+    """The table, as ``ranged`` gives it, that ``context, pair, up, c, n, lower`` rows make; with ``pairs`` also all that a context
+    and what is below it (``lower``) add for each pair. ``n`` may stand in a row of its own, without a pair."""
+    # No nulls, or Arrow would give numbers of 64 bits as double.
+    rows = rows.select("context", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("pair", "up", "c", "n", "lower")))
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+        """``key, value, kind`` of whole contexts. Contexts that are not frequent are no large groups."""
+        kept: list[pa.RecordBatch] = []
+        for batch in itertools.chain(batches, [None]):
+            if batch is not None:
+                if not batch.num_rows:
+                    continue
+                context = batch.column(0).to_numpy()
+                last = int(np.searchsorted(context, context[-1]))
+                if not last and (not kept or kept[-1].column(0)[-1].as_py() == context[0]):
+                    kept.append(batch)
+                    continue
+                whole, kept = [*kept, batch.slice(0, last)], [batch.slice(last)]
+            else:
+                whole = kept
+            if whole:
+                yield of_contexts(*(np.concatenate([b.column(k).to_numpy() for b in whole]) for k in range(6)))
+
+    def of_contexts(context: np.ndarray, pair: np.ndarray, up: np.ndarray, c: np.ndarray, n: np.ndarray, lower: np.ndarray) -> tuple[np.ndarray, ...]:
+        new = np.ones(len(context), dtype=bool)
+        new[1:] = context[1:] != context[:-1]
+        of = np.cumsum(new) - 1
+        size = np.maximum.reduceat(n, np.flatnonzero(new)) if len(of) else n
+        real = np.flatnonzero(c > 0)
+        context, pair, up, c, lower, of = (x[real] for x in (context, pair, up, c, lower, of))
+        at = np.flatnonzero(np.diff(of, prepend=-1))
+        if not len(at):
+            return np.zeros(0, dtype=np.int64), np.zeros(0), np.zeros(0, dtype=np.int32)
+        kept, rest, more = judged(up, c, size[of[at]], at)
+        times = np.diff(at, append=len(c))
+        own = np.repeat(kept, times)
+        keys, values = [context[at[kept]], pair[own]], [rest[kept], more[own]]
+        kinds = [np.full(len(keys[0]) + len(keys[1]), TREE, dtype=np.int32)]
+        if pairs:
+            keys.append(pair)
+            values.append(lower + np.where(own, np.repeat(rest, times) + more, 0.0))
+            kinds.append(np.full(len(pair), PAIR, dtype=np.int32))
+        return np.concatenate(keys), np.concatenate(values), np.concatenate(kinds)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return by_range(found(batches))
+
+    return rows.repartition("context").sortWithinPartitions("context").mapInArrow(frugal(run), RANGED)
+
+
+#: Columns of a part of the table: ``keys`` and ``values`` of one range and kind.
+RANGED = "kind int, span int, keys binary, values binary"
+
 
+def by_range(rows: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """``RANGED`` rows of ``key, value, kind``."""
+    for key, value, kind in gathered(rows):
+        for k in np.unique(kind):
+            of_kind = np.flatnonzero(kind == k)
+            order = of_kind[np.argsort(key[of_kind])]
+            span, cut = ranges(key[order])
+            columns = [pa.array(np.full(len(span), k)), pa.array(span), *packed(cut, key[order], value[order])]
+            yield pa.RecordBatch.from_arrays(columns, ["kind", "span", "keys", "values"])
 
-def entries(rows: DataFrame, *more: Column) -> DataFrame:
-    """``key, value, of_pair``: the rows of the table that the kept ones of ``judged`` rows make, and those of ``more``."""
-    pair = F.when(F.col("kept"), entry("pair", F.col("more")))
-    context = F.when(F.col("kept") & (F.col("place") == 1), entry("context", F.col("rest")))
-    return rows.select(F.explode(F.array_compact(F.array(pair, context, *more))).alias("row")).select("row.*")
 
+def ranged(table: DataFrame) -> DataFrame:
+    """``table`` (``key, value, kind``) as a row for each range of keys and kind that a task has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return by_range(tuple(c.to_numpy() for c in b.columns) for b in batches)
+
+    return table.select("key", "value", "kind").mapInArrow(frugal(run), RANGED)
+
+
+def unranged(rows: DataFrame) -> DataFrame:
+    """``key, value`` of ``ranged`` rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(flat(b, 0, np.int64)), pa.array(flat(b, 1, np.float64))], ["key", "value"])
 
-def entry(key: str, value: Column, of_pair: bool = False) -> Column:
-    return F.struct(F.col(key).alias("key"), value.alias("value"), F.lit(of_pair).alias("of_pair"))
+    return rows.select("keys", "values").mapInArrow(frugal(run), "key long, value double")
 
 
 def one_word_table(pairs: DataFrame, contexts: DataFrame, shared: Broadcast, rarer: DataFrame, unknown: float) -> DataFrame:
-    """The part of the table with contexts of one word, and for each repeated pair of words (``of_pair``) all that its rarer
+    """The part of the table with contexts of one word, and for each repeated pair of words (``PAIR``) all that its rarer
     word and that part add to the logarithm of the chance in the collected part.
 
     A longer context asks for that one number of each of its symbols: whatever follows it twice follows its last word
@@ -556,9 +730,8 @@ def one_word_table(pairs: DataFrame, contexts: DataFrame, shared: Broadcast, rar
     rows = rest_rows(counts, shared, 1).filter("rest OR rare").withColumn("context", F.when(F.col("rest"), F.col("context")).otherwise(F.col("pair")))
     rows = rows.join(rarer.select(F.col("key").alias("word"), F.col("value").alias("of_word")).hint("shuffle_hash"), "word", "left")
     lower = F.when(F.col("rare"), F.coalesce("of_word", F.lit(unknown))).otherwise(0.0)
-    rows = judged(rows.withColumn("lower", lower).withColumn("up", F.col("up") + F.col("lower")))
-    in_all = F.col("lower") + F.when(F.col("kept"), F.col("rest") + F.col("more")).otherwise(0.0)
-    return stored(entries(rows, entry("pair", in_all, True)), "rest-table")
+    rows = rows.withColumn("lower", lower).withColumn("up", F.col("up") + F.col("lower"))
+    return stored(rest_table(rows, pairs=True), "rest-table")
 
 
 def two_word_table(triples: DataFrame, sizes: DataFrame, shared: Broadcast, of_pairs: DataFrame) -> DataFrame:
@@ -567,8 +740,8 @@ def two_word_table(triples: DataFrame, sizes: DataFrame, shared: Broadcast, of_p
     rows = rest_rows(triples, shared, 2).select("context", "pair", "below", "up", "c")
     rows = rows.join(of_pairs.select(F.col("key").alias("below"), F.col("value").alias("lower")).hint("shuffle_hash"), "below", "left")
     rows = rows.select("context", "pair", (F.col("up") + F.coalesce("lower", F.lit(0.0))).alias("up"), "c", F.lit(0.0).alias("lower"))
-    rows = rows.join(sizes.select(F.col("key").alias("context"), "n"), "context")
-    return stored(entries(judged(rows)).select("key", "value"), "rest-table")
+    rows = rows.unionByName(sizes.select(F.col("key").alias("context"), "n"), allowMissingColumns=True)
+    return stored(rest_table(rows, pairs=False), "rest-table")
 
 
 #: Columns of what texts ask for: the number of the first text, the key, whether it is one of the table, how far behind
@@ -595,14 +768,118 @@ def grouped(is_tree: np.ndarray, key: np.ndarray, row: np.ndarray, times: np.nda
     return pa.RecordBatch.from_arrays(columns, ASKED)
 
 
+def asked_rows(asked: pa.RecordBatch, first: int, own: pa.StructArray) -> Iterator[pa.RecordBatch]:
+    """The rows, one for each range of keys, of what ``grouped`` texts ask for, and one with their own values. All that these
+    texts get goes by ``first``, the number of the first of them."""
+    keys, texts = asked.column("h").to_numpy(), asked.column("texts")
+    span, cut = ranges(keys)
+    n, offsets, packed_times = len(span), texts.offsets.to_numpy(), texts.values.to_numpy()
+    behind = (packed_times >> 32) + (asked.column("row")[0].as_py() - first if len(keys) else 0)
+    columns = [pa.array(np.full(n, ASK, dtype=np.int32)), pa.array(span), pa.array(np.full(n, first))]
+    is_tree = asked.column("is_tree").to_numpy(zero_copy_only=False)
+    columns += packed(cut, keys, is_tree, np.diff(offsets)) + packed(offsets[cut], behind.astype(np.int32), (packed_times & 0xFFFFFFFF).astype(np.int32))
+    yield pa.RecordBatch.from_arrays([*columns, pa.nulls(n, pa.list_(own.type))], SENT)
+    anywhere = (first ^ first >> 33) % (1 << RANGE_BITS)
+    columns = [pa.array([OWN], pa.int32()), pa.array([anywhere], pa.int32()), pa.array([first]), *(pa.nulls(1, pa.binary()) for _ in range(5))]
+    yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(np.array([0, len(own)], dtype=np.int32), own)], SENT)
+
+
+class Lookup:
+    """Values by their key, in a task."""
+
+    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]]):
+        keys, values = (np.concatenate(c) for c in zip((np.zeros(0, dtype=np.int64), np.zeros(0)), *rows))
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order]
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        """The value of each key, 0 without one; a key that two rows have gets both values."""
+        at = np.searchsorted(self.keys, keys)
+        out = np.zeros(len(keys))
+        todo = np.arange(len(keys))
+        while len(todo):
+            todo = todo[at[todo] < len(self.keys)]
+            todo = todo[self.keys[at[todo]] == keys[todo]]
+            out[todo] += self.values[at[todo]]
+            at[todo] += 1
+        return out
+
+
+def met_rows(batches: Iterator[pa.RecordBatch], of_count: Callable[[np.ndarray], np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """``first, texts, value, log, seen, own`` of the rows of some ranges, sorted by their kind: for all texts that a task took
+    together, what the table, and the rarer words beside unknown ones, add to both scores and to the known words."""
+    rows: tuple[list, list] = ([], [])
+    known: list[Lookup] = []
+    for batch in batches:
+        cut = np.searchsorted(batch.column("kind").to_numpy(), np.arange(OWN + 2))
+        of = [batch.slice(cut[k], cut[k + 1] - cut[k]) for k in range(OWN + 1)]
+        for kind in (TREE, WORD):
+            # Copies, as the rows of a batch would keep all of it.
+            rows[kind].append((flat(of[kind], "keys", np.int64).copy(), flat(of[kind], "values", np.float64).copy()))
+        names = ["first", "texts", "value", "log", "seen", "own"]
+        if of[OWN].num_rows:
+            n, own = of[OWN].num_rows, of[OWN].column("own")
+            yield pa.RecordBatch.from_arrays([of[OWN].column("first"), *(pa.nulls(n, pa.binary()) for _ in range(4)), own], names)
+        if not of[ASK].num_rows:
+            continue
+        if not known:
+            known = [Lookup(r) for r in rows]
+        keys, is_tree, counts = (flat(of[ASK], c, t) for c, t in (("keys", np.int64), ("is_tree", bool), ("counts", np.int32)))
+        value, log, seen = np.zeros(len(keys)), np.zeros(len(keys)), np.zeros(len(keys), dtype=np.int64)
+        value[is_tree] = known[TREE](keys[is_tree])
+        words = np.flatnonzero(~is_tree)
+        c = known[WORD](keys[words])
+        words, c = words[c > 0], c[c > 0]
+        value[words], log[words], seen[words] = of_count(c), np.log10(c + 0.5) - math.log10(0.5), 1
+        found = (value != 0) | (seen > 0)
+        of_text = np.repeat(found, counts)
+        first = np.repeat(of[ASK].column("first").to_numpy(), lengths(of[ASK], "texts", np.int32))[of_text]
+        text, times = (flat(of[ASK], c, np.int32)[of_text] for c in ("texts", "times"))
+        order, at = runs(first + text)
+        first, text = first[order[at]], text[order[at]]
+        sums = []
+        for x in (value, log, seen):
+            x = np.repeat(x[found], counts[found]) * times
+            sums.append(np.add.reduceat(x[order], at) if len(at) else x)
+        new = np.ones(len(first), dtype=bool)
+        new[1:] = first[1:] != first[:-1]
+        at = np.flatnonzero(new)
+        columns = packed(np.append(at, len(first)), text, *sums)
+        yield pa.RecordBatch.from_arrays([pa.array(first[at]), *columns, pa.nulls(len(at), of[OWN].column("own").type)], names)
+
+
+def text_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of texts from all of their ``met_rows``, which are in one partition."""
+    rows = [b for b in batches if b.num_rows]
+    if not rows:
+        return
+    own = [b.filter(b.column("own").is_valid()) for b in rows]
+    values = pa.concat_arrays([b.column("own").flatten() for b in own])
+    size = np.concatenate([pc.list_value_length(b.column("own")).to_numpy() for b in own]).astype(np.int64)
+    first = np.concatenate([b.column("first").to_numpy() for b in own])
+    row = np.repeat(first, size) + np.arange(len(values)) - np.repeat(np.cumsum(size) - size, size)
+    order = np.argsort(row)
+    met = [b.filter(b.column("texts").is_valid()) for b in rows]
+    text = np.concatenate([np.repeat(b.column("first").to_numpy(), lengths(b, "texts", np.int32)) + flat(b, "texts", np.int32) for b in met])
+    place = order[np.searchsorted(row[order], text)] if len(text) else text
+    value, log, seen = (
+        np.bincount(place, weights=np.concatenate([flat(b, c, t) for b in met]), minlength=len(row))
+        for c, t in (("value", np.float64), ("log", np.float64), ("seen", np.int64))
+    )
+    doc_id, held, size, words, base, score = values.flatten()
+    columns = [doc_id, held, size, pa.array(words.to_numpy() + seen.astype(np.int64)), pa.array(base.to_numpy() + log), pa.array(score.to_numpy() + value)]
+    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "logs", "score"])
+
+
 def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
     Null and empty texts are their end alone; repeated rows and null keys are scored like any other (rows
     are told apart by their place in the scan); other columns are ignored. Without training texts the
-    tree knows nothing and every symbol is equally likely. A rarer word or key of the table is one row of the
+    tree knows nothing and every symbol is equally likely. A rarer word or key of the table is one key of the
     join for the texts that a task takes together, with a list of those that have it; a frequent word, which
-    would be a hot key there, never enters it. The texts are joined in ``ROUNDS`` parts, by key.
+    would be a hot key there, never enters it. Keys are dealt out, and joined, by ranges, and the texts in
+    ``ROUNDS`` parts, by key.
     """
     spark = docs.sparkSession
     kind = docs.schema[doc_id].dataType.simpleString()
@@ -624,7 +901,8 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
         F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"), F.count(F.lit(1)).alias("words"), F.count_if(F.col("c") == 1).alias("once"), F.count_if(F.col("c") == 2).alias("twice")
     ).first()
     # What counts of rarer words lose to unknown ones: as often as words are seen once rather than twice.
-    lost = rare["once"] / (rare["once"] + 2 * rare["twice"]) if rare["once"] else DISCOUNT
+    # Without any seen twice that would leave nothing of a count of one.
+    lost = rare["once"] / (rare["once"] + 2 * rare["twice"]) if rare["once"] and rare["twice"] else DISCOUNT
     kept, longest = kept_contexts(transition_counts(training, frequent, last_context))
     model = Model(frequent, log_counts, last_context, SuffixTree(kept, len(log_counts)))
     unknown = math.log10((lost * rare["words"] + 1) / (rare["tokens"] + 1.0))
@@ -637,9 +915,9 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     below = one_word_table(pairs, contexts, shared, known_words, unknown)
     sizes = keyed(pairs, "b", "s").select("key", F.col("c").alias("n"))
     triples = stored(repeated_triples(training, frequent, last_context, longest, Marks(sizes.select("key"))), "triples")
-    table = two_word_table(triples, sizes, shared, below.filter("of_pair").select("key", "value"))
-    table = below.filter("NOT of_pair").select("key", "value").unionByName(table)
-    marked = spark.sparkContext.broadcast(Marks(table.select("key")))
+    table = two_word_table(triples, sizes, shared, unranged(below.filter(F.col("kind") == PAIR)))
+    table = below.filter(F.col("kind") == TREE).unionByName(table)
+    marked = spark.sparkContext.broadcast(Marks(table.select("keys")))
 
     def looked_up(hashes: np.ndarray, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The keys that the table may have, each once for a text with its number."""
@@ -659,14 +937,15 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
         return once_a_text(np.concatenate(keys).view(np.int64), np.concatenate(owner))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own_rows: list[pa.RecordBatch] = []
-        for columns in gathered(asked(batches, own_rows)):
-            yield from own_rows
-            yield grouped(*columns, own_rows[0].column("own").type)
+        own_rows: list[tuple[int, pa.StructArray]] = []
+        for is_tree, key, row, times in gathered(asked(batches, own_rows)):
+            first, own = own_rows[0][0], pa.concat_arrays([values for _, values in own_rows])
             own_rows.clear()
+            yield from asked_rows(grouped(is_tree, key, row, times, pa.null()), first, own)
 
-    def asked(batches: Iterator[pa.RecordBatch], own_rows: list[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
-        """Whether it is one of the table, key, row and times of what each text asks for; the texts' own rows go to ``own_rows``."""
+    def asked(batches: Iterator[pa.RecordBatch], own_rows: list[tuple[int, pa.StructArray]]) -> Iterator[tuple[np.ndarray, ...]]:
+        """Whether it is one of the table, key, row and times of what each text asks for; the number of the first text
+        and the texts' own values go to ``own_rows``."""
         model = shared.value
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
@@ -676,14 +955,12 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
                 m = len(texts)
                 known = np.array([int((t >= FIRST).sum()) + int(ends > 0) for t in texts])
                 base = np.array([float(model.log_counts[t].sum()) for t in texts])
+                # Every rarer word counts as unknown until it meets its count.
+                unseen = np.array([int((t == RARE).sum()) for t in texts])
+                base, score = base + unseen * math.log10(0.5), model.transitions(texts) + unseen * unknown
                 values = [batch.column(0).slice(done, m), batch.column(2).slice(done, m), pa.array([len(t) for t in texts], pa.int64())]
-                values += [pa.array(known), pa.array(base), pa.array(model.transitions(texts))]
-                own = np.arange(number, number + m)
-                # A document's own row has a key that is spread over the partitions and meets no word.
-                key = mixed((own + 1).astype(np.uint64) * MULTIPLIER).view(np.int64)
-                lists = pa.ListArray.from_arrays(np.arange(m + 1, dtype=np.int32), np.zeros(m, dtype=np.int64))
-                columns = [pa.array(own), pa.array(key), pa.array(np.zeros(m, dtype=bool)), lists, pa.StructArray.from_arrays(values, ["doc_id", "held_out", "size", "known", "base", "score"])]
-                own_rows.append(pa.RecordBatch.from_arrays(columns, ASKED))
+                values += [pa.array(known), pa.array(base), pa.array(score)]
+                own_rows.append((number, pa.StructArray.from_arrays(values, ["doc_id", "held_out", "size", "known", "base", "score"])))
                 # The rarer words of each text, each once with its number.
                 is_rare = np.concatenate([t[:-1] for t in texts]) == RARE
                 of_words = once_a_text(hashes[is_rare], np.repeat(np.arange(m), sizes)[is_rare])
@@ -693,33 +970,22 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
                 yield is_tree, key, number + owner, times
                 number += m
 
-    schema = f"row long, h long, is_tree boolean, texts array<long>, own struct<doc_id: {kind}, held_out: boolean, size: long, known: long, base: double, score: double>"
-    lookup = rarer.select(F.col("h").alias("word_h"), F.col("c").cast("double").alias("value"), F.lit(False).alias("of_tree")).unionByName(
-        table.select(F.col("key").alias("word_h"), "value", F.lit(True).alias("of_tree"))
-    )
+    def of_count(c: np.ndarray) -> np.ndarray:
+        return np.log10((c - lost) / (rare["tokens"] + 1.0)) - unknown
+
+    own = f"array<struct<doc_id: {kind}, held_out: boolean, size: long, known: long, base: double, score: double>>"
+    schema = f"kind int, span int, first long, keys binary, is_tree binary, counts binary, texts binary, times binary, own {own}"
+    met_schema = f"first long, texts binary, value binary, log binary, seen binary, own {own}"
+    sums_schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, logs double, score double"
+    counts = rarer.select(F.col("h").alias("key"), F.col("c").cast("double").alias("value"), F.lit(WORD).alias("kind"))
+    lookup = table.unionByName(stored(ranged(counts), "word-table"))
     scored = []
     for k in range(ROUNDS):
         part = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(ROUNDS)) == k).mapInArrow(frugal(run), schema)
-        # The table is the side held in memory, a partition at a time: the texts' rows need no sort.
-        met = part.join(lookup.hint("shuffle_hash"), (F.col("h") == F.col("word_h")) & (F.col("is_tree") == F.col("of_tree")), "left")
-        # The value of a rarer word is its count. A word without one is unknown; a key that the table does not have says nothing.
-        c, word = F.coalesce("value", F.lit(0.0)), ~F.col("is_tree")
-        of_count = F.when(F.col("value").isNotNull(), F.log10((c - F.lit(lost)) / F.lit(rare["tokens"] + 1.0))).otherwise(F.lit(unknown))
-        met = met.select(
-            "row", F.explode("texts").alias("text"), F.when(word, of_count).otherwise(c).alias("value"), F.when(word, F.log10(c + 0.5)).otherwise(0.0).alias("log"),
-            (word & (c > 0)).cast("int").alias("seen"), "own",
-        )
-        tf = F.col("text").bitwiseAND((1 << 32) - 1)
-        met = met.select((F.col("row") + F.shiftright("text", 32)).alias("row"), tf.alias("tf"), "value", "log", "seen", "own.*")
-        sums = met.groupBy("row").agg(
-            F.max("doc_id").alias("doc_id"),
-            F.max("held_out").alias("held_out"),
-            F.max("size").alias("n_tokens"),
-            (F.max("known") + F.sum(F.col("tf") * F.col("seen"))).alias("n_known"),
-            (F.max("base") + F.sum(F.col("tf") * F.col("log"))).alias("logs"),
-            (F.max("score") + F.sum(F.col("tf") * F.col("value"))).alias("score"),
-        )
-        scored.append(stored(sums, "scores"))
+        # A task holds the table of its ranges of keys in memory; what the texts ask for passes by.
+        met = part.unionByName(lookup, allowMissingColumns=True).repartition("span").sortWithinPartitions("kind", "first")
+        met = met.mapInArrow(frugal(lambda batches: met_rows(batches, of_count)), met_schema)
+        scored.append(stored(met.repartition("first").mapInArrow(frugal(text_sums), sums_schema), "scores"))
     sums = functools.reduce(DataFrame.unionByName, scored)
     whole = math.log10(total + 0.5 * (distinct + 1))
     return sums.select(
