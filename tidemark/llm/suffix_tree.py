@@ -170,8 +170,8 @@ def summed(rows: Iterator[tuple[np.ndarray, np.ndarray]], most: int, name: str)
 
 
 def unpacked(rows: DataFrame) -> DataFrame:
-    """``depth, context, symbol, c`` from ``key, c`` rows of many tasks."""
-    return rows.groupBy("key").agg(F.sum("c").alias("c")).select(
+    """``depth, context, symbol, c`` from ``key, c`` rows."""
+    return rows.select(
         F.shiftright("key", 56).cast("int").alias("depth"),
         F.shiftright(F.col("key").bitwiseAND((1 << 56) - 1), BITS).alias("context"),
         F.col("key").bitwiseAND(MASK).cast("int").alias("symbol"),
@@ -242,10 +242,11 @@ def transition_counts(docs: DataFrame, words: Words, last_context: int) -> DataF
                 keys = np.concatenate(list(word_keys(words.symbols(*hashed_words(group)), last_context)))
                 yield np.unique(keys[keys >= 0], return_counts=True)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return summed(found(batches), 8 * MEMORY, "key")
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in summed(found(batches), 8 * MEMORY, "key"):
+            yield rows.take(pa.array(np.argsort(chained(rows.column(0).to_numpy()))))
 
-    return unpacked(docs.mapInArrow(frugal(run), "key long, c long"))
+    return unpacked(counted_by_range(docs, sums, ["key"], 1))
 
 
 def kept_contexts(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -485,22 +486,22 @@ def counted(rows: Iterator[tuple[np.ndarray, ...]], names: list[str]) -> Iterato
     return map(merged, gathered(of_pieces()))
 
 
-def repeated(docs: DataFrame, found: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[np.ndarray, ...]]], names: list[str]) -> DataFrame:
-    """``names, c``: the rows that ``found`` has of the texts of ``docs`` twice or more. They are dealt out by ranges of
-    their keys."""
+def counted_by_range(docs: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], names: list[str], least: int) -> DataFrame:
+    """``names, c``: sums of the counts of equal ``rows`` (``names, c``) that the tasks have of ``docs``, if they are at
+    least ``least``. A task's rows come sorted by key and are dealt out by ranges of keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in counted(found(batches), names):
+        for batch in rows(batches):
             columns = [c.to_numpy() for c in batch.columns]
             span, cut = ranges(chained(*columns[:-1]))
             yield pa.RecordBatch.from_arrays([pa.array(span), *packed(cut, *columns)], ["span", *names, "c"])
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in whole_ranges(batches):
-            columns = [np.concatenate([flat(b, n, np.int64) for b in rows]) for n in (*names, "c")]
+        for whole in whole_ranges(batches):
+            columns = [np.concatenate([flat(b, n, np.int64) for b in whole]) for n in (*names, "c")]
             order, at = runs(chained(*columns[:-1]))
             sums = np.add.reduceat(columns[-1][order], at) if len(at) else columns[-1]
-            often = sums >= LEAST_TIMES
+            often = sums >= least
             at = order[at[often]]
             yield pa.RecordBatch.from_arrays([*(pa.array(c[at]) for c in columns[:-1]), pa.array(sums[often])], [*names, "c"])
 
@@ -541,7 +542,7 @@ def repeated_pairs(docs: DataFrame, words: Words, marks: Marks) -> DataFrame:
                 often = np.flatnonzero(((symbol != RARE) | marks(s)) & ((before != RARE) | marks(b)))
                 yield b[often], s[often]
 
-    return repeated(docs, found, ["b", "s"])
+    return counted_by_range(docs, lambda batches: counted(found(batches), ["b", "s"]), ["b", "s"], LEAST_TIMES)
 
 
 def repeated_triples(docs: DataFrame, words: Words, last_context: int, frequent: np.ndarray, marks: Marks) -> DataFrame:
@@ -560,7 +561,7 @@ def repeated_triples(docs: DataFrame, words: Words, last_context: int, frequent:
                 often = often[marks(chained(a[often], b[often]))]
                 yield a[often], b[often], s[often]
 
-    return repeated(docs, found, ["a", "b", "s"])
+    return counted_by_range(docs, lambda batches: counted(found(batches), ["a", "b", "s"]), ["a", "b", "s"], LEAST_TIMES)
 
 
 def keyed(table: DataFrame, *names: str) -> DataFrame:
